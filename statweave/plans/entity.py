@@ -20,6 +20,17 @@ from ..specs import STATS
 ID_COLS = ["c_custkey", "c_name", "grp", "seg"]
 
 
+def cents(c):
+    """Money as an exact integer count of cents: sums of longs are exact and
+    order-independent (sums of doubles are not, T40), and stay on the fast
+    long path of the hash aggregate."""
+    return F.round(c * F.lit(100.0), 0).cast("long")
+
+
+def money(sum_cents):
+    return sum_cents.cast("double") / F.lit(100.0)
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_quantity", "l_discount", "l_tax"])
@@ -27,21 +38,25 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("q"),
         F.count(F.lit(1)).alias("n"),
-        F.sum(disc).alias("sd"), F.count(disc).alias("cd"),
-        F.sum("l_tax").alias("st"), F.count("l_tax").alias("ct"))
+        F.sum(cents(disc)).alias("sd"), F.count(disc).alias("cd"),
+        F.sum(cents(F.col("l_tax"))).alias("st"), F.count("l_tax").alias("ct"))
 
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     ol = o.join(order_lines(spark, sf_dir), o.o_orderkey == F.col("l_orderkey"), "left")
+
+    def ratio(num, den):
+        return money(num) / F.nullif(den, F.lit(0)).cast("double")
+
     return ol.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum("o_totalprice").alias("spend"),
-        F.avg("o_totalprice").alias("avg_price"),
+        money(F.sum(cents(F.col("o_totalprice")))).alias("spend"),
+        ratio(F.sum(cents(F.col("o_totalprice"))), F.count("o_totalprice")).alias("avg_price"),
         F.sum("q").alias("qty"),
         F.sum("n").alias("n_items"),
-        F.try_divide(F.sum("sd"), F.nullif(F.sum("cd"), F.lit(0))).alias("avg_disc"),
-        F.try_divide(F.sum("st"), F.nullif(F.sum("ct"), F.lit(0))).alias("avg_tax"))
+        ratio(F.sum("sd"), F.sum("cd")).alias("avg_disc"),
+        ratio(F.sum("st"), F.sum("ct")).alias("avg_tax"))
 
 
 def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +91,18 @@ def entity_long(cs: DataFrame, stats: list[str] | None = None) -> DataFrame:
 CS_SQL = """
 li AS (
   SELECT l_orderkey, sum(l_quantity) AS q, count(*) AS n,
-         sum(nullif(l_discount, 0.0)) AS sd, count(nullif(l_discount, 0.0)) AS cd,
-         sum(l_tax) AS st, count(l_tax) AS ct
+         sum(CAST(round(nullif(l_discount, 0.0) * 100.0) AS BIGINT)) AS sd,
+         count(nullif(l_discount, 0.0)) AS cd,
+         sum(CAST(round(l_tax * 100.0) AS BIGINT)) AS st, count(l_tax) AS ct
   FROM lineitem GROUP BY l_orderkey),
 oc AS (
-  SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spend,
-         avg(o_totalprice) AS avg_price, sum(q) AS qty, sum(n) AS n_items,
-         sum(sd) / nullif(sum(cd), 0) AS avg_disc, sum(st) / nullif(sum(ct), 0) AS avg_tax
+  SELECT o_custkey, count(*) AS n_orders,
+         CAST(sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) AS DOUBLE) / 100.0 AS spend,
+         (CAST(sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) AS DOUBLE) / 100.0)
+           / CAST(count(o_totalprice) AS DOUBLE) AS avg_price,
+         sum(q) AS qty, sum(n) AS n_items,
+         (CAST(sum(sd) AS DOUBLE) / 100.0) / CAST(nullif(sum(cd), 0) AS DOUBLE) AS avg_disc,
+         (CAST(sum(st) AS DOUBLE) / 100.0) / CAST(nullif(sum(ct), 0) AS DOUBLE) AS avg_tax
   FROM orders LEFT JOIN li ON o_orderkey = l_orderkey GROUP BY o_custkey),
 cs AS (
   SELECT c_custkey, c_name, n_name AS grp, c_mktsegment AS seg,

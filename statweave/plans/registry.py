@@ -34,14 +34,18 @@ def query(name: str, ops: str, sql: str | None = None):
 
 
 def rnd(c: Column | str, digits: int = DIGITS) -> Column:
+    """Round the binary value: scale, round half away from zero, unscale.
+    (Spark's ``round`` rounds the shortest decimal string instead, which
+    differs from SQL engines on values such as 0.0578125.)"""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, digits)
+    p = float(10 ** digits)
+    return F.round(c * F.lit(p), 0) / F.lit(p)
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every DOUBLE column, keeping names and order."""
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+        rnd(F.col(f"`{f.name}`"), digits).alias(f.name)
         if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
         for f in df.schema.fields])
 
