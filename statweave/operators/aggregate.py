@@ -33,7 +33,8 @@ def mixed_agg(df: DataFrame, key: str | list[str], specs: dict[str, tuple[str, s
 
     ``specs`` maps output name -> (kind, input column) with kind one of
     ``sum`` (missing skipped, all-missing -> 0), ``mean`` (all-missing ->
-    NULL), ``first`` (first non-missing in ``order_col`` order), ``count``.
+    NULL), ``first`` (first non-missing in ``order_col`` order, ties by
+    value), ``count``.
     Distinct concatenation is ``distinct_concat`` (it needs its own grain).
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -47,7 +48,9 @@ def mixed_agg(df: DataFrame, key: str | list[str], specs: dict[str, tuple[str, s
         elif kind == "first":
             if order_col is None:
                 raise ValueError("'first' needs an order column")
-            e = F.min_by(c, F.when(c.isNotNull(), F.col(order_col)))
+            # the value itself breaks ties in the row order, so the result
+            # is deterministic even when the order column is not unique
+            e = F.min_by(c, F.when(c.isNotNull(), F.struct(F.col(order_col), c)))
         elif kind == "count":
             e = F.count(c)
         else:
