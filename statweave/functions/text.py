@@ -12,32 +12,60 @@ from pyspark.sql import functions as F
 
 from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS
 
-# Python's str.split()/strip() whitespace that both Java and RE2 can name.
-WS = r"[\t\n\x0B\f\r ]"
+def _ranges(cps: list[int]) -> str:
+    """Code points as a regex class body of hex-escape ranges, in the
+    ``\\x{HHHH}`` form that both Java and RE2 accept."""
+    out, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        a, b = cps[i], cps[j]
+        out.append(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}")
+        i = j + 1
+    return "".join(out)
+
+
+# Built by rule from Python's own character tables, so the Spark expressions
+# agree with str.split()/str.strip()/str.isupper() and stay JVM-side.
+WS_BODY = _ranges([c for c in range(0x3000 + 1) if chr(c).isspace()])
+WS = f"[{WS_BODY}]"
+UPPER_EXTRA_BODY = _ranges([c for c in range(0x20000)
+                            if chr(c).isupper() and unicodedata.category(chr(c)) != "Lu"])
 
 
 def trim_ws(c: Column) -> Column:
     """``str.strip()``: all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
 
 
 def first_token(c: Column, default: str = "Unknown") -> Column:
     """First whitespace token, ``default`` when NULL or blank."""
-    return F.coalesce(F.nullif(F.regexp_extract(c, rf"^{WS}*([^\t\n\x0B\f\r ]+)", 1),
+    return F.coalesce(F.nullif(F.regexp_extract(c, rf"\A{WS}*([^{WS_BODY}]+)", 1),
                                F.lit("")), F.lit(default))
 
 
+UPPER_CLASS = rf"[^\p{{Lu}}{UPPER_EXTRA_BODY}]"
+
+
 def extract_uppercase(c: Column) -> Column:
-    """Keep upper-case letters only; NULL when none."""
-    return F.nullif(F.regexp_replace(c, r"[^\p{Lu}]", ""), F.lit(""))
+    """Keep characters for which ``str.isupper()`` holds (category Lu plus the
+    other upper-case characters such as circled capitals); NULL when none
+    (X4). The missing sentinel is applied only at the sink."""
+    return F.nullif(F.regexp_replace(c, UPPER_CLASS, ""), F.lit(""))
+
+
+# Python's word class is letters, numbers and '_'; its space class is the
+# Unicode whitespace above.
+SANITIZE_CLASS = rf"[^\p{{L}}\p{{N}}_{WS_BODY}-]"
 
 
 def sanitize_name(c: Column) -> Column:
     """Safe name: '/' -> '_', '%' -> 'percent', other non-word, non-space,
-    non-hyphen characters -> '_', then strip (X9). ``(?U)`` makes ``\\w``
-    Unicode-aware as in Python (T32)."""
+    non-hyphen characters -> '_', then strip (X9). The word class is spelled
+    out (letters, numbers, '_') so it is Unicode-aware as in Python (T32)."""
     s = F.replace(F.replace(c, F.lit("/"), F.lit("_")), F.lit("%"), F.lit("percent"))
-    s = F.regexp_replace(s, r"(?U)[^\w\s-]", "_")
+    s = F.regexp_replace(s, SANITIZE_CLASS, "_")
     return trim_ws(s)
 
 
@@ -80,7 +108,7 @@ def normalize_name(c: Column, stop_tokens: list[str] | None = None,
     low = F.lower(strip_accents(c))
     toks = F.split(trim_ws(low), f"{WS}+")
     toks = F.filter(toks, lambda t: t != F.lit(""))
-    toks = F.transform(toks, lambda t: trim_ws(F.regexp_replace(t, r"^\.+|\.+$", "")))
+    toks = F.transform(toks, lambda t: trim_ws(F.regexp_replace(t, r"\A\.+|\.+\z", "")))
     if stop:
         toks = F.filter(toks, lambda t: ~t.isin(*stop))
     joined = F.array_join(toks, " ")

@@ -1 +1,90 @@
-"""Queries (filled in below)."""
+"""Text and page queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..sources import pages as pg
+from ..sources.tables import read_table
+from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS
+from .registry import query
+
+WS = text.WS
+WS_BODY = text.WS_BODY
+
+
+@query("extract_uppercase", "X4", sql=f"""
+SELECT doc_id, nullif(regexp_replace(text, '{text.UPPER_CLASS}', '', 'g'), '') AS upper_only
+FROM documents
+""")
+def extract_uppercase_q(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return d.select("doc_id", text.extract_uppercase(F.col("text")).alias("upper_only"))
+
+
+def _trim_sql(x: str) -> str:
+    return f"regexp_replace({x}, '\\A{WS}+|{WS}+\\z', '', 'g')"
+
+
+@query("sanitize_name", "X9 T32", sql=f"""
+SELECT doc_id,
+       {_trim_sql(f"regexp_replace(replace(replace(text, '/', '_'), '%', 'percent'), '{text.SANITIZE_CLASS}', '_', 'g')")}
+         AS safe_name
+FROM documents
+""")
+def sanitize_name_q(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return d.select("doc_id", text.sanitize_name(F.col("text")).alias("safe_name"))
+
+
+_ALIAS_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REFERENCE_NAME_ALIASES.items())
+_STOP = ", ".join(f"'{t}'" for t in REFERENCE_STOP_TOKENS)
+
+
+@query("normalize_name", "X6 X7 X8", sql=f"""
+SELECT doc_id, CASE x {_ALIAS_CASE} ELSE x END AS normalized FROM (
+  SELECT doc_id, array_to_string(
+    list_filter(
+      list_transform(
+        list_filter(string_split_regex({_trim_sql("lower(strip_accents(text))")}, '{WS}+'),
+                    lambda t: t <> ''),
+        lambda t: {_trim_sql("regexp_replace(t, '\\A\\.+|\\.+\\z', '', 'g')")}),
+      lambda t: t NOT IN ({_STOP})), ' ') AS x
+  FROM documents)
+""")
+def normalize_name_q(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return d.select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
+
+
+ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
+
+
+@query("html_link_extract", "S2 X13", sql=f"""
+WITH x AS (SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS h,
+                  regexp_extract_all(html, '{ANCHOR}', 2) AS t FROM pages),
+y AS (SELECT page_id, h, t, unnest(range(len(h))) AS i FROM x)
+SELECT page_id, CAST(i AS INTEGER) AS link_no, h[i + 1] AS href,
+       nullif(regexp_extract(h[i + 1], '^/([^/?#]+)', 1), '') AS link_key,
+       t[i + 1] AS link_text FROM y
+""")
+def html_link_extract_q(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages", ["page_id", "html"])
+    links = p.select("page_id", F.posexplode(F.arrays_zip(
+        F.regexp_extract_all("html", F.lit(ANCHOR), 1).alias("href"),
+        F.regexp_extract_all("html", F.lit(ANCHOR), 2).alias("text"))).alias("link_no", "a"))
+    return links.select("page_id", "link_no", F.col("a.href").alias("href"),
+                        F.nullif(F.regexp_extract("a.href", r"^/([^/?#]+)", 1), F.lit(""))
+                        .alias("link_key"),
+                        F.col("a.text").alias("link_text"))
+
+
+@query("html_table_extract", "S1 S2 S3 F1 J2")
+def html_table_extract_q(spark, sf_dir):
+    return pg.extract_cells(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
+
+
+@query("page_extract_status", "S4")
+def page_extract_status_q(spark, sf_dir):
+    return pg.page_status(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
