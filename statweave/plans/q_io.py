@@ -1 +1,41 @@
-"""Queries (filled in below)."""
+"""File round trips (S5-S9): CSV with the missing sentinel, text reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..sources import files
+from ..sources.tables import read_table
+from .registry import query
+
+ORDERS_CSV_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, "
+                     "o_totalprice double, o_orderpriority string")
+
+
+@query("csv_roundtrip", "S5 S6 S7 T4", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS o_totalprice,
+       o_orderpriority FROM orders
+""")
+def csv_roundtrip_q(spark, sf_dir):
+    """Write with NULL rendered as the 'N/a' sentinel, read back with an
+    explicit schema: the sentinel returns as NULL, numbers keep their type."""
+    o = read_table(spark, sf_dir, "orders",
+                   ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+    o = o.withColumn("o_totalprice", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")))
+    path = files.write_csv(o, scratch_path(spark, "orders-csv"), sentinel="N/a")
+    return files.read_csv(spark, path, ORDERS_CSV_SCHEMA, sentinel="N/a")
+
+
+@query("report_text", "S8 X10 T31")
+def report_text_q(spark, sf_dir):
+    """Render the top/bottom-3 report to text lines, write one text file,
+    read it back (rows-only check: '%.2f' rounds half-up in Java, T31)."""
+    from .q_reports import stat_list_df, team_long
+    from ..specs import MIN_VALUES_TOP_K
+    rep = files.top_k_report(team_long(spark, sf_dir), stat_list_df(spark), 3, MIN_VALUES_TOP_K)
+    lines = files.render_top_k_lines(rep, stat_list_df(spark))
+    path = files.write_text_lines(lines, scratch_path(spark, "top3-txt"),
+                                  ["pos", "direction", "rank"])
+    return spark.read.text(path).withColumnRenamed("value", "line")

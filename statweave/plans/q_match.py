@@ -1 +1,91 @@
-"""Queries (filled in below)."""
+"""Fuzzy matching queries (J7-J10, X12) on part names.
+
+Targets are the distinct part names (order = first part key); the names to
+place are the part names without their first character (so 'old plate' and
+'cold plate' compete for 'ld plate'-like entries), normalised and
+de-duplicated keeping the first."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.similarity import ratio_sql
+from ..functions.text import normalize_name
+from ..operators import filters, match
+from ..sources.tables import read_table
+from ..specs import MATCH_THRESHOLD
+from .q_text import normalize_sql
+from .registry import query
+
+
+def targets(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
+    t = p.groupBy("p_name").agg(F.min("p_partkey").alias("rorder"))
+    return t.select(F.col("p_name").alias("rid"), normalize_name(F.col("p_name")).alias("rtext"),
+                    "rorder")
+
+
+def lefts(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
+    raw = p.select(normalize_name(F.expr("substr(p_name, 2)")).alias("lid"), "p_partkey")
+    first = filters.dedupe_keep_first(raw, ["lid"], ["p_partkey"])
+    return first.select("lid", F.col("lid").alias("ltext"), F.col("p_partkey").alias("lprio"))
+
+
+T_SQL = f"""
+r AS (SELECT p_name AS rid, {normalize_sql("p_name")} AS rtext, min(p_partkey) AS rorder
+      FROM part GROUP BY p_name),
+l AS (SELECT {normalize_sql("substr(p_name, 2)")} AS lid, min(p_partkey) AS lprio
+      FROM part GROUP BY lid)
+"""
+
+
+@query("fuzzy_candidates", "J7 X12 T20 T22", sql=f"""
+WITH n AS (SELECT DISTINCT {normalize_sql("p_name")} AS name FROM part),
+s AS (SELECT a.name AS name_a, b.name AS name_b, {ratio_sql("a.name", "b.name")} AS score
+      FROM n a JOIN n b ON a.name < b.name)
+SELECT * FROM s WHERE score >= {MATCH_THRESHOLD}
+""")
+def fuzzy_candidates_q(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", ["p_name"])
+    names = p.select(normalize_name(F.col("p_name")).alias("lid")).distinct() \
+             .withColumn("ltext", F.col("lid"))
+    out = match.similarity_join(names, names, MATCH_THRESHOLD, self_join=True)
+    return out.select(F.col("lid").alias("name_a"), F.col("rid").alias("name_b"), "score")
+
+
+def _edges(spark, sf_dir):
+    le, ta = lefts(spark, sf_dir), targets(spark, sf_dir)
+    e = match.similarity_join(le.select("lid", "ltext"), ta.select("rid", "rtext"),
+                              MATCH_THRESHOLD)
+    return (e.join(le.select("lid", "lprio"), "lid").join(ta.select("rid", "rorder"), "rid")
+             .select("lid", "rid", "score", "lprio", "rorder"))
+
+
+@query("fuzzy_assign", "J8 T21")
+def fuzzy_assign_q(spark, sf_dir):
+    a = match.assign_one_to_one(_edges(spark, sf_dir))
+    return a.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"),
+                    "score", "round")
+
+
+@query("unmatched_entities", "J9 S9 U3")
+def unmatched_entities_q(spark, sf_dir):
+    a = match.assign_one_to_one(_edges(spark, sf_dir))
+    le = lefts(spark, sf_dir)
+    return le.join(a.select("lid"), "lid", "left_anti").select(
+        F.col("lid").alias("left_name"), "lprio")
+
+
+@query("near_misses", "J10 X12", sql=f"""
+WITH {T_SQL},
+s AS (SELECT lid, rid, rorder, {ratio_sql("lid", "rtext")} AS score FROM l CROSS JOIN r)
+SELECT lid AS left_name, rid AS target_name, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lid ORDER BY score DESC, rorder, rid) AS rank FROM s)
+WHERE rank <= 3
+""")
+def near_misses_q(spark, sf_dir):
+    le, ta = lefts(spark, sf_dir), targets(spark, sf_dir)
+    nm = match.near_misses(le.select("lid", "ltext"), ta, k=3)
+    return nm.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"),
+                     "score", "rank")

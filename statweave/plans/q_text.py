@@ -42,16 +42,20 @@ _ALIAS_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REFERENCE_NAME_ALIAS
 _STOP = ", ".join(f"'{t}'" for t in REFERENCE_STOP_TOKENS)
 
 
-@query("normalize_name", "X6 X7 X8", sql=f"""
-SELECT doc_id, CASE x {_ALIAS_CASE} ELSE x END AS normalized FROM (
-  SELECT doc_id, array_to_string(
+def normalize_sql(col: str) -> str:
+    """DuckDB form of ``functions.text.normalize_name`` over ``col``."""
+    inner = f"""array_to_string(
     list_filter(
       list_transform(
-        list_filter(string_split_regex({_trim_sql("lower(strip_accents(text))")}, '{WS}+'),
+        list_filter(string_split_regex({_trim_sql(f"lower(strip_accents({col}))")}, '{WS}+'),
                     lambda t: t <> ''),
         lambda t: {_trim_sql("regexp_replace(t, '\\A\\.+|\\.+\\z', '', 'g')")}),
-      lambda t: t NOT IN ({_STOP})), ' ') AS x
-  FROM documents)
+      lambda t: t NOT IN ({_STOP})), ' ')"""
+    return f"(CASE {inner} {_ALIAS_CASE} ELSE {inner} END)"
+
+
+@query("normalize_name", "X6 X7 X8", sql=f"""
+SELECT doc_id, {normalize_sql("text")} AS normalized FROM documents
 """)
 def normalize_name_q(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
