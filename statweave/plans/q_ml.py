@@ -1 +1,237 @@
-"""Queries (filled in below)."""
+"""Segmentation and value-estimation queries (stage-3/4 analogues, M1-M19).
+
+Entity features are the customer measures; segmentation imputes (mean for
+rates, 0 for counts), z-scores, sweeps K, clusters and projects; valuation
+learns ``spend`` from the other measures plus the one-hot segment with
+boosted trees (grid search and CV inside Spark ML)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..operators import ml, rank, schema
+from ..sources.tables import read_table
+from ..specs import MEAN_IMPUTED, MIN_MODEL_ROWS, STATS, ZERO_IMPUTED
+from .entity import CS_SQL, entity_stats
+from .registry import query, rnd, round_doubles
+
+K_FINAL = 4
+
+
+def imputed(spark, sf_dir):
+    cs = entity_stats(spark, sf_dir)
+    cs = cs.withColumns({c: F.col(c).cast("double") for c in STATS})
+    return ml.impute(cs, MEAN_IMPUTED, ZERO_IMPUTED)
+
+
+def scaled(spark, sf_dir):
+    return ml.zscore(imputed(spark, sf_dir), STATS, population=True)
+
+
+def _impute_sql() -> str:
+    cols = []
+    for s in STATS:
+        if s in MEAN_IMPUTED:
+            cols.append(f"round(coalesce(CAST({s} AS DOUBLE), (SELECT avg({s}) FROM cs)), 6) AS {s}")
+        else:
+            cols.append(f"round(coalesce(CAST({s} AS DOUBLE), 0.0), 6) AS {s}")
+    return ", ".join(cols)
+
+
+@query("impute", "M1 A19 T19", sql=f"""
+WITH {CS_SQL} SELECT c_custkey, {_impute_sql()} FROM cs
+""")
+def impute_q(spark, sf_dir):
+    return round_doubles(imputed(spark, sf_dir).select("c_custkey", *STATS))
+
+
+def _zscore_sql() -> str:
+    imp = ", ".join(
+        f"coalesce(CAST({s} AS DOUBLE), (SELECT avg({s}) FROM cs)) AS {s}" if s in MEAN_IMPUTED
+        else f"coalesce(CAST({s} AS DOUBLE), 0.0) AS {s}" for s in STATS)
+    z = ", ".join(
+        f"round(CASE WHEN {s} IS NULL THEN NULL WHEN stddev_pop({s}) OVER () = 0 THEN 0.0 "
+        f"ELSE ({s} - avg({s}) OVER ()) / stddev_pop({s}) OVER () END, 6) AS {s}" for s in STATS)
+    return f"WITH {CS_SQL}, im AS (SELECT c_custkey, {imp} FROM cs) SELECT c_custkey, {z} FROM im"
+
+
+@query("zscore", "M2 T14", sql=_zscore_sql())
+def zscore_q(spark, sf_dir):
+    return round_doubles(scaled(spark, sf_dir).select("c_custkey", *STATS))
+
+
+def clustered(spark, sf_dir, k: int = K_FINAL):
+    feats = ml.assemble(scaled(spark, sf_dir), STATS)
+    return ml.kmeans_assign(feats, k, seed=42)
+
+
+@query("kmeans_sweep", "M4 M5 M19 T16 T17")
+def kmeans_sweep_q(spark, sf_dir):
+    feats = ml.assemble(scaled(spark, sf_dir), STATS)
+    return ml.kmeans_sweep(feats, range(2, 11), seed=42)
+
+
+@query("kmeans_assign", "M3 M7")
+def kmeans_assign_q(spark, sf_dir):
+    out, _ = clustered(spark, sf_dir)
+    return out.select("c_custkey", "c_name", "grp", "seg", "cluster")
+
+
+@query("cluster_profile", "A13")
+def cluster_profile_q(spark, sf_dir):
+    out, _ = clustered(spark, sf_dir)
+    raw = imputed(spark, sf_dir).select("c_custkey", *STATS)
+    j = out.select("c_custkey", "cluster").join(raw, "c_custkey")
+    return round_doubles(j.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(s).alias(s) for s in STATS]))
+
+
+@query("cluster_exemplars", "W2")
+def cluster_exemplars_q(spark, sf_dir):
+    out, _ = clustered(spark, sf_dir)
+    raw = entity_stats(spark, sf_dir).select("c_custkey", "spend")
+    j = out.select("c_custkey", "c_name", "cluster").join(raw, "c_custkey")
+    top = rank.top_k(j, 1, ["cluster"], "spend", ["c_name", "c_custkey"])
+    return round_doubles(top.select("cluster", "c_custkey", "c_name", "spend"))
+
+
+@query("cluster_crosstab", "A14 T10")
+def cluster_crosstab_q(spark, sf_dir):
+    out, _ = clustered(spark, sf_dir)
+    levels = schema.category_levels(out, "seg")
+    from ..operators.aggregate import crosstab
+    return crosstab(out, "cluster", "seg", levels)
+
+
+@query("pca_project", "M6 M19")
+def pca_project_q(spark, sf_dir):
+    out, model = clustered(spark, sf_dir)
+    proj, ratios = ml.pca_project(out, 2)
+    return round_doubles(proj.select("c_custkey", "cluster", "pc1", "pc2",
+                                     F.lit(ratios[0]).alias("ratio1"),
+                                     F.lit(ratios[1]).alias("ratio2")))
+
+
+@query("embedding_pca", "M6")
+def embedding_pca_q(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    proj, ratios = ml.pca_project(ml.array_features(e, "embedding"), 2)
+    return round_doubles(proj.select("vec_id", "label", "pc1", "pc2",
+                                     F.lit(ratios[0]).alias("ratio1"),
+                                     F.lit(ratios[1]).alias("ratio2")))
+
+
+@query("embedding_kmeans", "M3 M5")
+def embedding_kmeans_q(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    out, _ = ml.kmeans_assign(ml.array_features(e, "embedding"), K_FINAL, seed=42)
+    return out.select("vec_id", "label", "cluster")
+
+
+# ------------------------------------------------------------ valuation --
+def value_frame(spark, sf_dir):
+    cs = imputed(spark, sf_dir)
+    oh = schema.one_hot(cs, "seg", prefix="seg")
+    seg_cols = [c for c in oh.columns if c.startswith("seg_")]
+    oh = oh.withColumns({c: F.col(c).cast("double") for c in seg_cols})
+    feats = ["n_orders", "n_items", "qty", "avg_disc", "avg_tax", "acctbal", *seg_cols]
+    return ml.exact_split(oh, "c_custkey", 0.2, 42), feats
+
+
+@query("train_test_split", "M8 T26")
+def train_test_split_q(spark, sf_dir):
+    df, _ = value_frame(spark, sf_dir)
+    return df.select("c_custkey", "is_test")
+
+
+def _fit(spark, sf_dir, **params):
+    df, feats = value_frame(spark, sf_dir)
+    train = df.filter(~F.col("is_test"))
+    if train.limit(MIN_MODEL_ROWS).count() < MIN_MODEL_ROWS:
+        raise ValueError("insufficient_data: fewer than 10 training rows")
+    # early stopping on a validation slice of the training rows, not the test rows
+    train = ml.fold_ids(train, "c_custkey", 5).withColumn("is_val", F.col("fold") == 0)
+    pipe = ml.gbt_pipeline(feats, "spend", maxIter=params.get("maxIter", 50),
+                           maxDepth=params.get("maxDepth", 3),
+                           stepSize=params.get("stepSize", 0.1),
+                           subsamplingRate=params.get("subsamplingRate", 0.8),
+                           validationIndicatorCol="is_val", validationTol=0.01)
+    model = pipe.fit(train)
+    return df, feats, model
+
+
+@query("gbt_predict", "M9 M10 M17")
+def gbt_predict_q(spark, sf_dir):
+    df, _, model = _fit(spark, sf_dir)
+    return round_doubles(model.transform(df).select("c_custkey", "is_test", "spend",
+                                                    "prediction"))
+
+
+@query("residuals", "M18 A20", sql="""
+SELECT l_orderkey, l_linenumber, l_extendedprice AS y, round(l_quantity * 950.0, 6) AS p,
+       round(l_extendedprice - l_quantity * 950.0, 6) AS residual FROM lineitem
+""")
+def residuals_q(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice",
+                                               "l_quantity"])
+    p = F.col("l_quantity") * 950.0
+    return li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("y"),
+                     rnd(p).alias("p"), rnd(F.col("l_extendedprice") - p).alias("residual"))
+
+
+@query("regression_metrics", "M12 M13 M15 A20", sql="""
+WITH t AS (SELECT l_extendedprice AS y, l_quantity * 950.0 AS p FROM lineitem)
+SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae,
+       round(1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       min(y) AS y_min, max(y) AS y_max FROM t
+""")
+def regression_metrics_q(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_extendedprice", "l_quantity"])
+    t = li.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 950.0).alias("p"))
+    return round_doubles(ml.regression_metrics(t, "y", "p"))
+
+
+@query("model_metrics", "M12 M13 M15")
+def model_metrics_q(spark, sf_dir):
+    df, _, model = _fit(spark, sf_dir)
+    pred = model.transform(df)
+    tr = ml.regression_metrics(pred.filter(~F.col("is_test")), "spend").withColumn("slice", F.lit("train"))
+    te = ml.regression_metrics(pred.filter(F.col("is_test")), "spend").withColumn("slice", F.lit("test"))
+    return round_doubles(tr.unionByName(te))
+
+
+@query("feature_importance", "M16 W3 O2")
+def feature_importance_q(spark, sf_dir):
+    _, feats, model = _fit(spark, sf_dir)
+    return ml.feature_importances(model.stages[-1], feats)
+
+
+@query("gbt_grid", "M11")
+def gbt_grid_q(spark, sf_dir):
+    df, feats = value_frame(spark, sf_dir)
+    cv = ml.gbt_grid_search(df.filter(~F.col("is_test")), feats, "spend", full=False, folds=5)
+    rows = []
+    for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
+        rows.append((", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda x: x[0].name)),
+                     float(m)))
+    return round_doubles(spark.createDataFrame(rows, "params string, cv_mae double"))
+
+
+@query("cv_mae", "M14")
+def cv_mae_q(spark, sf_dir):
+    """5-fold CV of the chosen parameters on all rows: MAE per fold plus
+    mean and population std across folds (as the reference reports)."""
+    df, feats = value_frame(spark, sf_dir)
+    df = ml.fold_ids(df, "c_custkey", 5)
+    rows = []
+    for f in range(5):
+        pipe = ml.gbt_pipeline(feats, "spend", maxIter=50, maxDepth=3, stepSize=0.1,
+                               subsamplingRate=0.8)
+        model = pipe.fit(df.filter(F.col("fold") != f))
+        m = ml.regression_metrics(model.transform(df.filter(F.col("fold") == f)), "spend")
+        rows.append(m.withColumn("fold", F.lit(f)))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return round_doubles(out.select("fold", "n", "mae", "r2"))

@@ -39,7 +39,10 @@ def rnd(c: Column | str, digits: int = DIGITS) -> Column:
     differs from SQL engines on values such as 0.0578125.)"""
     c = F.col(c) if isinstance(c, str) else c
     p = float(10 ** digits)
-    return F.round(c * F.lit(p), 0) / F.lit(p)
+    # keep the sign of zero as C's round() does (-0.4e-6 -> -0.0)
+    return (F.when(c < 0, -(F.round(-c * F.lit(p), 0) / F.lit(p)))
+             .when(c == 0, c)
+             .otherwise(F.round(c * F.lit(p), 0) / F.lit(p)))
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
