@@ -28,15 +28,17 @@ def _ranges(cps: list[int]) -> str:
 
 # Built by rule from Python's own character tables, so the Spark expressions
 # agree with str.split()/str.strip()/str.isupper() and stay JVM-side.
-WS_BODY = _ranges([c for c in range(0x3000 + 1) if chr(c).isspace()])
+WS_CHARS = "".join(chr(c) for c in range(0x3000 + 1) if chr(c).isspace())
+WS_BODY = _ranges([ord(ch) for ch in WS_CHARS])
 WS = f"[{WS_BODY}]"
 UPPER_EXTRA_BODY = _ranges([c for c in range(0x20000)
                             if chr(c).isupper() and unicodedata.category(chr(c)) != "Lu"])
 
 
 def trim_ws(c: Column) -> Column:
-    """``str.strip()``: all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    """``str.strip()``: all leading/trailing whitespace, not only spaces.
+    A character-set trim, not a regex."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def first_token(c: Column, default: str = "Unknown") -> Column:
@@ -45,7 +47,7 @@ def first_token(c: Column, default: str = "Unknown") -> Column:
                                F.lit("")), F.lit(default))
 
 
-UPPER_CLASS = rf"[^\p{{Lu}}{UPPER_EXTRA_BODY}]"
+UPPER_CLASS = rf"[^\p{{Lu}}{UPPER_EXTRA_BODY}]+"
 
 
 def extract_uppercase(c: Column) -> Column:
@@ -69,17 +71,25 @@ def sanitize_name(c: Column) -> Column:
     return trim_ws(s)
 
 
-@functools.lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Characters whose canonical decomposition is one base character plus
-    combining marks, mapped to that base character. Built by rule over the
-    Basic Multilingual Plane (Hangul and other multi-letter decompositions
-    are left alone)."""
+@functools.lru_cache(maxsize=2)
+def _accent_table(whitespace_to_space: bool = False) -> tuple[str, str]:
+    """Translate table for NFD + drop of combining marks (category Mn):
+    characters whose canonical decomposition is one base character plus
+    marks map to that base character; free-standing marks are deleted (they
+    sit at the end of ``from`` with no counterpart in ``to``). Optionally
+    every whitespace character maps to a plain space. Built by rule from
+    ``unicodedata`` (Hangul and other multi-letter decompositions are left
+    alone)."""
     src, dst = [], []
-    for cp in range(0xC0, 0x10000):
-        ch = chr(cp)
+    if whitespace_to_space:
+        for ch in WS_CHARS:
+            if ch != " ":
+                src.append(ch)
+                dst.append(" ")
+    for cp in range(0xC0, 0x30000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
+        ch = chr(cp)
         d = unicodedata.normalize("NFD", ch)
         if d == ch:
             continue
@@ -87,28 +97,32 @@ def _accent_table() -> tuple[str, str]:
         if len(base) == 1 and base != ch:
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+    marks = [chr(cp) for cp in range(0x300, 0x30000)
+             if not 0xD800 <= cp <= 0xDFFF and unicodedata.category(chr(cp)) == "Mn"]
+    return "".join(src + marks), "".join(dst)
 
 
 def strip_accents(c: Column) -> Column:
-    """NFD then drop combining marks (X6): a translate over precomposed
-    characters plus removal of free-standing marks. 'Ø', 'Đ' have no
-    decomposition and stay."""
+    """NFD then drop combining marks (X6), as one ``translate``. 'Ø', 'Đ'
+    have no decomposition and stay."""
     frm, to = _accent_table()
-    return F.regexp_replace(F.translate(c, frm, to), r"\p{Mn}", "")
+    return F.translate(c, frm, to)
 
 
 def normalize_name(c: Column, stop_tokens: list[str] | None = None,
                    aliases: dict[str, str] | None = None) -> Column:
-    """Strip accents, lower-case, split on whitespace, strip periods then
-    whitespace from each token, drop stop tokens, join with one space, map
-    aliases (X6-X8). Empty tokens are kept, as in the reference."""
+    """Strip accents, lower-case, split on whitespace, strip periods from
+    each token, drop stop tokens, join with one space, map aliases (X6-X8).
+    Tokens emptied by the period strip are kept, as in the reference.
+
+    No regular expression: one ``translate`` (accents out, every whitespace
+    to ' '), ``lower``, a split on the single space, and array functions."""
     stop = REFERENCE_STOP_TOKENS if stop_tokens is None else stop_tokens
     amap = REFERENCE_NAME_ALIASES if aliases is None else aliases
-    low = F.lower(strip_accents(c))
-    toks = F.split(trim_ws(low), f"{WS}+")
-    toks = F.filter(toks, lambda t: t != F.lit(""))
-    toks = F.transform(toks, lambda t: trim_ws(F.regexp_replace(t, r"\A\.+|\.+\z", "")))
+    frm, to = _accent_table(whitespace_to_space=True)
+    low = F.lower(F.translate(c, frm, to))
+    toks = F.filter(F.split(low, " "), lambda t: t != F.lit(""))
+    toks = F.transform(toks, lambda t: F.trim(t, F.lit(".")))
     if stop:
         toks = F.filter(toks, lambda t: ~t.isin(*stop))
     joined = F.array_join(toks, " ")
