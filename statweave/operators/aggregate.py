@@ -104,12 +104,23 @@ def normalize_by_group(df: DataFrame, grp: str, count_col: str,
 
 # --------------------------------------------------------------- A8 / A9 --
 def group_moments(long: DataFrame, by: list[str], value: str = "value",
-                  approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                  median: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Median, mean, sample std and count per group x stat.
 
-    ``approx=True`` swaps the exact median (a per-group value map) for
-    ``percentile_approx`` when a group is too large for exact ranks."""
-    med = (F.percentile_approx(value, 0.5, accuracy) if approx else F.median(value))
+    ``median='exact'`` finds the two middle values by range refinement
+    (``operators.quantile``): exact, and no group is ever held whole in one
+    task. ``'approx'`` uses ``percentile_approx``; ``'percentile'`` Spark's
+    exact ``median`` (one buffer per group holding its distinct values)."""
+    if median == "exact":
+        from .quantile import exact_median
+        from ..session import cut_lineage
+        vals = cut_lineage(long.select(*by, value).filter(F.col(value).isNotNull()))
+        mom = vals.groupBy(*by).agg(F.avg(value).alias("mean"),
+                                    F.stddev_samp(value).alias("std"),
+                                    F.count(value).alias("n"))
+        med = exact_median(vals, by, value, mom.select(*by, "n"))
+        return mom.join(med, by, "left").select(*by, "median", "mean", "std", "n")
+    med = (F.percentile_approx(value, 0.5, accuracy) if median == "approx" else F.median(value))
     return long.groupBy(*by).agg(
         med.alias("median"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"), F.count(value).alias("n"))

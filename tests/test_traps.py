@@ -239,3 +239,20 @@ def test_multiset_diff(spark):
     got = sorted((r.side, r.x) for r in __import__("statweave.operators.setops",
                                                    fromlist=["x"]).multiset_diff(a, b).collect())
     assert got == [("only_left", 1), ("only_left", 2), ("only_right", 3)]
+
+
+def test_exact_median_matches_numpy(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for g, n in [("a", 1), ("b", 2), ("c", 7), ("d", 1000), ("e", 50)]:
+        vals = rng.integers(0, 5, n) if g == "e" else rng.normal(size=n) * 10.0 ** rng.integers(-3, 6)
+        rows += [(g, "s", float(v)) for v in vals]
+    df = spark.createDataFrame(rows, "grp string, stat string, value double")
+    got = {r.grp: r.median for r in agg.group_moments(df, ["grp", "stat"], median="exact").collect()}
+    for g in "abcde":
+        assert got[g] == pytest.approx(float(np.median([v for gg, _, v in rows if gg == g])), rel=1e-12)
+    from statweave.operators.quantile import kth_values
+    t = spark.createDataFrame([("d", "s", k) for k in (0, 499, 999)], "grp string, stat string, k long")
+    kth = {r.k: r.kth for r in kth_values(df, ["grp", "stat"], "value", t, buckets=4, small=3).collect()}
+    srt = sorted(v for gg, _, v in rows if gg == "d")
+    assert kth == {0: srt[0], 499: srt[499], 999: srt[999]}
