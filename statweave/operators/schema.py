@@ -20,8 +20,9 @@ def dedup_header_names(headers: list[str], suffixes: dict[str, list[str]],
 
     The k-th occurrence of a header with a suffix list gets ``header +
     suffixes[k]``. Repeats beyond the list, and repeats of unlisted headers,
-    are dropped (``unlisted='keep_first'``, pandas' ``duplicated(keep='first')``)
-    or numbered ``_2, _3, ...`` (``unlisted='number'``). Returns (position,
+    are dropped (``unlisted='keep_first'``, pandas' ``duplicated(keep='first')``),
+    numbered ``_2, _3, ...`` (``unlisted='number'``) or mangled ``.1, .2``
+    as pandas' HTML reader names them (``unlisted='mangle'``). Returns (position,
     name) pairs of the kept columns, in order."""
     seen: Counter = Counter()
     out, taken = [], set()
@@ -35,6 +36,8 @@ def dedup_header_names(headers: list[str], suffixes: dict[str, list[str]],
             name = h
         elif unlisted == "number":
             name = f"{h}_{k + 1}"
+        elif unlisted == "mangle":          # pandas read_html style: 'Gls', 'Gls.1'
+            name = f"{h}.{k}"
         else:
             continue
         if name in taken:           # a suffixed name equal to a plain header

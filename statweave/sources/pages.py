@@ -110,7 +110,7 @@ def _headers(head_rows):
 
 
 def extract_page(page_id, html, table_id=None, key_stat=DEFAULT_KEY_STAT,
-                 key_pattern=DEFAULT_KEY_PATTERN, suffixes=None):
+                 key_pattern=DEFAULT_KEY_PATTERN, suffixes=None, unlisted="keep_first"):
     """Cells and one status row for one page."""
     p = _Tables()
     p.feed(html or "")
@@ -120,7 +120,7 @@ def extract_page(page_id, html, table_id=None, key_stat=DEFAULT_KEY_STAT,
         return [], (page_id, len(p.tables), None, 0, 0, "no_table", None)
     t = p.tables[i]
     top, low = _headers(t["head"])
-    names = dict(dedup_header_names(low, suffixes or {}))
+    names = dict(dedup_header_names(low, suffixes or {}, unlisted))
     rx = re.compile(key_pattern)
     cells, n_rows, n_keyed = [], 0, 0
     for r in t["body"]:
@@ -139,7 +139,7 @@ def extract_page(page_id, html, table_id=None, key_stat=DEFAULT_KEY_STAT,
     return cells, (page_id, len(p.tables), i, n_rows, n_keyed, "ok", None)
 
 
-def _cells_fn(table_id, key_stat, key_pattern, suffixes):
+def _cells_fn(table_id, key_stat, key_pattern, suffixes, unlisted):
     cols = [c.split()[0] for c in CELL_SCHEMA.split(", ")]
 
     def run(batches):
@@ -148,7 +148,7 @@ def _cells_fn(table_id, key_stat, key_pattern, suffixes):
             for pid, html in zip(pdf["page_id"], pdf["html"]):
                 try:
                     out.extend(extract_page(int(pid), html, table_id, key_stat, key_pattern,
-                                            suffixes)[0])
+                                            suffixes, unlisted)[0])
                 except Exception:  # noqa: BLE001 - reported by page_status
                     continue
             yield pd.DataFrame(out, columns=cols)
@@ -173,10 +173,10 @@ def _status_fn(table_id, key_stat, key_pattern, suffixes):
 
 def extract_cells(pages: DataFrame, table_id: str | None = None,
                   key_stat: str = DEFAULT_KEY_STAT, key_pattern: str = DEFAULT_KEY_PATTERN,
-                  suffixes: dict | None = None) -> DataFrame:
+                  suffixes: dict | None = None, unlisted: str = "keep_first") -> DataFrame:
     """Long cell rows of the chosen table of every page."""
     return pages.select("page_id", "html").mapInPandas(
-        _cells_fn(table_id, key_stat, key_pattern, suffixes), CELL_SCHEMA)
+        _cells_fn(table_id, key_stat, key_pattern, suffixes, unlisted), CELL_SCHEMA)
 
 
 def page_status(pages: DataFrame, table_id: str | None = None,

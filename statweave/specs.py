@@ -126,3 +126,86 @@ STRENGTH_CATEGORIES = {
 # Built by rule: nations 0..19 in key order (so NATION_1 precedes NATION_10,
 # which exercises first-hit priority in containment matching).
 GROUP_ALLOW_LIST = [f"NATION_{i}" for i in range(20)]
+
+
+# ---------------------------------------------------------------------------
+# The reference's source catalog (raw header -> final name per
+# table; raw repeats carry pandas' '.1' suffix) and its 75 stats in output
+# order, with the 21 mean-aggregated ones, the 16 imputed by mean before
+# clustering and the 4 left out of clustering.
+# ---------------------------------------------------------------------------
+REFERENCE_TABLES = {
+    "standard": {"Player": "Player", "Nation": "Nation", "Pos": "Pos", "Squad": "Squad",
+                 "Age": "Age", "MP": "MP", "Starts": "Starts", "Min": "Min", "Gls": "Gls",
+                 "Ast": "Ast", "CrdY": "CrdY", "CrdR": "CrdR", "xG": "xG", "npxG": "npxG",
+                 "xAG": "xAG", "PrgC": "PrgC_standard", "PrgP": "PrgP_standard",
+                 "PrgR": "PrgR_standard", "Gls.1": "Gls_per90", "Ast.1": "Ast_per90",
+                 "xG.1": "xG_per90", "xAG.1": "xAG_per90"},
+    "keeper": {"Player": "Player", "GA90": "GA90", "Save%": "Save%", "CS%": "CS%",
+               "Save%.1": "PK Save%"},
+    "shooting": {"Player": "Player", "SoT%": "SoT%", "SoT/90": "SoT/90", "G/Sh": "G/Sh",
+                 "Dist": "Dist"},
+    "passing": {"Player": "Player", "Cmp": "Total Cmp", "Cmp%": "Total Cmp%",
+                "TotDist": "TotDist_passing", "Cmp%.1": "Short Cmp%", "Cmp%.2": "Medium Cmp%",
+                "Cmp%.3": "Long Cmp%", "KP": "KP", "1/3": "1/3_passing", "PPA": "PPA",
+                "CrsPA": "CrsPA", "PrgP": "PrgP_passing"},
+    "gca": {"Player": "Player", "SCA": "SCA", "SCA90": "SCA90", "GCA": "GCA", "GCA90": "GCA90"},
+    "defense": {"Player": "Player", "Tkl": "Tkl", "TklW": "TklW", "Att": "Att_defense",
+                "Lost": "Lost_defense", "Blocks": "Blocks", "Sh": "Sh_defense",
+                "Pass": "Pass_defense", "Int": "Int"},
+    "possession": {"Player": "Player", "Touches": "Touches", "Def Pen": "Def Pen",
+                   "Def 3rd": "Def 3rd", "Mid 3rd": "Mid 3rd", "Att 3rd": "Att 3rd",
+                   "Att Pen": "Att Pen", "Att": "Att (Take-Ons)", "Succ%": "Succ%",
+                   "Tkld%": "Tkld%", "Carries": "Carries", "TotDist": "TotDist (Carries)",
+                   "PrgDist": "PrgDist (Carries)", "PrgC": "PrgC_possession",
+                   "1/3": "1/3 (Carries)", "CPA": "CPA", "Mis": "Mis", "Dis": "Dis",
+                   "Rec": "Rec", "PrgR": "PrgR (Receiving)"},
+    "misc": {"Player": "Player", "Fls": "Fls", "Fld": "Fld", "Off": "Off", "Crs": "Crs",
+             "Recov": "Recov", "Won": "Won", "Lost": "Lost_misc", "Won%": "Won%"},
+}
+REFERENCE_DESCRIPTORS = {"Player": "first", "Nation": "first", "Squad": "concat",
+                         "Pos": "first", "Age": "first"}
+REFERENCE_STATS = [
+    "MP", "Starts", "Min", "Gls", "Ast", "CrdY", "CrdR", "xG", "npxG", "xAG",
+    "PrgC_standard", "PrgP_standard", "PrgR_standard", "Gls_per90", "Ast_per90", "xG_per90",
+    "xAG_per90", "GA90", "Save%", "CS%", "PK Save%", "SoT%", "SoT/90", "G/Sh", "Dist",
+    "Total Cmp", "Total Cmp%", "TotDist_passing", "Short Cmp%", "Medium Cmp%", "Long Cmp%",
+    "KP", "1/3_passing", "PPA", "CrsPA", "PrgP_passing", "SCA", "SCA90", "GCA", "GCA90",
+    "Tkl", "TklW", "Att_defense", "Lost_defense", "Blocks", "Sh_defense", "Pass_defense", "Int",
+    "Touches", "Def Pen", "Def 3rd", "Mid 3rd", "Att 3rd", "Att Pen", "Att (Take-Ons)", "Succ%",
+    "Tkld%", "Carries", "TotDist (Carries)", "PrgDist (Carries)", "PrgC_possession",
+    "1/3 (Carries)", "CPA", "Mis", "Dis", "Rec", "PrgR (Receiving)", "Fls", "Fld", "Off", "Crs",
+    "Recov", "Won", "Lost_misc", "Won%",
+]
+REFERENCE_MEAN_STATS = [
+    "Gls_per90", "Ast_per90", "xG_per90", "xAG_per90", "GA90", "Save%", "CS%", "PK Save%",
+    "SoT%", "SoT/90", "G/Sh", "Dist", "Total Cmp%", "Short Cmp%", "Medium Cmp%", "Long Cmp%",
+    "SCA90", "GCA90", "Succ%", "Tkld%", "Won%",
+]
+REFERENCE_MEAN_IMPUTED = [
+    "Gls_per90", "Ast_per90", "xG_per90", "xAG_per90", "SoT%", "G/Sh", "Dist", "Total Cmp%",
+    "Short Cmp%", "Medium Cmp%", "Long Cmp%", "SCA90", "GCA90", "Succ%", "Tkld%", "Won%",
+]
+REFERENCE_NOT_CLUSTERED = ["GA90", "Save%", "CS%", "PK Save%"]
+REFERENCE_MIN_COLUMN, REFERENCE_MIN_ABOVE = "Min", 90
+
+
+def reference_table_specs() -> list[TableSpec]:
+    """The reference catalog as ``TableSpec`` rows; ``source`` is the URL
+    fragment naming the page of each table."""
+    return [TableSpec(name=n, source=f"/{n}/", columns=tuple(cols), rename=dict(cols))
+            for n, cols in REFERENCE_TABLES.items()]
+
+
+def reference_measures() -> list[MeasureSpec]:
+    """75 stats: mean-aggregated ones are rates for group reports except the
+    five that the reference still divides by group size (T11)."""
+    out = []
+    for s in REFERENCE_STATS:
+        agg = "mean" if s in REFERENCE_MEAN_STATS else "sum"
+        kind = "rate" if s in REFERENCE_RATE_STATS else "extensive"
+        imp = ("none" if s in REFERENCE_NOT_CLUSTERED
+               else "mean" if s in REFERENCE_MEAN_IMPUTED else "zero")
+        seg = REFERENCE_SEGMENT_ONLY_VALUE if s in REFERENCE_SEGMENT_ONLY_STATS else None
+        out.append(MeasureSpec(s, agg=agg, kind=kind, impute=imp, segment_only=seg))
+    return out
