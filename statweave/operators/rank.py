@@ -28,17 +28,23 @@ def top_bottom_k(long: DataFrame, k: int = 3, partition: list[str] = ("stat",),
                  min_values: int = 0) -> DataFrame:
     """Top k and bottom k rows per partition, ties broken by ``ties``.
     Partitions with fewer than ``min_values`` values are left out (their
-    status is reported by ``top_k_status``)."""
+    status is reported by ``top_k_status``). The sample-size check is applied
+    to the k-row result, never as a join on the full frame (that would
+    shuffle every row by the partition key before the partial limit)."""
     partition, ties = list(partition), list(ties)
-    src = long
-    if min_values:
+    hi = top_k(long, k, partition, value, ties, True).withColumn("direction", F.lit("highest"))
+    lo = top_k(long, k, partition, value, ties, False).withColumn("direction", F.lit("lowest"))
+    out = hi.unionByName(lo)
+    if min_values > k:
         ok = (long.filter(F.col(value).isNotNull()).groupBy(*partition)
                   .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_values)
                   .select(*partition))
-        src = long.join(ok, on=partition, how="left_semi")
-    hi = top_k(src, k, partition, value, ties, True).withColumn("direction", F.lit("highest"))
-    lo = top_k(src, k, partition, value, ties, False).withColumn("direction", F.lit("lowest"))
-    return hi.unionByName(lo)
+        out = out.join(ok, on=partition, how="left_semi")
+    elif min_values:
+        # fewer than k values <=> fewer than k rows survive the limit
+        n = F.count(F.lit(1)).over(Window.partitionBy(*partition, "direction"))
+        out = out.withColumn("_n", n).filter(F.col("_n") >= min_values).drop("_n")
+    return out
 
 
 def top_k_status(long: DataFrame, partition: list[str], value: str = "value",

@@ -75,7 +75,8 @@ def normalized(spark, sf_dir) -> DataFrame:
 def team_frame(spark, sf_dir) -> DataFrame:
     tn = normalized(spark, sf_dir)
     vg = filters.valid_groups(tn, "grp", allow_list_df(spark), MIN_GROUP_MEMBERS)
-    kept = tn.join(vg.select("grp"), on="grp", how="left_semi")
+    # vg is a subset of the fixed allow-list, so its size is bounded by that list
+    kept = tn.join(F.broadcast(vg.select("grp")), on="grp", how="left_semi")
     return filters.drop_all_null(kept, STATS)
 
 
