@@ -183,8 +183,13 @@ def near_misses(left: DataFrame, right: DataFrame, k: int = 3,
     spark = left.sparkSession
     pending = left.select("lid", "ltext")
     done = []
-    cands_last = None
+    cands_last = left.sparkSession.createDataFrame(
+        [], "lid string, rid string, score int, rorder long")
+    right = cut_lineage(right.select("rid", "rtext", "rorder"))
+    pending = cut_lineage(pending)
     for theta in thetas:
+        if pending.isEmpty():
+            break
         c = similarity_join(pending, right.select("rid", "rtext"), theta)
         c = c.join(right.select("rid", "rorder"), "rid").select("lid", "rid", "score", "rorder")
         c = cut_lineage(c)

@@ -82,6 +82,14 @@ def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "avg_disc", "avg_tax")
 
 
+def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity frame written once to the shared folder. Reports read it
+    several times (sizes, filters, each ranking branch); rescanning the line
+    items for each would cost far more than writing one row per entity."""
+    from ..session import cut_lineage
+    return cut_lineage(entity_stats(spark, sf_dir))
+
+
 def entity_long(cs: DataFrame, stats: list[str] | None = None) -> DataFrame:
     """csl(c_custkey, c_name, grp, seg, stat, value), NULL values dropped."""
     return unpivot_stats(cs, ID_COLS, stats or STATS)

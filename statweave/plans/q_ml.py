@@ -11,16 +11,19 @@ from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..operators import ml, rank, schema
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from ..specs import MEAN_IMPUTED, MIN_MODEL_ROWS, STATS, ZERO_IMPUTED
-from .entity import CS_SQL, entity_stats
+from .entity import CS_SQL, entity_stats, entity_stats_once
 from .registry import query, rnd, round_doubles
 
 K_FINAL = 4
 
 
 def imputed(spark, sf_dir):
-    cs = entity_stats(spark, sf_dir)
+    """Entity frame written once to the shared folder (the fits below make
+    several passes over it), then mean/zero imputation."""
+    cs = entity_stats_once(spark, sf_dir)
     cs = cs.withColumns({c: F.col(c).cast("double") for c in STATS})
     return ml.impute(cs, MEAN_IMPUTED, ZERO_IMPUTED)
 
@@ -29,6 +32,12 @@ def scaled(spark, sf_dir):
     return ml.zscore(imputed(spark, sf_dir), STATS, population=True)
 
 
+def features(spark, sf_dir):
+    """Scaled measures assembled into one vector column, checkpointed: K
+    sweeps, K-means and PCA all iterate over this frame."""
+    return cut_lineage(ml.assemble(scaled(spark, sf_dir), STATS))
+
+
 def _impute_sql() -> str:
     cols = []
     for s in STATS:
@@ -62,14 +71,12 @@ def zscore_q(spark, sf_dir):
 
 
 def clustered(spark, sf_dir, k: int = K_FINAL):
-    feats = ml.assemble(scaled(spark, sf_dir), STATS)
-    return ml.kmeans_assign(feats, k, seed=42)
+    return ml.kmeans_assign(features(spark, sf_dir), k, seed=42)
 
 
 @query("kmeans_sweep", "M4 M5 M19 T16 T17")
 def kmeans_sweep_q(spark, sf_dir):
-    feats = ml.assemble(scaled(spark, sf_dir), STATS)
-    return ml.kmeans_sweep(feats, range(2, 11), seed=42)
+    return ml.kmeans_sweep(features(spark, sf_dir), range(2, 11), seed=42)
 
 
 @query("kmeans_assign", "M3 M7")
@@ -136,7 +143,7 @@ def value_frame(spark, sf_dir):
     seg_cols = [c for c in oh.columns if c.startswith("seg_")]
     oh = oh.withColumns({c: F.col(c).cast("double") for c in seg_cols})
     feats = ["n_orders", "n_items", "qty", "avg_disc", "avg_tax", "acctbal", *seg_cols]
-    return ml.exact_split(oh, "c_custkey", 0.2, 42), feats
+    return cut_lineage(ml.exact_split(oh, "c_custkey", 0.2, 42)), feats
 
 
 @query("train_test_split", "M8 T26")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as agg
 from ..operators import rank
 from ..specs import MIN_VALUES_TOP_K
-from .entity import CS_SQL, entity_long, entity_stats
+from .entity import CS_SQL, entity_long, entity_stats, entity_stats_once
 from .registry import query, rnd
 
 
@@ -27,7 +27,7 @@ SELECT stat, 'lowest' AS direction, CAST(rl AS INTEGER) AS rank, c_custkey, c_na
        round(value, 6) AS value FROM r WHERE rl <= 3
 """)
 def top_k_per_stat(spark, sf_dir):
-    long = entity_long(entity_stats(spark, sf_dir))
+    long = entity_long(entity_stats_once(spark, sf_dir))
     tb = rank.top_bottom_k(long, 3, ["stat"], "value", ["c_name", "c_custkey"],
                            min_values=MIN_VALUES_TOP_K)
     return tb.select("stat", "direction", F.col("rank").cast("int").alias("rank"),
@@ -68,7 +68,7 @@ def stat_list_df(spark: SparkSession) -> DataFrame:
 
 
 def normalized(spark, sf_dir) -> DataFrame:
-    cs = entity_stats(spark, sf_dir)
+    cs = entity_stats_once(spark, sf_dir)
     return agg.normalize_by_group(cs, "grp", "c_name", EXTENSIVE_STATS)
 
 
