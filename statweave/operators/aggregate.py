@@ -104,17 +104,22 @@ def normalize_by_group(df: DataFrame, grp: str, count_col: str,
 
 # --------------------------------------------------------------- A8 / A9 --
 def group_moments(long: DataFrame, by: list[str], value: str = "value",
-                  median: str = "exact", accuracy: int = 10000) -> DataFrame:
+                  median: str = "exact", accuracy: int = 10000,
+                  materialize: bool = True) -> DataFrame:
     """Median, mean, sample std and count per group x stat.
 
     ``median='exact'`` finds the two middle values by range refinement
     (``operators.quantile``): exact, and no group is ever held whole in one
     task. ``'approx'`` uses ``percentile_approx``; ``'percentile'`` Spark's
-    exact ``median`` (one buffer per group holding its distinct values)."""
+    exact ``median`` (one buffer per group holding its distinct values).
+    ``materialize`` writes the input once before the passes; turn it off
+    when the input is already cheap to recompute (read from a checkpoint)."""
     if median == "exact":
         from .quantile import exact_median
         from ..session import cut_lineage
-        vals = cut_lineage(long.select(*by, value).filter(F.col(value).isNotNull()))
+        vals = long.select(*by, value).filter(F.col(value).isNotNull())
+        if materialize:
+            vals = cut_lineage(vals)
         mom = vals.groupBy(*by).agg(F.avg(value).alias("mean"),
                                     F.stddev_samp(value).alias("std"),
                                     F.count(value).alias("n"))

@@ -7,7 +7,6 @@ boosted trees (grid search and CV inside Spark ML)."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..operators import ml, rank, schema

@@ -102,14 +102,6 @@ def parse_composite_q(spark, sf_dir):
     return o.select("o_orderkey", leading_int(F.col("o_orderpriority")).alias("priority_num"))
 
 
-CS_COLS = ["c_custkey", "c_name", "grp", "seg", "n_orders", "spend", "avg_price", "acctbal",
-           "qty", "n_items", "avg_disc", "avg_tax"]
-
-
-def _r(cols):
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
-
-
 @query("fill_constant", "P10", sql=f"""
 WITH {CS_SQL}
 SELECT c_custkey, c_name, grp, seg, n_orders, round(spend, 6) AS spend,
