@@ -18,11 +18,12 @@ def threshold(df: DataFrame, col: str, above: float) -> DataFrame:
 
 def valid_groups(df: DataFrame, grp: str, allow: DataFrame, min_members: int) -> DataFrame:
     """groups in the allow-list with at least ``min_members`` rows,
-    largest first (ties by name). ``allow`` is a literal frame built from a
-    fixed list, so its size is known; it is semi-joined."""
+    largest first (ties by name). The allow-list is broadcast after a size
+    check (it is normally a literal list)."""
+    from ..session import broadcast_if_small
     counts = (df.filter(F.col(grp).isNotNull()).groupBy(grp)
                 .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_members))
-    return (counts.join(F.broadcast(allow.select(grp)), on=grp, how="left_semi")
+    return (counts.join(broadcast_if_small(allow.select(grp)), on=grp, how="left_semi")
                   .orderBy(F.col("n").desc(), F.col(grp)))
 
 

@@ -110,12 +110,17 @@ def first_contained(text: Column, candidates: list[str]) -> Column:
 
 
 def first_contained_join(df: DataFrame, text: str, candidates: DataFrame,
-                         key: list[str], out: str = "match") -> DataFrame:
+                         key: list[str], out: str = "match",
+                         max_candidates: int = 100_000) -> DataFrame:
     """J6 for a candidate table (priority, name): a broadcast nested-loop
-    join on ``contains`` then ``min_by(name, priority)`` per row. The
-    candidate table must be small (it is broadcast); its row count is checked
-    by the caller."""
+    join on ``contains`` then ``min_by(name, priority)`` per row. A theta
+    join has no key to shuffle on, so the candidate table must be small: its
+    row count is checked and a larger table is refused rather than turned
+    into a cartesian product."""
     from ..functions.text import trim_ws
+    n = candidates.limit(max_candidates + 1).count()
+    if n > max_candidates:
+        raise ValueError(f"containment join: more than {max_candidates} candidates")
     t = df.select(*key, trim_ws(F.col(text)).alias("_t"))
     hits = t.join(F.broadcast(candidates), F.col("_t").contains(F.col("name")), "inner")
     best = hits.groupBy(*key).agg(F.min_by("name", "priority").alias("_hit"))

@@ -48,6 +48,7 @@ from ..specs import (ENTITY_MEASURES, EXTENSIVE_STATS, GROUP_ALLOW_LIST,  # noqa
                      STRENGTH_CATEGORIES)
 from .entity import ID_COLS  # noqa: E402
 from .registry import round_doubles  # noqa: E402
+from ..session import broadcast_if_small  # noqa: E402
 
 
 def _sql_list(xs) -> str:
@@ -75,8 +76,8 @@ def normalized(spark, sf_dir) -> DataFrame:
 def team_frame(spark, sf_dir) -> DataFrame:
     tn = normalized(spark, sf_dir)
     vg = filters.valid_groups(tn, "grp", allow_list_df(spark), MIN_GROUP_MEMBERS)
-    # vg is a subset of the fixed allow-list, so its size is bounded by that list
-    kept = tn.join(F.broadcast(vg.select("grp")), on="grp", how="left_semi")
+    # vg is a subset of the allow-list; broadcast after the size check
+    kept = tn.join(broadcast_if_small(vg.select("grp")), on="grp", how="left_semi")
     return filters.drop_all_null(kept, STATS)
 
 

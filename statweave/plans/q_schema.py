@@ -11,6 +11,7 @@ from ..sources.tables import read_table
 from ..specs import GROUP_ALLOW_LIST, MIN_GROUP_MEMBERS
 from .entity import CS_SQL, entity_stats
 from .q_reports import ALLOW_SQL, allow_list_df
+from ..session import broadcast_if_small
 from .registry import query, rnd, round_doubles
 
 # Raw headers as a source page would show them for lineitem's columns:
@@ -210,7 +211,7 @@ EXCEPT SELECT * FROM (VALUES {", ".join(f"('{g}')" for g in GROUP_ALLOW_LIST)})
 def invalid_groups_q(spark, sf_dir):
     cs = entity_stats(spark, sf_dir)
     present = cs.select("grp").filter(F.col("grp").isNotNull()).distinct()
-    return present.join(F.broadcast(allow_list_df(spark).select("grp")), "grp", "left_anti")
+    return present.join(broadcast_if_small(allow_list_df(spark).select("grp")), "grp", "left_anti")
 
 
 @query("segment_split", "F7 U1 T9", sql=f"""

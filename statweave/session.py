@@ -68,3 +68,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint only behind a size check: at most ``max_rows`` rows
+    (counted with an early-stopping limit). Beyond it the frame is returned
+    as is and the join is planned by AQE from measured sizes (sort-merge with
+    skew splitting)."""
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
