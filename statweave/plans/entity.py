@@ -82,12 +82,34 @@ def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "avg_disc", "avg_tax")
 
 
+_MATERIALISED: dict = {}
+
+
+def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
+    import os
+    from ..sources.tables import table_path
+    stamps = []
+    for t in ("customer", "nation", "orders", "lineitem"):
+        try:
+            stamps.append(os.path.getmtime(table_path(sf_dir, t)))
+        except OSError:                      # remote file system: key on the path only
+            stamps.append(None)
+    return (spark.sparkContext.applicationId, sf_dir, tuple(stamps))
+
+
 def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entity frame written once to the shared folder. Reports read it
-    several times (sizes, filters, each ranking branch); rescanning the line
-    items for each would cost far more than writing one row per entity."""
+    """The entity frame written once to the shared folder and reused by every
+    report of the session (the stage-1 output the later stages read, as the
+    reference hands over its results file). Rescanning the line items for
+    each report would cost far more than writing one row per entity. The
+    key includes the application and the input files' modification times."""
     from ..session import cut_lineage
-    return cut_lineage(entity_stats(spark, sf_dir))
+    key = _inputs_key(spark, sf_dir)
+    df = _MATERIALISED.get(key)
+    if df is None:
+        df = cut_lineage(entity_stats(spark, sf_dir))
+        _MATERIALISED[key] = df
+    return df
 
 
 def entity_long(cs: DataFrame, stats: list[str] | None = None) -> DataFrame:
