@@ -89,3 +89,15 @@ def near_misses_q(spark, sf_dir):
     nm = match.near_misses(le.select("lid", "ltext"), ta, k=3)
     return nm.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"),
                      "score", "rank")
+
+
+@query("distinct_names", "U3 X6 X7 X8", sql=f"""
+SELECT count(DISTINCT {normalize_sql("substr(p_name, 2)")}) AS n_distinct,
+       count(DISTINCT {normalize_sql("p_name")}) AS n_targets FROM part
+""")
+def distinct_names_q(spark, sf_dir):
+    """Distinct normalised names on each side of the match."""
+    p = read_table(spark, sf_dir, "part", ["p_name"])
+    n = p.select(normalize_name(F.expr("substr(p_name, 2)")).alias("l"),
+                 normalize_name(F.col("p_name")).alias("r"))
+    return n.agg(F.count_distinct("l").alias("n_distinct"), F.count_distinct("r").alias("n_targets"))

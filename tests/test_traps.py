@@ -256,3 +256,13 @@ def test_exact_median_matches_numpy(spark):
     kth = {r.k: r.kth for r in kth_values(df, ["grp", "stat"], "value", t, buckets=4, small=3).collect()}
     srt = sorted(v for gg, _, v in rows if gg == "d")
     assert kth == {0: srt[0], 499: srt[499], 999: srt[999]}
+
+
+def test_find_and_split_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "`Player_ID` int, `Player Name` string")
+    assert schema.find_column(df, "Player") == "Player_ID"
+    with pytest.raises(KeyError):
+        schema.find_column(df, "Squad")
+    assert schema.split_available(df, ["Player Name", "Min"]) == (["Player Name"], ["Min"])
+    out = schema.select_rename(df, ["Player Name", "Player Name", "Gone"], {"Player Name": "Player"})
+    assert out.columns == ["Player"]
