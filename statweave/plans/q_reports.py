@@ -1,16 +1,21 @@
 """Group reports over the entity frame (stage-2 analogue): top/bottom k per
 stat, group moments and means, best group per stat and overall, strengths,
-histograms, normalisation by group size, null profile."""
+histograms, normalisation by group size."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
-from ..operators import rank
-from ..specs import MIN_VALUES_TOP_K
-from .entity import CS_SQL, entity_long, entity_stats, entity_stats_once
-from .registry import query, rnd
+from ..operators import filters, rank
+from ..operators.histogram import histogram, histogram_sql
+from ..session import broadcast_if_small
+from ..specs import (ENTITY_MEASURES, EXTENSIVE_STATS, GROUP_ALLOW_LIST, HISTOGRAM_BINS,
+                     MIN_GROUP_MEMBERS, MIN_VALUES_HISTOGRAM, MIN_VALUES_TOP_K, STATS,
+                     STRENGTH_CATEGORIES)
+from .entity import CS_SQL, ID_COLS, entity_long, entity_stats, entity_stats_once
+from .registry import query, rnd, round_doubles
 
 
 @query("top_k_per_stat", "W1 F6 F8 P18", sql=f"""
@@ -39,18 +44,6 @@ def top_k_per_stat(spark, sf_dir):
 # any filter, T12), groups kept when in the allow-list with >= 5 members,
 # rows with every stat missing dropped. Reports derive from its long form.
 # ------------------------------------------------------------------------
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-
-from ..operators import filters  # noqa: E402
-from ..operators.histogram import histogram, histogram_sql  # noqa: E402
-from ..specs import (ENTITY_MEASURES, EXTENSIVE_STATS, GROUP_ALLOW_LIST,  # noqa: E402
-                     HISTOGRAM_BINS, MIN_GROUP_MEMBERS, MIN_VALUES_HISTOGRAM, STATS,
-                     STRENGTH_CATEGORIES)
-from .entity import ID_COLS  # noqa: E402
-from .registry import round_doubles  # noqa: E402
-from ..session import broadcast_if_small  # noqa: E402
-
-
 def _sql_list(xs) -> str:
     return ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
 
