@@ -153,13 +153,25 @@ def best_group_per_stat(means: DataFrame, stat_list: DataFrame,
 
 
 # ------------------------------------------------------------------- A11 --
-def group_scores(means: DataFrame, grp: str = "grp", mean: str = "mean") -> DataFrame:
-    """Unweighted mean of a group's per-stat means (missing skipped)."""
-    return means.groupBy(grp).agg(F.avg(mean).alias("score")).filter(F.col("score").isNotNull())
-
-
-def best_group_overall(means: DataFrame, grp: str = "grp", mean: str = "mean") -> DataFrame:
-    return group_scores(means, grp, mean).orderBy(F.col("score").desc(), F.col(grp)).limit(1)
+def group_scores(means: DataFrame, grp: str = "grp", mean: str = "mean",
+                 stat: str = "stat", standardize: bool = False) -> DataFrame:
+    """Unweighted mean of a group's per-stat means (missing skipped). The
+    reference averages raw means, so large-unit stats dominate (T36);
+    ``standardize=True`` z-scores each stat's means across groups first (a
+    window over one stat's group means: #groups rows)."""
+    m = F.col(mean)
+    if standardize:
+        w = Window.partitionBy(stat)
+        sd = F.stddev_pop(mean).over(w)
+        m = F.when(sd > 0, (m - F.avg(mean).over(w)) / sd).otherwise(F.when(m.isNotNull(), 0.0))
+    return (means.select(grp, m.alias("_m")).groupBy(grp).agg(F.avg("_m").alias("score"))
+                 .filter(F.col("score").isNotNull()))
+
+
+def best_group_overall(means: DataFrame, grp: str = "grp", mean: str = "mean",
+                       standardize: bool = False) -> DataFrame:
+    return (group_scores(means, grp, mean, standardize=standardize)
+            .orderBy(F.col("score").desc(), F.col(grp)).limit(1))
 
 
 # ------------------------------------------------------------------- A12 --

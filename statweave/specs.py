@@ -188,6 +188,9 @@ REFERENCE_MEAN_IMPUTED = [
 ]
 REFERENCE_NOT_CLUSTERED = ["GA90", "Save%", "CS%", "PK Save%"]
 REFERENCE_MIN_COLUMN, REFERENCE_MIN_ABOVE = "Min", 90
+# The same raw measure under two names (T41): copy -> original.
+REFERENCE_ALIASES = {"PrgP_passing": "PrgP_standard", "PrgC_possession": "PrgC_standard",
+                     "PrgR (Receiving)": "PrgR_standard"}
 
 
 def reference_table_specs() -> list[TableSpec]:
@@ -207,5 +210,13 @@ def reference_measures() -> list[MeasureSpec]:
         imp = ("none" if s in REFERENCE_NOT_CLUSTERED
                else "mean" if s in REFERENCE_MEAN_IMPUTED else "zero")
         seg = REFERENCE_SEGMENT_ONLY_VALUE if s in REFERENCE_SEGMENT_ONLY_STATS else None
-        out.append(MeasureSpec(s, agg=agg, kind=kind, impute=imp, segment_only=seg))
+        out.append(MeasureSpec(s, agg=agg, kind=kind, impute=imp, segment_only=seg,
+                               alias_of=REFERENCE_ALIASES.get(s)))
     return out
+
+
+def without_aliases(measures: list[MeasureSpec]) -> list[MeasureSpec]:
+    """Drop measures that repeat another under a second name, so clustering
+    and overall scores do not weight them twice (T41). The parity preset
+    keeps them."""
+    return [m for m in measures if m.alias_of is None]

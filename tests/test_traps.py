@@ -266,3 +266,24 @@ def test_find_and_split_columns(spark):
     assert schema.split_available(df, ["Player Name", "Min"]) == (["Player Name"], ["Min"])
     out = schema.select_rename(df, ["Player Name", "Player Name", "Gone"], {"Player Name": "Player"})
     assert out.columns == ["Player"]
+
+
+def test_reference_preset():
+    """T11 / T41 / counts of the reference catalog."""
+    from statweave import specs
+    m = specs.reference_measures()
+    assert len(m) == 75 and sum(x.agg == "sum" for x in m) == 54
+    assert sum(x.kind == "extensive" for x in m) == 59          # 54 sums + 5 divided rates
+    assert {x.name for x in m if x.agg == "mean" and x.kind == "extensive"} == \
+        {"SoT/90", "G/Sh", "Dist", "SCA90", "GCA90"}
+    assert len(specs.without_aliases(m)) == 72
+    assert sum(x.impute != "none" for x in m) == 71
+
+
+def test_overall_score_standardized(spark):
+    """Raw means let a large-unit stat decide; z-scored means do not."""
+    means = spark.createDataFrame([("A", "min", 1000.0), ("B", "min", 900.0),
+                                   ("A", "gls", 1.0), ("B", "gls", 3.0), ("A", "ast", 1.0),
+                                   ("B", "ast", 2.0)], "grp string, stat string, mean double")
+    assert agg.best_group_overall(means).first().grp == "A"
+    assert agg.best_group_overall(means, standardize=True).first().grp == "B"
