@@ -28,7 +28,33 @@ class Side:
     order_col: str | None = None
 
 
-def wide_left_join(base: Side, sides: list[Side], key: str, mode: str = "aggregate") -> DataFrame:
+@dataclass
+class SplitSource:
+    """Several sides that are slices of one source (rows where ``split_col``
+    equals each value). They are reduced in a single pass with conditional
+    aggregates (one scan, one shuffle) instead of one filtered scan each.
+    ``parts`` maps side name -> (value, specs)."""
+    df: DataFrame
+    split_col: str
+    parts: dict
+    order_col: str | None = None
+
+    def sides(self) -> list[Side]:
+        return [Side(n, self.df, specs, self.order_col) for n, (_, specs) in self.parts.items()]
+
+    def reduce(self, key: str) -> DataFrame:
+        cols, specs = {}, {}
+        for name, (value, sp) in self.parts.items():
+            cond = F.col(self.split_col) == F.lit(value)
+            cols[f"_one_{name}"] = F.when(cond, F.lit(1))
+            specs[f"_n_{name}"] = ("count", f"_one_{name}")
+            for out, (kind, col) in sp.items():
+                cols[f"_c_{out}"] = F.when(cond, F.col(col))
+                specs[out] = (kind, f"_c_{out}")
+        return mixed_agg(self.df.withColumns(cols), key, specs, self.order_col)
+
+
+def wide_left_join(base: Side, sides: list, key: str, mode: str = "aggregate") -> DataFrame:
     """Left-join ``sides`` to ``base`` on ``key``; one output row per base key.
 
     ``mode='aggregate'``: each table is reduced to key grain (partial+final
@@ -37,9 +63,14 @@ def wide_left_join(base: Side, sides: list[Side], key: str, mode: str = "aggrega
     ``mode='fanout'``: results equal aggregating the raw left-join product."""
     if mode not in ("aggregate", "fanout"):
         raise ValueError(mode)
-    tables = [base, *sides]
-    reduced = []
-    for t in tables:
+    tables, reduced = [base], []
+    for t in [base, *sides]:
+        if isinstance(t, SplitSource):
+            tables.extend(t.sides())
+            reduced.append(t.reduce(key))
+            continue
+        if t is not base:
+            tables.append(t)
         specs = dict(t.specs)
         specs[f"_n_{t.name}"] = ("count", "_one")
         df = t.df.withColumn("_one", F.lit(1))

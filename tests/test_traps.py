@@ -287,3 +287,19 @@ def test_overall_score_standardized(spark):
                                    ("B", "ast", 2.0)], "grp string, stat string, mean double")
     assert agg.best_group_overall(means).first().grp == "A"
     assert agg.best_group_overall(means, standardize=True).first().grp == "B"
+
+
+def test_split_source_equals_separate_sides(spark):
+    rows = [("a", "R", 1.0, 0), ("a", "R", 2.0, 1), ("a", "N", 5.0, 2), ("b", "N", None, 3),
+            ("c", "A", 4.0, 4)]
+    src = spark.createDataFrame(rows, "k string, f string, x double, o int")
+    base = joins.Side("b", spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "k string")
+                      .withColumn("o", F.lit(0)), {}, "o")
+    parts = {f"s{f}": (f, {f"x_{f}": ("sum", "x"), f"m_{f}": ("mean", "x"), f"c_{f}": ("count", "x")})
+             for f in "RNA"}
+    sep = [joins.Side(n, src.filter(F.col("f") == v), sp, "o") for n, (v, sp) in parts.items()]
+    for mode in ("aggregate", "fanout"):
+        a = {r.k: r.asDict() for r in joins.wide_left_join(base, sep, "k", mode).collect()}
+        b = {r.k: r.asDict() for r in joins.wide_left_join(
+            base, [joins.SplitSource(src, "f", parts, "o")], "k", mode).collect()}
+        assert a == b
