@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..sources import pages as pg
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS
 from .registry import query
 
@@ -19,7 +19,7 @@ SELECT doc_id, nullif(regexp_replace(text, '{text.UPPER_CLASS}', '', 'g'), '') A
 FROM documents
 """)
 def extract_uppercase_q(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return d.select("doc_id", text.extract_uppercase(F.col("text")).alias("upper_only"))
 
 
@@ -34,7 +34,7 @@ SELECT doc_id,
 FROM documents
 """)
 def sanitize_name_q(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return d.select("doc_id", text.sanitize_name(F.col("text")).alias("safe_name"))
 
 
@@ -58,7 +58,7 @@ def normalize_sql(col: str) -> str:
 SELECT doc_id, {normalize_sql("text")} AS normalized FROM documents
 """)
 def normalize_name_q(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return d.select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
 
 
@@ -86,9 +86,9 @@ def html_link_extract_q(spark, sf_dir):
 
 @query("html_table_extract", "S1 S2 S3 F1 J2")
 def html_table_extract_q(spark, sf_dir):
-    return pg.extract_cells(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
+    return pg.extract_cells(spread(read_table(spark, sf_dir, "pages", ["page_id", "html"])))
 
 
 @query("page_extract_status", "S4")
 def page_extract_status_q(spark, sf_dir):
-    return pg.page_status(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
+    return pg.page_status(spread(read_table(spark, sf_dir, "pages", ["page_id", "html"])))

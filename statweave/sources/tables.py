@@ -30,3 +30,12 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
         p = table_path(sf_dir, name)
         if os.path.exists(p):
             spark.read.parquet(p).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a CPU-heavy, row-local stage over all cores when the scan gives
+    fewer partitions than the cluster's parallelism (a single large parquet
+    row group, say). With many input files (the normal case at scale) the
+    scan already has more partitions than cores and no shuffle is added."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
