@@ -94,7 +94,11 @@ def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
             stamps.append(os.path.getmtime(table_path(sf_dir, t)))
         except OSError:                      # remote file system: key on the path only
             stamps.append(None)
-    return (spark.sparkContext.applicationId, sf_dir, tuple(stamps))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        app = id(spark)
+    return (app, sf_dir, tuple(stamps))
 
 
 def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster the setting must be given; only a local-mode session (tests,
     the bench) gets a fresh scratch folder of its own when it is unset.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):

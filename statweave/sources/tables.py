@@ -37,5 +37,9 @@ def spread(df: DataFrame) -> DataFrame:
     fewer partitions than the cluster's parallelism (a single large parquet
     row group, say). With many input files (the normal case at scale) the
     scan already has more partitions than cores and no shuffle is added."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave the plan as is
+        return df
+    return df.repartition(par) if n < par else df
