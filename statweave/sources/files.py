@@ -77,18 +77,21 @@ def top_k_report(long: DataFrame, stat_list: DataFrame, k: int = 3,
 
 
 def render_top_k_lines(report: DataFrame, stat_order: DataFrame) -> DataFrame:
-    """(stat_pos, direction, rank, line) text lines of the top-k report:
-    a heading per stat and direction, then '<entity>: <value %.2f>'."""
+    """(pos, direction, rank, line) text lines of the top-k report: a heading
+    per stat and direction (rank 0), then '<entity>: <value %.2f>'. One pass:
+    each report row expands to its own lines."""
     head = F.concat(F.lit("Top 3 "), F.col("direction"), F.lit(" for "), F.col("stat"),
                     F.when(F.col("status") == "ok", F.lit(":"))
                      .otherwise(F.lit(": Insufficient data")))
+    body = F.concat(F.col("entity"), F.lit(": "), format_2dp(F.col("value")))
+    head_s = F.struct(F.lit(0).alias("rank"), head.alias("line"))
+    body_s = F.struct(F.col("rank").alias("rank"), body.alias("line"))
+    lines = (F.when(F.col("rank").isNull(), F.array(head_s))
+              .when(F.col("rank") == 1, F.array(head_s, body_s))
+              .otherwise(F.array(body_s)))
     j = report.join(stat_order, "stat")
-    heads = j.filter((F.col("rank") == 1) | F.col("rank").isNull()).select(
-        "pos", "direction", F.lit(0).alias("rank"), head.alias("line"))
-    body = j.filter(F.col("rank").isNotNull()).select(
-        "pos", "direction", "rank",
-        F.concat(F.col("entity"), F.lit(": "), format_2dp(F.col("value"))).alias("line"))
-    return heads.unionByName(body)
+    return j.select("pos", "direction", F.explode(lines).alias("l")) \
+            .select("pos", "direction", "l.rank", "l.line")
 
 
 def write_text_lines(lines: DataFrame, path: str, order: list[str]) -> str:

@@ -303,3 +303,11 @@ def test_split_source_equals_separate_sides(spark):
         b = {r.k: r.asDict() for r in joins.wide_left_join(
             base, [joins.SplitSource(src, "f", parts, "o")], "k", mode).collect()}
         assert a == b
+
+
+@pytest.mark.parametrize("mode", ["approx", "percentile"])
+def test_median_modes_agree(spark, mode):
+    rows = [("g", "s", float(v)) for v in [1, 2, 3, 4, 100]] + [("h", "s", 7.0)]
+    df = spark.createDataFrame(rows, "grp string, stat string, value double")
+    got = {r.grp: r.median for r in agg.group_moments(df, ["grp", "stat"], median=mode).collect()}
+    assert got == {"g": 3.0, "h": 7.0}
