@@ -36,3 +36,15 @@ def format_2dp(c: Column) -> Column:
     """Two-decimal text, the missing sentinel when NULL (X10). Text only in
     sinks: Java rounds half-up where Python rounds the binary value (T31)."""
     return F.coalesce(F.format_string("%.2f", c), F.lit(MISSING_SENTINEL))
+
+
+def rnd(c: Column | str, digits: int = 6) -> Column:
+    """Round the binary value: scale, round half away from zero, unscale.
+    (Spark's ``round`` rounds the shortest decimal string instead, which
+    differs from SQL engines on values such as 0.0578125.)"""
+    c = F.col(c) if isinstance(c, str) else c
+    p = float(10 ** digits)
+    # keep the sign of zero as C's round() does (-0.4e-6 -> -0.0)
+    return (F.when(c < 0, -(F.round(-c * F.lit(p), 0) / F.lit(p)))
+             .when(c == 0, c)
+             .otherwise(F.round(c * F.lit(p), 0) / F.lit(p)))

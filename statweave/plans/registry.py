@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import rnd  # noqa: F401  (re-exported for the query modules)
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -33,18 +35,6 @@ def query(name: str, ops: str, sql: str | None = None):
     return deco
 
 
-def rnd(c: Column | str, digits: int = DIGITS) -> Column:
-    """Round the binary value: scale, round half away from zero, unscale.
-    (Spark's ``round`` rounds the shortest decimal string instead, which
-    differs from SQL engines on values such as 0.0578125.)"""
-    c = F.col(c) if isinstance(c, str) else c
-    p = float(10 ** digits)
-    # keep the sign of zero as C's round() does (-0.4e-6 -> -0.0)
-    return (F.when(c < 0, -(F.round(-c * F.lit(p), 0) / F.lit(p)))
-             .when(c == 0, c)
-             .otherwise(F.round(c * F.lit(p), 0) / F.lit(p)))
-
-
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every DOUBLE column, keeping names and order."""
     return df.select(*[

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.numeric import format_2dp
+from ..functions.numeric import format_2dp, rnd
 from ..operators.rank import top_bottom_k
-from ..plans.registry import rnd
 from ..specs import MISSING_SENTINEL
 
 
