@@ -88,11 +88,12 @@ def normalize_by_group(df: DataFrame, grp: str, count_col: str,
                        stats: list[str], out_suffix: str = "") -> DataFrame:
     """Divide extensive stats by the group's member count.
 
-    The count is a partial+final aggregate joined back on the group key (AQE
-    broadcasts it at run time when small), not a window over each group, so a
-    hot group never lands whole in one sort."""
-    sizes = group_counts(df, grp, count_col, "_grp_n")
-    j = df.join(sizes, on=grp, how="left")
+    The count is a partial+final aggregate joined back on the group key
+    (broadcast after a size check; beyond it AQE plans the join), not a
+    window over each group, so a hot group never lands whole in one sort."""
+    from ..session import broadcast_if_small, cut_lineage
+    sizes = cut_lineage(group_counts(df, grp, count_col, "_grp_n"))
+    j = df.join(broadcast_if_small(sizes), on=grp, how="left")
     cols = []
     for c in df.columns:
         if c in stats:

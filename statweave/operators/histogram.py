@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, cut_lineage
+
 
 def _edge(i: Column, lo: Column, hi: Column, nb: int) -> Column:
     step = (hi - lo) / F.lit(nb)
@@ -41,7 +43,11 @@ def histogram(long: DataFrame, by: list[str], value: str = "value", bins: int =
         *by,
         F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("lo"),
         F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("hi"))
-    binned = (vals.join(bounds, on=by, how="inner")
+    # one row per key, written once (so the size check does not recompute
+    # it) and broadcast after the check: the values are never shuffled by a
+    # low-cardinality key such as the stat name
+    bounds = cut_lineage(bounds)
+    binned = (vals.join(broadcast_if_small(bounds), on=by, how="inner")
                   .select(*by, bin_index(F.col(value), F.col("lo"), F.col("hi"), bins).alias("bin"))
                   .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count")))
     grid = bounds.select(*by, "lo", "hi",

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
 
 def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
@@ -36,7 +36,7 @@ def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
         pend = state.filter(big)
         if pend.isEmpty():
             break
-        j = vals.join(pend, by).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        j = vals.join(broadcast_if_small(pend), by).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
         b = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
                             * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
         cnt = j.groupBy(*keys, b.alias("_b")).agg(
@@ -51,8 +51,9 @@ def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
                            (F.col("r") - (F.col("_cum") - F.col("_n"))).alias("r")))
         state = state.filter(~big).unionByName(pick)
     # rank the values left inside each open range (small by construction)
+    state = cut_lineage(state)
     open_ = state.filter(F.col("lo") < F.col("hi"))
-    j = vals.join(open_, by).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+    j = vals.join(broadcast_if_small(open_), by).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
     w = Window.partitionBy(*keys).orderBy("_v")
     rest = (j.withColumn("_rn", F.row_number().over(w) - 1)
              .filter(F.col("_rn") == F.col("r"))
