@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statweave.llm import quality
+from statweave.llm import langid, mixing, packing, quality, simhash
 from statweave.session import scratch_path
 from statweave.sources.tables import table_path
 
@@ -20,8 +20,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not recognised go."""
+    return langid.keep(docs)
+
+
+def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays (3-word shingles, two
+    bits)."""
+    return simhash.dedupe(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.apply(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality", quality_stage),
+    ("language", language_stage),
+    ("near_duplicates", dedupe_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 # Language models, fingerprints, sampling and tokenizing are not SQL.

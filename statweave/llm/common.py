@@ -36,3 +36,19 @@ def rows_of(df: DataFrame, keep: str = "_row") -> DataFrame:
     """The whole row as one struct, so that working columns beside it cannot
     clash with whatever columns the input has."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(keep))
+
+
+BROADCAST_BYTES = 16 << 20
+
+
+def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a written table whose measured size is at most
+    ``max_bytes``; a larger one is left to a shuffle join, which AQE splits
+    where it is skewed."""
+    width = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        width = width + (F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) + 8
+                         if kind == "string" else F.lit(16))
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

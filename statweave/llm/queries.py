@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import langid, mixing, packing, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,27 @@ FROM b
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over every whole text of documents."""
     return quality.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes of every document: 3-word shingles, two bits."""
+    return simhash.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by PPM code length."""
+    return langid.identify(table(spark, sf_dir, "documents", "doc_id", "lang", "text"))
+
+
+@query()
+def op3_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken from every document by cube-method sampling."""
+    return mixing.report(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@query()
+def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in cost-balanced sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
