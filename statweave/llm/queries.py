@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, packing, quality, simhash
+from . import langid, licenses, main_text, mixing, packing, quality, simhash, url_reputation
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,22 @@ def op3_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in cost-balanced sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License places of every document."""
+    return licenses.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op8_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query()
+def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or reputation verdict of every page's url."""
+    return url_reputation.judge(table(spark, sf_dir, "pages", "page_id", "url"),
+                                table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
