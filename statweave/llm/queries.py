@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, licenses, main_text, mixing, packing, quality, simhash, url_reputation
+from . import (langid, licenses, main_text, mixing, packing, quality, simhash, toxicity,
+               url_reputation)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +120,14 @@ def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or reputation verdict of every page's url."""
     return url_reputation.judge(table(spark, sf_dir, "pages", "page_id", "url"),
                                 table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@query()
+def op10_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document: toxic, then severe (toxic and of low
+    quality), by a classifier chain."""
+    toxic = F.col("toxic") == 1
+    return toxicity.classify(
+        table(spark, sf_dir, "documents", "doc_id", "text"),
+        table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"),
+        {"toxic": toxic, "severe": toxic & (F.col("quality") == 0)})
