@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (langid, licenses, main_text, mixing, packing, quality, simhash, toxicity,
+from . import (langid, licenses, main_text, mixing, packing, quality, search, simhash, toxicity,
                url_reputation)
 from .common import table
 
@@ -131,3 +131,12 @@ def op10_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents", "doc_id", "text"),
         table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"),
         {"toxic": toxic, "severe": toxic & (F.col("quality") == 0)})
+
+
+@query()
+def op7_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by BM25 for every document whose id is
+    divisible by 20."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    asked = docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    return search.top_k(docs, asked)
