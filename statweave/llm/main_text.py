@@ -233,11 +233,11 @@ def _shard_runs(shard: pa.Table) -> pa.Table:
     numbers: dict[str, int] = {}
     ids, pages, words = [], [], []
     for uid, texts in zip(shard.column("uid").to_pylist(), shard.column("blocks").to_pylist()):
-        ws = [w for t in _page_words(texts) for w in t]
-        ids += [numbers.setdefault(w, len(numbers)) for w in ws]
-        ids.append(-1 - len(pages))  # a separator of its own ends every page
-        words += [*ws, ""]
-        pages += [uid] * (len(ws) + 1)
+        for ws in _page_words(texts):
+            ids += [numbers.setdefault(w, len(numbers)) for w in ws]
+            ids.append(-1 - len(ids))  # a separator of its own ends every block
+            words += [*ws, ""]
+            pages += [uid] * (len(ws) + 1)
     ids_, pages_ = np.array(ids, np.int64), np.array(pages, np.int64)
     n = len(ids_)
     if n <= RUN:
@@ -278,12 +278,15 @@ def _positions(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for host, uid, texts in zip(*(b.column(i).to_pylist() for i in range(3))):
-                ws = [w for t in _page_words(texts) for w in t]
-                k = max(len(ws) - RUN + 1, 0)
+                at, runs, base = [], [], 0
+                for ws in _page_words(texts):
+                    k = max(len(ws) - RUN + 1, 0)
+                    at += range(base, base + k)
+                    runs += [_run_hash(ws[i:i + RUN]) for i in range(k)]
+                    base += len(ws)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([host] * k, pa.string()), pa.array([uid] * k, pa.int64()),
-                     pa.array(range(k), pa.int32()),
-                     pa.array([_run_hash(ws[i:i + RUN]) for i in range(k)], pa.int64())],
+                    [pa.array([host] * len(at), pa.string()), pa.array([uid] * len(at), pa.int64()),
+                     pa.array(at, pa.int32()), pa.array(runs, pa.int64())],
                     names=["host", "uid", "at", "run"])
     return pages.select("host", "uid", "blocks").mapInArrow(
         run, "host string, uid long, at int, run long")

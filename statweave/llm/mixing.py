@@ -6,8 +6,8 @@ the inclusion probability of one more copy.  The cube method (Deville and
 Tille, 2004) rounds those probabilities to 0 or 1 so that the words and the
 documents of each source stay balanced: among three documents it moves the
 probabilities along the null space of the two constraints until one of them is
-0 or 1.  The flight runs in blocks of a source; the at most two documents that
-a block leaves over go on to the next level, in blocks again, until one block
+0 or 1.  The flight runs in blocks of a source; the few documents that a
+block leaves over go on to the next level, in blocks again, until one block
 a source is left; its last ``LANDING`` documents are the landing problem, and
 of all their roundings the best balanced one is taken.
 
@@ -39,6 +39,8 @@ MAX_TIMES = 3.0
 BLOCK = 4096
 # Units that the last step of a source rounds at once.
 LANDING = 14
+# Documents above this share of a last block's words are rounded first.
+LARGE = 0.02
 CHUNK = 1024
 SEED = 20240
 EPS = 1e-9
@@ -80,11 +82,28 @@ def targets(sources: DataFrame, weights=WEIGHTS, max_times: float = MAX_TIMES) -
         F.col("cap"), F.col("w") * F.col("line")), F.lit(0.0)).alias("target"))
 
 
+def land_all(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Round every entry of a source's last block.  Large documents, which
+    small ones cannot make up for one by one, are rounded first; what that
+    misses is spread evenly over the probabilities of the others."""
+    pi = pi.copy()
+    open_ = (pi > EPS) & (pi < 1 - EPS)
+    large = open_ & (size > LARGE * size[open_].sum()) if open_.any() else open_
+    rest = open_ & ~large
+    for part in (large, rest) if rest.any() else (large,):
+        before = float(pi[part] @ size[part])
+        pi[part] = flight(size[part], pi[part], rng, LANDING - 2, land=True)
+        if part is large and rest.any() and size[rest].sum():
+            missed = before - float(pi[part] @ size[part])
+            pi[rest] = np.clip(pi[rest] + missed / size[rest].sum(), 0, 1)
+    return np.round(pi)
+
+
 def flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator,
-           land: bool) -> np.ndarray:
-    """Round ``pi`` while sums of pi and of pi * size hold; at most two
-    entries stay fractional.  With ``land`` the last entries take no part in
-    the flight and are landed together with those two."""
+           keep: int = 0, land: bool = False) -> np.ndarray:
+    """Round ``pi`` while sums of pi and of pi * size hold.  The last ``keep``
+    entries take no part, and of the others at most two stay fractional; with
+    ``land`` all these are landed together."""
     pi = pi.copy()
     draws = rng.random(2 * len(pi) + 4)
     used, pool = 0, []
@@ -113,15 +132,14 @@ def flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator,
             open_.append(k)
         else:
             pi[k] = round(pi[k])
-    reserve = LANDING - 2 if land else 0
-    for k in open_[:max(len(open_) - reserve, 0)]:
+    for k in open_[:max(len(open_) - keep, 0)]:
         pool.append(k)
         if len(pool) == 3:
             a, b, c = (float(size[j]) for j in pool)
             u = (b - c, c - a, a - b)
             pool = move(pool, u if any(u) else (1.0, -1.0, 0.0))
     if land:
-        pool += open_[max(len(open_) - reserve, 0):]
+        pool += open_[max(len(open_) - keep, 0):]
         if pool:
             pi[pool] = landing(size[pool], pi[pool])
     return pi
@@ -137,7 +155,7 @@ def landing(size: np.ndarray, pi: np.ndarray) -> np.ndarray:
     return picks[np.argmin(words_off + 0.05 * size.mean() * docs_off)].astype(float)
 
 
-def _fly(land: bool, level: int, seed: int) -> Callable[[pa.Table], pa.Table]:
+def _fly(land: bool, level: int, seed: int, keep: int) -> Callable[[pa.Table], pa.Table]:
     def run(block: pa.Table) -> pa.Table:
         keys = [(k, "ascending") for k in ("doc_id", "th", "c", "i")]
         name = block.column("source")[0].as_py()
@@ -146,7 +164,8 @@ def _fly(land: bool, level: int, seed: int) -> Callable[[pa.Table], pa.Table]:
         # Ordered by key, then shuffled by seed: neighbours must not be alike.
         at = pc.sort_indices(block, keys, null_placement="at_start").to_numpy()
         block = block.take(pa.array(at[rng.permutation(len(at))]))
-        pi = flight(block.column("size").to_numpy(), block.column("pi").to_numpy(), rng, land)
+        size, pi = block.column("size").to_numpy(), block.column("pi").to_numpy()
+        pi = land_all(size, pi, rng) if land else flight(size, pi, rng, keep)
         return block.select(UNIT_NAMES[:-1]).append_column("pi", pa.array(pi))
     return run
 
@@ -168,12 +187,15 @@ def decide(units: DataFrame, ratio: DataFrame, block: int = BLOCK, seed: int = S
         F.lit(CHUNK), F.col("m") - F.col("c") * CHUNK) - 1))
     u = u.select("doc_id", "source", "size", "th", "c", one.alias("i"), "whole", "pi", "block",
                  "n_blocks")
+    # Each block leaves over enough for a good landing, and few enough for
+    # every level to be much smaller than the one before.
+    keep = min(LANDING, block // 4) - 2
     done, level = [], 0
     while True:
         last = u.agg(F.max("n_blocks")).first()[0]
         land = last is None or last <= 1
         flown = cut(u.drop("n_blocks").groupBy("source", "block").applyInArrow(
-            _fly(land, level, seed), UNIT))
+            _fly(land, level, seed, keep), UNIT))
         whole_now = (F.col("pi") == 0) | (F.col("pi") == 1)
         done.append(flown.filter(whole_now))
         if land:
