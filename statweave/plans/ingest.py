@@ -26,9 +26,8 @@ from ..specs import MeasureSpec, TableSpec
 KEY = "entity_key"
 
 
-def _table(pages: DataFrame, spec: TableSpec, measures: dict, descriptors: dict, is_base: bool):
-    src = pages.filter(F.col("url").contains(spec.source))
-    cells = pg.extract_cells(src, unlisted="mangle")
+def _table(cells: DataFrame, spec: TableSpec, measures: dict, descriptors: dict, is_base: bool):
+    """The wide, typed frame of one spec from its pages' cells."""
     raw = [c for c in spec.columns if spec.rename.get(c, c) != "Player"]
     wide = pg.cells_to_wide(cells, raw, spec.rename)
     typed = {}
@@ -39,33 +38,43 @@ def _table(pages: DataFrame, spec: TableSpec, measures: dict, descriptors: dict,
             typed[c] = leading_int(F.col("Age"))
     wide = wide.withColumns(typed).withColumn("Player", F.col("entity_name")) \
                .withColumn("_ord", F.struct("page_id", "row_no"))
-    wide = cut_lineage(wide)            # parsed once; reused by the join and the checks
     specs = {}
     for c in wide.columns:
         if c in measures:
             specs[c] = (measures[c].agg, c)
         elif is_base and descriptors.get(c) == "first":   # descriptors come from the base table
             specs[c] = ("first", c)
-    status = pg.page_status(src).withColumn("table", F.lit(spec.name))
-    return wide, specs, status
+    return wide, specs
 
 
 def ingest(pages: DataFrame, specs: list[TableSpec], measures: list[MeasureSpec],
            descriptors: dict[str, str], mode: str = "aggregate",
            min_col: str | None = None, min_above: float | None = None):
-    """-> (entity rows, failures). ``pages(page_id, url, html)``."""
+    """-> (entity rows, failures). ``pages(page_id, url, html)``. All specs
+    are served by one pass over the pages: a page belongs to the first spec
+    whose ``source`` its URL holds, and is parsed once."""
     mdict = {m.name: m for m in measures}
-    tables, statuses = [], []
+    tables = []
     spark = pages.sparkSession
-    for spec in specs:
-        wide, tspecs, status = _table(pages, spec, mdict, descriptors, not tables)
-        statuses.append(status)
-        if wide.isEmpty():              # a failed source: its columns are back-filled (T27)
+    number = F.lit(None).cast("int")
+    for k, spec in reversed(list(enumerate(specs))):
+        number = F.when(F.col("url").contains(spec.source), F.lit(k)).otherwise(number)
+    ids = F.element_at(F.array(*[F.lit(s.table_id).cast("string") for s in specs]), number + 1)
+    tagged = pages.select("page_id", "html", number.alias("spec"), ids.alias("table_id")).filter(
+        "spec is not null")
+    parsed = cut_lineage(pg.parse_pages(tagged, unlisted="mangle", carry="spec"))
+    names = F.array(*[F.lit(s.name) for s in specs])
+    statuses = [pg.status_of(parsed).withColumn("table", F.element_at(names, F.col("spec") + 1))
+                .drop("spec")]
+    keyed = {r["spec"] for r in parsed.filter("n_keyed_rows > 0").select("spec").distinct().collect()}
+    for k, spec in enumerate(specs):
+        if k not in keyed:              # a failed source: its columns are back-filled (T27)
             statuses.append(spark.createDataFrame(
                 [(None, None, None, 0, 0, "no_rows", f"no keyed rows for {spec.name}", spec.name)],
                 pg.STATUS_SCHEMA + ", table string"))
             continue
-        tables.append((spec.name, wide, tspecs))
+        cells = pg.cells_of(parsed.filter(F.col("spec") == k))
+        tables.append((spec.name, *_table(cells, spec, mdict, descriptors, not tables)))
     if not tables:
         raise ValueError("no source table delivered rows")
     base_name, base_df, base_specs = tables[0]

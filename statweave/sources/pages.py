@@ -28,59 +28,139 @@ from ..operators.schema import dedup_header_names
 DEFAULT_KEY_STAT = "player"
 DEFAULT_KEY_PATTERN = r"/players/(\w+)/"
 
-CELL_SCHEMA = ("page_id long, table_no int, row_no int, col_no int, header_top string, "
-               "header string, name string, value string, entity_key string, entity_name string")
+CELL = ("struct<row_no: int, col_no: int, header_top: string, header: string, name: string, "
+        "value: string, entity_key: string, entity_name: string>")
+PAGE_SCHEMA = ("page_id long, n_tables int, table_no int, n_rows int, n_keyed_rows int, "
+               f"status string, error string, cells array<{CELL}>")
 STATUS_SCHEMA = ("page_id long, n_tables int, table_no int, n_rows int, n_keyed_rows int, "
                  "status string, error string")
 
 
+def _span(value: str | None) -> int:
+    return max(int(value), 1) if (value or "").isdigit() else 1
+
+
 class _Tables(HTMLParser):
-    """Collects every table as header rows and body rows of cells."""
+    """Collects every table as header rows and body rows of cells, with the
+    repairs of a browser: an opening cell or row closes the open one, the end
+    of a table closes what is left open in it, and a table inside a cell has a
+    stack entry of its own, so the outer row goes on behind it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tables, self._stack = [], []
-        self._row = self._cell = None
-        self._section = None
+
+    def _top(self):
+        return self._stack[-1] if self._stack else None
+
+    def _end_cell(self):
+        t = self._top()
+        if t and t["cell"] is not None:
+            t["cell"]["text"] = "".join(t["cell"]["text"]).strip()
+            t["row"]["cells"].append(t["cell"])
+            t["cell"] = None
+
+    def _end_row(self):
+        self._end_cell()
+        t = self._top()
+        if t and t["row"] is not None:
+            t["rows"].append(t["row"])
+            t["row"] = None
+
+    def _end_table(self):
+        self._end_row()
+        self._stack.pop()
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "table":
-            t = {"id": a.get("id"), "head": [], "body": []}
+            t = {"id": a.get("id"), "rows": [], "row": None, "cell": None, "section": None}
             self.tables.append(t)
             self._stack.append(t)
-        elif not self._stack:
             return
-        elif tag in ("thead", "tbody", "tfoot"):
-            self._section = tag
+        t = self._top()
+        if t is None:
+            return
+        if tag in ("thead", "tbody", "tfoot"):
+            self._end_row()
+            t["section"] = tag
         elif tag == "tr":
-            self._row = {"cells": [], "cls": a.get("class") or "",
-                         "head": self._section == "thead"}
-        elif tag in ("td", "th") and self._row is not None:
-            self._cell = {"tag": tag, "stat": a.get("data-stat"), "text": [], "href": None,
-                          "span": int(a.get("colspan") or 1) if (a.get("colspan") or "1").isdigit() else 1}
-        elif tag == "a" and self._cell is not None and self._cell["href"] is None:
-            self._cell["href"] = a.get("href")
+            self._end_row()
+            t["row"] = {"cells": [], "cls": a.get("class") or "", "section": t["section"]}
+        elif tag in ("td", "th"):
+            self._end_cell()
+            if t["row"] is None:
+                t["row"] = {"cells": [], "cls": "", "section": t["section"]}
+            t["cell"] = {"tag": tag, "stat": a.get("data-stat"), "text": [], "href": None,
+                         "span": _span(a.get("colspan")), "down": _span(a.get("rowspan"))}
+        elif tag == "a" and t["cell"] is not None and t["cell"]["href"] is None:
+            t["cell"]["href"] = a.get("href")
 
     def handle_endtag(self, tag):
-        if not self._stack:
+        t = self._top()
+        if t is None:
             return
-        if tag in ("td", "th") and self._cell is not None and self._row is not None:
-            self._cell["text"] = "".join(self._cell["text"]).strip()
-            self._row["cells"].append(self._cell)
-            self._cell = None
-        elif tag == "tr" and self._row is not None:
-            t = self._stack[-1]
-            (t["head"] if self._row["head"] else t["body"]).append(self._row)
-            self._row = None
+        if tag in ("td", "th"):
+            self._end_cell()
+        elif tag == "tr":
+            self._end_row()
         elif tag in ("thead", "tbody", "tfoot"):
-            self._section = None
+            self._end_row()
+            t["section"] = None
         elif tag == "table":
-            self._stack.pop()
+            self._end_table()
 
     def handle_data(self, data):
-        if self._cell is not None:
-            self._cell["text"].append(data)
+        t = self._top()
+        if t and t["cell"] is not None:
+            t["cell"]["text"].append(data)
+
+    def close(self):
+        super().close()
+        while self._stack:
+            self._end_table()
+        for t in self.tables:
+            t["head"], t["body"] = _split_head(t["rows"])
+
+
+def _split_head(rows):
+    """Header rows: those of <thead>, else the leading rows of only <th>."""
+    head = [r for r in rows if r["section"] == "thead"]
+    body = [r for r in rows if r["section"] != "thead"]
+    if not head:
+        while body and body[0]["cells"] and all(c["tag"] == "th" for c in body[0]["cells"]):
+            head.append(body.pop(0))
+    return head, body
+
+
+def _grid(rows):
+    """Per row its (column, cell) pairs: colspans advance the column, rowspans
+    are carried down."""
+    down: dict[int, tuple[int, dict]] = {}
+    out = []
+    for r in rows:
+        at, line = 0, []
+
+        def carried(at):
+            while at in down:
+                left, cell = down.pop(at)
+                line.append((at, cell))
+                if left > 1:
+                    later[at] = (left - 1, cell)
+                at += 1
+            return at
+        later: dict[int, tuple[int, dict]] = {}
+        for c in r["cells"]:
+            at = carried(at)
+            line.append((at, c))
+            for k in range(c["span"]):
+                if c["down"] > 1:
+                    later[at + k] = (c["down"] - 1, c)
+            at += c["span"]
+        carried(at)
+        down = later
+        out.append(line)
+    return out
 
 
 def _pick(tables, table_id, key_stat):
@@ -99,7 +179,7 @@ def _headers(head_rows):
     def expand(row):
         out = []
         for c in row["cells"]:
-            out.extend([c["text"]] * max(c["span"], 1))
+            out.extend([c["text"]] * c["span"])
         return out
     if not head_rows:
         return [], []
@@ -111,81 +191,90 @@ def _headers(head_rows):
 
 def extract_page(page_id, html, table_id=None, key_stat=DEFAULT_KEY_STAT,
                  key_pattern=DEFAULT_KEY_PATTERN, suffixes=None, unlisted="keep_first"):
-    """Cells and one status row for one page."""
+    """One page as a row of ``PAGE_SCHEMA``: its status and the cells of its
+    table."""
     p = _Tables()
     p.feed(html or "")
     p.close()
     i = _pick(p.tables, table_id, key_stat)
     if i is None:
-        return [], (page_id, len(p.tables), None, 0, 0, "no_table", None)
+        return (page_id, len(p.tables), None, 0, 0, "no_table", None, [])
     t = p.tables[i]
     top, low = _headers(t["head"])
     names = dict(dedup_header_names(low, suffixes or {}, unlisted))
     rx = re.compile(key_pattern)
     cells, n_rows, n_keyed = [], 0, 0
-    for r in t["body"]:
+    for r, line in zip(t["body"], _grid(t["body"])):
         if "thead" in r["cls"].split() or all(c["tag"] == "th" for c in r["cells"]):
             continue                       # a header row repeated inside the body
         n_rows += 1
-        key_cell = next((c for c in r["cells"] if c["stat"] == key_stat), None)
+        key_cell = next((c for _, c in line if c["stat"] == key_stat), None)
         m = rx.search(key_cell["href"]) if key_cell is not None and key_cell["href"] else None
         if m is None or not key_cell["text"]:
             continue                       # no keyed link: dropped (F1)
         n_keyed += 1
-        for j, c in enumerate(r["cells"]):
-            cells.append((page_id, i, n_keyed - 1, j, top[j] if j < len(top) else None,
+        for j, c in line:
+            cells.append((n_keyed - 1, j, top[j] if j < len(top) else None,
                           low[j] if j < len(low) else None, names.get(j), c["text"],
                           m.group(1), key_cell["text"]))
-    return cells, (page_id, len(p.tables), i, n_rows, n_keyed, "ok", None)
+    return (page_id, len(p.tables), i, n_rows, n_keyed, "ok", None, cells)
 
 
-def _cells_fn(table_id, key_stat, key_pattern, suffixes, unlisted):
-    cols = [c.split()[0] for c in CELL_SCHEMA.split(", ")]
+def parse_pages(pages: DataFrame, table_id: str | None = None,
+                key_stat: str = DEFAULT_KEY_STAT, key_pattern: str = DEFAULT_KEY_PATTERN,
+                suffixes: dict | None = None, unlisted: str = "keep_first",
+                carry: str | None = None) -> DataFrame:
+    """Every page parsed once: its status and its cells in one row (S1-S4; a
+    failing page is a row here, not an exception). ``pages`` may carry a
+    ``table_id`` column, which then chooses the table page by page;
+    ``carry`` names an integer column that is passed through."""
+    cols = [c.split()[0] for c in PAGE_SCHEMA.split(", ")[:7]] + ["cells"]
+    own = "table_id" in pages.columns
 
     def run(batches):
         for pdf in batches:
+            ids = pdf["table_id"] if own else [table_id] * len(pdf)
             out = []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
+            for pid, html, tid in zip(pdf["page_id"], pdf["html"], ids):
                 try:
-                    out.extend(extract_page(int(pid), html, table_id, key_stat, key_pattern,
-                                            suffixes, unlisted)[0])
-                except Exception:  # noqa: BLE001 - reported by page_status
-                    continue
-            yield pd.DataFrame(out, columns=cols)
-    return run
+                    out.append(extract_page(int(pid), html, tid, key_stat, key_pattern,
+                                            suffixes, unlisted))
+                except Exception as e:  # noqa: BLE001 - the status says so
+                    out.append((int(pid), None, None, 0, 0, "error", repr(e), []))
+            df = pd.DataFrame(out, columns=cols).astype({"n_tables": "Int32", "table_no": "Int32"})
+            df["cells"] = [[dict(zip(_CELL_NAMES, c)) for c in row] for row in df["cells"]]
+            if carry:
+                df[carry] = pdf[carry].to_numpy()
+            yield df
 
+    more = [*(["table_id"] if own else []), *([carry] if carry else [])]
+    schema = PAGE_SCHEMA + (f", {carry} int" if carry else "")
+    return pages.select("page_id", "html", *more).mapInPandas(run, schema)
 
-def _status_fn(table_id, key_stat, key_pattern, suffixes):
-    cols = [c.split()[0] for c in STATUS_SCHEMA.split(", ")]
 
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                try:
-                    out.append(extract_page(int(pid), html, table_id, key_stat, key_pattern,
-                                            suffixes)[1])
-                except Exception as e:  # noqa: BLE001
-                    out.append((int(pid), None, None, 0, 0, "error", repr(e)[:500]))
-            yield pd.DataFrame(out, columns=cols).astype({"n_tables": "Int32", "table_no": "Int32"})
-    return run
+_CELL_NAMES = ("row_no", "col_no", "header_top", "header", "name", "value", "entity_key",
+               "entity_name")
+
 
+def cells_of(parsed: DataFrame) -> DataFrame:
+    """Long cell rows of parsed pages."""
+    return parsed.select("page_id", "table_no", F.explode("cells").alias("c")).select(
+        "page_id", "table_no", "c.*")
 
-def extract_cells(pages: DataFrame, table_id: str | None = None,
-                  key_stat: str = DEFAULT_KEY_STAT, key_pattern: str = DEFAULT_KEY_PATTERN,
-                  suffixes: dict | None = None, unlisted: str = "keep_first") -> DataFrame:
+
+def status_of(parsed: DataFrame) -> DataFrame:
+    """One row per parsed page: tables found, table used, rows kept, status."""
+    return parsed.drop("cells")
+
+
+def extract_cells(pages: DataFrame, **how) -> DataFrame:
     """Long cell rows of the chosen table of every page."""
-    return pages.select("page_id", "html").mapInPandas(
-        _cells_fn(table_id, key_stat, key_pattern, suffixes, unlisted), CELL_SCHEMA)
+    return cells_of(parse_pages(pages, **how))
 
 
-def page_status(pages: DataFrame, table_id: str | None = None,
-                key_stat: str = DEFAULT_KEY_STAT, key_pattern: str = DEFAULT_KEY_PATTERN,
-                suffixes: dict | None = None) -> DataFrame:
-    """One row per page: tables found, table used, rows kept, status (S4:
-    a failing page is a row here, not an exception)."""
-    return pages.select("page_id", "html").mapInPandas(
-        _status_fn(table_id, key_stat, key_pattern, suffixes), STATUS_SCHEMA)
+def page_status(pages: DataFrame, **how) -> DataFrame:
+    """One status row per page."""
+    return status_of(parse_pages(pages, **how))
 
 
 def cells_to_wide(cells: DataFrame, columns: list[str], rename: dict | None = None) -> DataFrame:

@@ -29,6 +29,7 @@ class TableSpec:
     columns: tuple[str, ...]
     rename: dict = field(default_factory=dict)
     key: str = "entity_id"
+    table_id: str | None = None       # id of the table on its page
 
 
 # ---------------------------------------------------------------------------
@@ -57,10 +58,20 @@ REFERENCE_SEGMENT_ONLY_VALUE = "GK"
 
 # Header suffixes by occurrence number for repeated raw headers.
 REFERENCE_HEADER_SUFFIXES = {
+    "Gls": ["_total", "_per90"],
+    "Ast": ["_total", "_per90"],
+    "xG": ["_total", "_per90"],
+    "xAG": ["_total", "_per90"],
     "Save%": ["_overall", "_pk"],
+    "Cmp": ["_total", "_short", "_medium", "_long"],
     "Cmp%": ["_total", "_short", "_medium", "_long"],
-    "Sh": ["_sca", "_gca"],
     "Tkl": ["_total", "_per90"],
+    "PassLive": ["_sca", "_gca"],
+    "PassDead": ["_sca", "_gca"],
+    "TO": ["_sca", "_gca"],
+    "Sh": ["_sca", "_gca"],
+    "Fld": ["_sca", "_gca"],
+    "Def": ["_sca", "_gca"],
 }
 
 # Name normalisation: dropped tokens and alias map.
@@ -141,7 +152,7 @@ REFERENCE_TABLES = {
                  "xAG": "xAG", "PrgC": "PrgC_standard", "PrgP": "PrgP_standard",
                  "PrgR": "PrgR_standard", "Gls.1": "Gls_per90", "Ast.1": "Ast_per90",
                  "xG.1": "xG_per90", "xAG.1": "xAG_per90"},
-    "keeper": {"Player": "Player", "GA90": "GA90", "Save%": "Save%", "CS%": "CS%",
+    "goalkeeping": {"Player": "Player", "GA90": "GA90", "Save%": "Save%", "CS%": "CS%",
                "Save%.1": "PK Save%"},
     "shooting": {"Player": "Player", "SoT%": "SoT%", "SoT/90": "SoT/90", "G/Sh": "G/Sh",
                  "Dist": "Dist"},
@@ -193,11 +204,29 @@ REFERENCE_ALIASES = {"PrgP_passing": "PrgP_standard", "PrgC_possession": "PrgC_s
                      "PrgR (Receiving)": "PrgR_standard"}
 
 
+# Page of each table, where it is not named like the table.
+REFERENCE_URL_TYPES = {"standard": "stats", "goalkeeping": "keepers"}
+
+
 def reference_table_specs() -> list[TableSpec]:
     """The reference catalog as ``TableSpec`` rows; ``source`` is the URL
-    fragment naming the page of each table."""
-    return [TableSpec(name=n, source=f"/{n}/", columns=tuple(cols), rename=dict(cols))
-            for n, cols in REFERENCE_TABLES.items()]
+    fragment naming the page of each table, ``table_id`` its id there."""
+    out = []
+    for name, cols in REFERENCE_TABLES.items():
+        page = REFERENCE_URL_TYPES.get(name, name)
+        out.append(TableSpec(name=name, source=f"/{page}/", columns=tuple(cols),
+                             rename=dict(cols), table_id=f"stats_{page}_9"))
+    return out
+
+
+def suffixed_header(expected: str, suffixes: dict[str, list[str]] | None = None) -> str:
+    """Disambiguated header of a wanted column: ``Gls`` -> ``Gls_total``,
+    ``Gls.1`` -> ``Gls_per90``; columns that never repeat keep their name."""
+    suffixes = REFERENCE_HEADER_SUFFIXES if suffixes is None else suffixes
+    base, dot, k = expected.rpartition(".")
+    if dot and k.isdigit() and base in suffixes:
+        return base + suffixes[base][min(int(k), len(suffixes[base]) - 1)]
+    return expected + suffixes[expected][0] if expected in suffixes else expected
 
 
 def reference_measures() -> list[MeasureSpec]:

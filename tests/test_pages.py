@@ -20,20 +20,67 @@ PAGE = """<html><body>
 
 
 def test_extract_page():
-    cells, status = pages.extract_page(7, PAGE, suffixes={"Gls": ["", "_per90"]})
-    assert status[:6] == (7, 2, 1, 3, 2, "ok")
-    rows = {(c[2], c[6]): c[7] for c in cells}
+    *status, cells = pages.extract_page(7, PAGE, suffixes={"Gls": ["", "_per90"]})
+    assert status[:6] == [7, 2, 1, 3, 2, "ok"]
+    rows = {(c[0], c[4]): c[5] for c in cells}
     assert rows[(0, "Player")] == "Bukayo Saka" and rows[(0, "Gls_per90")] == "0.3"
     assert rows[(1, "Player")] == "Ødegaard & co" and rows[(1, "Gls")] == "N/a"
-    assert {c[8] for c in cells} == {"abc123", "def456"}
-    assert {c[4] for c in cells if c[6] == "MP"} == {"Playing Time"}
+    assert {c[6] for c in cells} == {"abc123", "def456"}
+    assert {c[2] for c in cells if c[4] == "MP"} == {"Playing Time"}
 
 
 def test_extract_no_table():
-    cells, status = pages.extract_page(1, "<html><p>none</p></html>")
+    *status, cells = pages.extract_page(1, "<html><p>none</p></html>")
     assert cells == [] and status[5] == "no_table"
 
 
+def _key(k):
+    return f'<td data-stat="player"><a href="/players/{k}/x">{k}</a>'
+
+
+HEAD = "<thead><tr><th>Player<th>A<th>B</tr></thead>"
+
+
+def _rows(html):
+    *status, cells = pages.extract_page(1, html)
+    return status[5], [(c[6], c[1], c[3], c[5]) for c in cells]
+
+
+def test_omitted_end_tags():
+    status, got = _rows(f"<table>{HEAD}<tr>{_key('a')}<td>1<td>2<tr>{_key('b')}<td>3</td><td>4</table>")
+    assert status == "ok"
+    assert got == [("a", 0, "Player", "a"), ("a", 1, "A", "1"), ("a", 2, "B", "2"),
+                   ("b", 0, "Player", "b"), ("b", 1, "A", "3"), ("b", 2, "B", "4")]
+    assert _rows(f"<table>{HEAD}<tr>{_key('a')}<td>1<td>2")[1][-1] == ("a", 2, "B", "2")
+
+
+def test_nested_table_keeps_the_outer_row():
+    _, got = _rows(f"<table>{HEAD}<tr>{_key('a')}</td><td><table><tr><td>x</td></tr></table>1</td>"
+                   "<td>2</td></tr></table>")
+    assert got == [("a", 0, "Player", "a"), ("a", 1, "A", "1"), ("a", 2, "B", "2")]
+
+
+def test_body_spans():
+    _, got = _rows("<table><thead><tr><th>Player<th>A<th>B<th>C</tr></thead>"
+                   f"<tr>{_key('a')}<td colspan=2>9<td>7<tr>{_key('b')}<td rowspan=2>1<td>2<td>3"
+                   f"<tr>{_key('c')}<td>5<td>6</table>")
+    assert [g for g in got if g[0] == "a"][1:] == [("a", 1, "A", "9"), ("a", 3, "C", "7")]
+    assert [g for g in got if g[0] == "c"][1:] == [("c", 1, "A", "1"), ("c", 2, "B", "5"), ("c", 3, "C", "6")]
+
+
+def test_header_without_thead():
+    _, got = _rows(f"<table><tr><th>Player</th><th>A</th></tr><tr>{_key('a')}</td><td>1</td></tr></table>")
+    assert got == [("a", 0, "Player", "a"), ("a", 1, "A", "1")]
+
+
+def test_reference_sources_and_headers():
+    from statweave.specs import reference_table_specs, suffixed_header
+    by = {s.name: s for s in reference_table_specs()}
+    assert by["standard"].source == "/stats/" and by["goalkeeping"].table_id == "stats_keepers_9"
+    assert [suffixed_header(c) for c in ("Gls", "Gls.1", "Save%.1", "Cmp%.3", "Fld", "MP")] == [
+        "Gls_total", "Gls_per90", "Save%_pk", "Cmp%_long", "Fld_sca", "MP"]
+
+
 def test_extract_job_and_pivot(spark):
     df = spark.createDataFrame([(7, PAGE), (8, "<html></html>"), (9, None)], "page_id long, html string")
     cells = pages.extract_cells(df, suffixes={"Gls": ["", "_per90"]})
