@@ -28,8 +28,10 @@ def coercion_lost(c: Column, to: str = "double") -> Column:
 
 
 def leading_int(c: Column, sep: str = "-") -> Column:
-    """Leading integer of a composite such as ``'25-123'``."""
-    return F.split_part(c.cast("string"), F.lit(sep), F.lit(1)).try_cast("int")
+    """Leading integer of a composite such as ``'25-123'``; ``'25.0'`` is 25
+    (P9, X5)."""
+    lead = F.split_part(c.cast("string"), F.lit(sep), F.lit(1))
+    return F.coalesce(lead.try_cast("int"), nan_to_null(lead.try_cast("double")).try_cast("int"))
 
 
 def format_2dp(c: Column) -> Column:

@@ -97,7 +97,7 @@ def _accent_table(whitespace_to_space: bool = False) -> tuple[str, str]:
         if len(base) == 1 and base != ch:
             src.append(ch)
             dst.append(base)
-    marks = [chr(cp) for cp in range(0x300, 0x30000)
+    marks = [chr(cp) for cp in (*range(0x300, 0x30000), *range(0xE0100, 0xE01F0))
              if not 0xD800 <= cp <= 0xDFFF and unicodedata.category(chr(cp)) == "Mn"]
     return "".join(src + marks), "".join(dst)
 

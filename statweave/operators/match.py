@@ -118,16 +118,14 @@ def similarity_join(left: DataFrame, right: DataFrame, theta: int,
 
 
 # ------------------------------------------------------------------ J8 --
-def assign_one_to_one(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def assign_one_to_one(edges: DataFrame) -> DataFrame:
     """Serial dictatorship over ``edges(lid, rid, score, lprio, rorder)``:
     returns (lid, rid, score, round). Lower ``lprio`` chooses first; a
     left prefers higher score, then lower ``rorder``."""
     remaining = cut_lineage(edges.select("lid", "rid", "score", "lprio", "rorder"))
     commits = []
     rnd = 0
-    while max_rounds is None or rnd < max_rounds:
-        if remaining.isEmpty():
-            break
+    while not remaining.isEmpty():
         best = remaining.groupBy("lid").agg(F.min_by(
             F.struct("rid", "score", "lprio"),
             F.struct((-F.col("score")).alias("ns"), F.col("rorder"))).alias("b")) \

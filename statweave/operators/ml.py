@@ -66,9 +66,10 @@ def array_features(df: DataFrame, col: str, out: str = "features") -> DataFrame:
 
 # ---------------------------------------------------------- M3 - M5, M7 --
 def kmeans_fit(df: DataFrame, k: int, seed: int = 42, features: str = "features",
-               max_iter: int = 20):
+               max_iter: int = 300, tol: float = 1e-4):
+    """Lloyd's iterations until the centres move less than ``tol``."""
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster",
-                  maxIter=max_iter).fit(df)
+                  maxIter=max_iter, tol=tol).fit(df)
 
 
 def kmeans_assign(df: DataFrame, k: int, seed: int = 42, features: str = "features"):
@@ -172,7 +173,7 @@ def param_grid(gbt: GBTRegressor, full: bool = False):
     learning_rate->stepSize, subsample->subsamplingRate."""
     b = ParamGridBuilder()
     if full:
-        b = (b.addGrid(gbt.maxIter, [50, 100, 200]).addGrid(gbt.maxDepth, [3, 5, 7])
+        b = (b.addGrid(gbt.maxIter, [100, 200, 300]).addGrid(gbt.maxDepth, [3, 5, 7])
               .addGrid(gbt.stepSize, [0.01, 0.05, 0.1]).addGrid(gbt.subsamplingRate, [0.8, 1.0]))
     else:
         b = b.addGrid(gbt.maxDepth, [3, 5]).addGrid(gbt.maxIter, [20])

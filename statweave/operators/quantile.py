@@ -6,8 +6,8 @@ one task. Here the k-th smallest value of each group is found by range
 refinement: each pass counts the group's values in ``buckets`` equal-width
 buckets of the current range (partial + final aggregate, so a hot group is
 spread over all map tasks), keeps the bucket holding rank k and narrows the
-range to that bucket's min/max. A range of one value ends the search; after
-``max_passes`` the few values left in a range are ranked directly.
+range to that bucket's min/max. A range of one value ends the search; a range
+of at most ``small`` values is ranked directly.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..session import broadcast_if_small, cut_lineage
 
 
 def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
-               buckets: int = 4096, max_passes: int = 8, small: int = 50_000) -> DataFrame:
+               buckets: int = 4096, small: int = 50_000) -> DataFrame:
     """``targets(by..., k)`` (0-based ranks) -> (by..., k, kth). Ranges
     holding at most ``small`` values are ranked directly (one bounded window
     partition each); larger ones are refined first."""
@@ -30,8 +30,9 @@ def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
                                             F.col("k").cast("long").alias("r"))
     keys = [*by, "k"]
     big = (F.col("lo") < F.col("hi")) & (F.col("cnt") > small)
-    passes = 0 if bounds.filter(big).isEmpty() else max_passes
-    for _ in range(passes):
+    # Every pass drops at least the values of the other buckets, the range's
+    # minimum or maximum among them, so the loop ends.
+    while True:
         state = cut_lineage(state)
         pend = state.filter(big)
         if pend.isEmpty():
@@ -51,7 +52,6 @@ def kth_values(vals: DataFrame, by: list[str], value: str, targets: DataFrame,
                            (F.col("r") - (F.col("_cum") - F.col("_n"))).alias("r")))
         state = state.filter(~big).unionByName(pick)
     # rank the values left inside each open range (small by construction)
-    state = cut_lineage(state)
     open_ = state.filter(F.col("lo") < F.col("hi"))
     j = vals.join(broadcast_if_small(open_), by).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
     w = Window.partitionBy(*keys).orderBy("_v")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_token
+from ..session import cut_lineage
 
 
 def top_k(df: DataFrame, k: int, partition: list[str], value: str,
@@ -56,6 +57,20 @@ def top_k_status(long: DataFrame, partition: list[str], value: str = "value",
                         .otherwise("insufficient_data"))
 
 
+def numbered(ordered: DataFrame, out: str = "pos") -> DataFrame:
+    """Row numbers (from 1) of a globally sorted frame without gathering it in
+    one task: rows are numbered inside their range partition and the
+    partitions' sizes, one row each, give the offsets."""
+    rows = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_p", F.shiftright("_id", 33)).withColumn(
+        "_k", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return rows.join(F.broadcast(offsets), "_p").withColumn(
+        out, (F.col("_o") + F.col("_k") + 1).cast("long")).drop("_id", "_p", "_k", "_o")
+
+
 def sort_by_first_token(df: DataFrame, name: str, ties: list[str]) -> DataFrame:
     """Global sort by the first whitespace token of ``name`` ('Unknown' when
     blank), then by the tie columns for a total order (O1, X3). A range-

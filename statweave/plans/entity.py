@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import unpivot_stats
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_path
 from ..specs import STATS
 
 ID_COLS = ["c_custkey", "c_name", "grp", "seg"]
@@ -86,19 +86,18 @@ _MATERIALISED: dict = {}
 
 
 def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
-    import os
-    from ..sources.tables import table_path
-    stamps = []
+    """Every leaf file of the inputs with its length and time, from the file
+    system that Spark reads them with: a file added to, changed in or removed
+    from any folder of a table gives another key."""
+    sc = spark.sparkContext
+    files = []
     for t in ("customer", "nation", "orders", "lineitem"):
-        try:
-            stamps.append(os.path.getmtime(table_path(sf_dir, t)))
-        except OSError:                      # remote file system: key on the path only
-            stamps.append(None)
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - remote session
-        app = id(spark)
-    return (app, sf_dir, tuple(stamps))
+        path = sc._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
+        found = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return (sc.applicationId, sf_dir, tuple(sorted(files)))
 
 
 def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,11 +105,15 @@ def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     report of the session (the stage-1 output the later stages read, as the
     reference hands over its results file). Rescanning the line items for
     each report would cost far more than writing one row per entity. The
-    key includes the application and the input files' modification times."""
+    key holds the application and every input file with its length and time;
+    frames of the same folder whose files have changed are forgotten, and
+    Spark's context cleaner removes their checkpoint."""
     from ..session import cut_lineage
     key = _inputs_key(spark, sf_dir)
     df = _MATERIALISED.get(key)
     if df is None:
+        for old in [k for k in _MATERIALISED if k[:2] == key[:2]]:
+            del _MATERIALISED[old]
         df = cut_lineage(entity_stats(spark, sf_dir))
         _MATERIALISED[key] = df
     return df

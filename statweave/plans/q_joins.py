@@ -225,17 +225,18 @@ SELECT o_orderpriority, 'only_right' AS side FROM (
 """)
 def multiset_diff_q(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders", ["o_orderstatus", "o_orderpriority"])
-    a = o.filter(F.col("o_orderstatus") == "F").select("o_orderpriority")
-    b = o.filter(F.col("o_orderstatus") == "O").select("o_orderpriority")
-    return setops.multiset_diff(a, b)
+    sides = o.filter(F.col("o_orderstatus").isin("F", "O")).select(
+        "o_orderpriority", F.when(F.col("o_orderstatus") == "F", 1).otherwise(-1).alias("sign"))
+    return setops.signed_surplus(sides, ["o_orderpriority"], "sign")
 
 
 @query("sort_by_first_token", "O1 X3", sql="""
 SELECT p_partkey, p_name,
        coalesce(nullif(regexp_extract(p_name, '^[\\t\\n\\x0B\\f\\r ]*([^\\t\\n\\x0B\\f\\r ]+)', 1), ''),
-                'Unknown') AS first_token
-FROM part ORDER BY first_token, p_name, p_partkey
+                'Unknown') AS first_token,
+       CAST(row_number() OVER (ORDER BY first_token, p_name, p_partkey) AS BIGINT) AS pos
+FROM part
 """)
 def sort_by_first_token_q(spark, sf_dir):
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
-    return rank.sort_by_first_token(p, "p_name", ["p_name", "p_partkey"])
+    return rank.numbered(rank.sort_by_first_token(p, "p_name", ["p_name", "p_partkey"]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import coerce_numeric, coercion_lost, leading_int
 from ..operators import aggregate as agg
-from ..operators import filters, schema
+from ..operators import filters, rank, schema
 from ..sources.tables import read_table
 from ..specs import GROUP_ALLOW_LIST, MIN_GROUP_MEMBERS
 from .entity import CS_SQL, entity_stats
@@ -196,11 +196,13 @@ def valid_groups_q(spark, sf_dir):
 
 @query("group_counts", "A6 A7 O3", sql=f"""
 WITH {CS_SQL}
-SELECT grp, count(c_name) AS n FROM cs WHERE grp IS NOT NULL GROUP BY grp
+SELECT grp, count(c_name) AS n,
+       CAST(row_number() OVER (ORDER BY count(c_name) DESC, grp) AS BIGINT) AS pos
+FROM cs WHERE grp IS NOT NULL GROUP BY grp
 """)
 def group_counts_q(spark, sf_dir):
     cs = entity_stats(spark, sf_dir)
-    return agg.group_counts(cs, "grp", "c_name").orderBy(F.col("n").desc(), "grp")
+    return rank.numbered(agg.group_counts(cs, "grp", "c_name").orderBy(F.col("n").desc(), "grp"))
 
 
 @query("invalid_groups", "U2 A18", sql=f"""

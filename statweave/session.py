@@ -76,11 +76,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a size check: at most ``max_rows`` rows
-    (counted with an early-stopping limit). Beyond it the frame is returned
-    as is and the join is planned by AQE from measured sizes (sort-merge with
-    skew splitting)."""
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """Broadcast hint only behind a size check in bytes: fixed-width columns
+    count 16 bytes, strings and binaries their length. At most
+    ``max_bytes / 16`` rows are measured (an early-stopping limit). Beyond the
+    bound the frame is returned as is and the join is planned by AQE from
+    measured sizes (sort-merge with skew splitting)."""
     from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.lit(16)
+    for f in df.schema.fields:
+        width = width + (F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) + 16
+                         if f.dataType.typeName() in ("string", "binary") else F.lit(16))
+    size = df.limit(max_bytes // 16 + 1).agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

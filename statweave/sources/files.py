@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.numeric import format_2dp, rnd
+from ..functions.numeric import format_2dp
 from ..operators.rank import top_bottom_k
 from ..specs import MISSING_SENTINEL
 
@@ -70,7 +70,7 @@ def top_k_report(long: DataFrame, stat_list: DataFrame, k: int = 3,
                      F.lit("insufficient_data").alias("status")))
     ok = top_bottom_k(long, k, ["stat"], "value", list(ties), min_values=min_values)
     ok = ok.select("stat", "direction", F.col("rank").cast("int").alias("rank"),
-                   F.col(name).alias("entity"), rnd("value").alias("value"),
+                   F.col(name).alias("entity"), "value",
                    F.lit("ok").alias("status"))
     return ok.unionByName(short)
 

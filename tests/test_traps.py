@@ -311,3 +311,52 @@ def test_median_modes_agree(spark, mode):
     df = spark.createDataFrame(rows, "grp string, stat string, value double")
     got = {r.grp: r.median for r in agg.group_moments(df, ["grp", "stat"], median=mode).collect()}
     assert got == {"g": 3.0, "h": 7.0}
+
+
+def test_entity_frame_sees_a_file_added_inside_a_partition_folder(spark, tmp_path):
+    import shutil
+    from statweave.plans.entity import entity_stats_once
+    src = "/root/testdata/sf0.001"
+    for t in ("nation", "orders", "lineitem"):
+        shutil.copy(f"{src}/{t}.parquet", tmp_path / f"{t}.parquet")
+    part = tmp_path / "customer.parquet" / "p=1"
+    part.mkdir(parents=True)
+    shutil.copy(f"{src}/customer.parquet", part / "a.parquet")
+    before = entity_stats_once(spark, str(tmp_path)).count()
+    assert entity_stats_once(spark, str(tmp_path)).count() == before
+    shutil.copy(f"{src}/customer.parquet", part / "b.parquet")
+    assert entity_stats_once(spark, str(tmp_path)).count() == 2 * before
+
+
+def test_heavy_tailed_median_without_pass_cap(spark):
+    from pyspark.sql import functions as F
+    from statweave.operators.quantile import exact_median
+    df = spark.range(0, 20001).select(F.lit("g").alias("g"), F.pow(
+        F.lit(10.0), F.pmod(F.xxhash64("id"), F.lit(600)) / 40.0).alias("v"))
+    n = df.groupBy("g").agg(F.count("*").alias("n"))
+    got = exact_median(df, ["g"], "v", n, small=50, buckets=256).first()["median"]
+    assert got == df.agg(F.expr("percentile(v, 0.5)")).first()[0]
+
+
+def test_multiset_surplus_in_ranges(spark, monkeypatch):
+    from collections import Counter
+    from statweave.operators import setops
+    monkeypatch.setattr(setops, "COPIES_PER_ROW", 3)
+    a = spark.createDataFrame([(x,) for x in "aaaaaaaabbc"] + [(None,)], "x string")
+    b = spark.createDataFrame([(x,) for x in "bbbbbd"], "x string")
+    got = Counter((r["x"], r["side"]) for r in setops.multiset_diff(a, b).collect())
+    assert got == {("a", "only_left"): 8, ("b", "only_right"): 3, ("c", "only_left"): 1,
+                   ("d", "only_right"): 1, (None, "only_left"): 1}
+
+
+def test_row_numbers_follow_the_global_order(spark):
+    from statweave.operators.rank import numbered
+    rows = numbered(spark.range(0, 1000).repartition(7).orderBy("id")).collect()
+    assert all(r["pos"] == r["id"] + 1 for r in rows) and len(rows) == 1000
+
+
+def test_leading_int_of_a_decimal(spark):
+    from pyspark.sql import functions as F
+    from statweave.functions.numeric import leading_int
+    df = spark.createDataFrame([("25-123",), ("25.0",), ("x",), (None,), ("nan",)], "a string")
+    assert [r[0] for r in df.select(leading_int(F.col("a"))).collect()] == [25, 25, None, None, None]
