@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rank import numbered
+
 
 # -------------------------------------------------------------------- M1 --
 def impute(df: DataFrame, mean_cols: list[str], zero_cols: list[str]) -> DataFrame:
@@ -116,15 +118,19 @@ def pca_project(df: DataFrame, k: int = 2, features: str = "features"):
 
 
 # -------------------------------------------------------------------- M8 --
+def shuffle_key(id_col: str, seed: int):
+    """A seeded pseudo-random order that every SQL engine can compute."""
+    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+
+
 def exact_split(df: DataFrame, id_col: str, fraction: float = 0.2, seed: int = 42,
                 out: str = "is_test") -> DataFrame:
     """Exact, reproducible split: the ``ceil(fraction * n)`` rows with the
-    smallest ``(xxhash64(id, seed), id)`` are the test rows (sklearn's exact
-    test size, T26). The k-th smallest key is found without a global sort:
-    counts per 16-bit hash bucket (<= 65,536 small rows) locate the bucket,
-    and only that bucket is ordered."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    keyed = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 48))
+    smallest ``(md5(id:seed), id)`` are the test rows (sklearn's exact test
+    size, T26). The k-th smallest key is found without a global sort: counts
+    per four-digit hash prefix (<= 65,536 small rows) locate the prefix, and
+    only that bucket is ordered."""
+    keyed = df.withColumn("_h", shuffle_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, 4))
     n = keyed.count()
     k = math.ceil(fraction * n)
     if k == 0:
@@ -147,9 +153,11 @@ def exact_split(df: DataFrame, id_col: str, fraction: float = 0.2, seed: int = 4
 
 def fold_ids(df: DataFrame, id_col: str, folds: int = 5, seed: int = 42,
              out: str = "fold") -> DataFrame:
-    """Deterministic fold number per row from the id hash."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)),
-                                     F.lit(folds)).cast("int"))
+    """Deterministic folds of equal size (to one row): the rank in the seeded
+    order modulo ``folds`` (M14)."""
+    ordered = df.withColumn("_h", shuffle_key(id_col, seed + 1)).orderBy("_h", id_col)
+    return numbered(ordered, "_pos").withColumn(
+        out, ((F.col("_pos") - 1) % folds).cast("int")).drop("_h", "_pos")
 
 
 # ---------------------------------------------------------- M9 - M17 --

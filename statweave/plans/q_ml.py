@@ -7,6 +7,7 @@ boosted trees (grid search and CV inside Spark ML)."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -120,6 +121,44 @@ def pca_project_q(spark, sf_dir):
                                      F.lit(ratios[1]).alias("ratio2")))
 
 
+def _distance(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                       lambda acc, x: acc + x)
+
+
+@query("kmeans_check", "M3 M7", sql="""
+SELECT count(*) AS n, CAST(4 AS BIGINT) AS n_clusters, TRUE AS all_nearest FROM customer
+""")
+def kmeans_check_q(spark, sf_dir):
+    """Facts of the clustering: every point is in a cluster, and no other
+    centre is nearer than its own (distances recomputed in SQL)."""
+    out, model = clustered(spark, sf_dir)
+    centres = F.lit([[float(x) for x in c] for c in model.clusterCenters()])
+    x = vector_to_array("features")
+    d = F.transform(centres, lambda c: _distance(x, c))
+    own = F.get(d, F.col("cluster"))
+    return out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("n_clusters"),
+                   F.bool_and(own <= F.array_min(d) + 1e-9).alias("all_nearest"))
+
+
+@query("pca_check", "M6", sql="""
+SELECT count(*) AS n, TRUE AS ratios_hold, TRUE AS uncorrelated, TRUE AS descending FROM customer
+""")
+def pca_check_q(spark, sf_dir):
+    """Facts of the projection: a component's share of the total variance is
+    its reported ratio, components are uncorrelated and in falling order."""
+    f = features(spark, sf_dir)
+    proj, ratios = ml.pca_project(f, 2)
+    arr = vector_to_array("features")
+    total = sum((F.var_samp(arr[i]) for i in range(len(STATS))), F.lit(0.0))
+    a = proj.agg(F.count(F.lit(1)).alias("n"), F.var_samp("pc1").alias("v1"),
+                 F.var_samp("pc2").alias("v2"), F.corr("pc1", "pc2").alias("c"), total.alias("v"))
+    close = (F.abs(F.col("v1") / F.col("v") - ratios[0]) < 1e-6) & (
+        F.abs(F.col("v2") / F.col("v") - ratios[1]) < 1e-6)
+    return a.select("n", close.alias("ratios_hold"), (F.abs("c") < 1e-6).alias("uncorrelated"),
+                    (F.col("v1") >= F.col("v2")).alias("descending"))
+
+
 @query("embedding_pca", "M6")
 def embedding_pca_q(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
@@ -138,20 +177,36 @@ def embedding_kmeans_q(spark, sf_dir):
 
 # ------------------------------------------------------------ valuation --
 def value_frame(spark, sf_dir):
-    cs = imputed(spark, sf_dir)
-    oh = schema.one_hot(cs, "seg", prefix="seg")
-    seg_cols = [c for c in oh.columns if c.startswith("seg_")]
-    oh = oh.withColumns({c: F.col(c).cast("double") for c in seg_cols})
-    feats = ["n_orders", "n_items", "qty", "avg_disc", "avg_tax", "acctbal", *seg_cols]
+    """Measures with missing values as 0 (nothing is fitted here, so nothing
+    leaks from the test rows), segment and group one-hot."""
+    cs = entity_stats_once(spark, sf_dir)
+    cs = cs.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in STATS})
+    oh = schema.one_hot(schema.one_hot(cs.withColumn("group", F.col("grp")), "seg", prefix="seg"),
+                        "group", prefix="group")
+    level_cols = [c for c in oh.columns if c.startswith(("seg_", "group_"))]
+    oh = oh.withColumns({c: F.col(c).cast("double") for c in level_cols})
+    feats = ["n_orders", "n_items", "qty", "avg_disc", "avg_tax", "acctbal", *level_cols]
     return cut_lineage(ml.exact_split(oh, "c_custkey", 0.2, 42)), feats
 
 
-@query("train_test_split", "M8 T26")
+@query("train_test_split", "M8 T26", sql="""
+SELECT c_custkey, row_number() OVER (ORDER BY md5(c_custkey || ':42'), c_custkey)
+                  <= (SELECT ceil(0.2 * count(*)) FROM customer) AS is_test FROM customer
+""")
 def train_test_split_q(spark, sf_dir):
     df, _ = value_frame(spark, sf_dir)
     return df.select("c_custkey", "is_test")
 
 
+@query("cv_folds", "M14", sql="""
+SELECT c_custkey, CAST((row_number() OVER (ORDER BY md5(c_custkey || ':43'), c_custkey) - 1) % 5
+                       AS INTEGER) AS fold FROM customer
+""")
+def cv_folds_q(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    return ml.fold_ids(c, "c_custkey", 5, 42)
+
+
 def _fit(spark, sf_dir, **params):
     df, feats = value_frame(spark, sf_dir)
     train = df.filter(~F.col("is_test"))
@@ -214,6 +269,24 @@ def feature_importance_q(spark, sf_dir):
     return ml.feature_importances(model.stages[-1], feats)
 
 
+@query("valuation_check", "M9 M16 M17", sql="""
+SELECT count(*) AS n, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_test, TRUE AS importances_sum_to_one,
+       TRUE AS better_than_the_mean FROM customer
+""")
+def valuation_check_q(spark, sf_dir):
+    """Facts of the fitted trees: every row is predicted, importances sum to
+    one, and the test error is below that of predicting the training mean."""
+    df, feats, model = _fit(spark, sf_dir)
+    mean = df.filter(~F.col("is_test")).agg(F.avg("spend")).first()[0]
+    total = ml.feature_importances(model.stages[-1], feats).agg(F.sum("importance")).first()[0]
+    p = model.transform(df)
+    err = F.when(F.col("is_test"), F.abs(F.col("spend") - F.col("prediction")))
+    base = F.when(F.col("is_test"), F.abs(F.col("spend") - F.lit(mean)))
+    return p.agg(F.count("prediction").alias("n"), F.count_if("is_test").alias("n_test"),
+                 F.lit(abs(total - 1) < 1e-9).alias("importances_sum_to_one"),
+                 (F.avg(err) < F.avg(base)).alias("better_than_the_mean"))
+
+
 @query("gbt_grid", "M11")
 def gbt_grid_q(spark, sf_dir):
     df, feats = value_frame(spark, sf_dir)
