@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..sources import pages as pg
 from ..sources.tables import read_table, spread
-from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS
-from .registry import query
+from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS, MeasureSpec, TableSpec
+from .ingest import ingest
+from .registry import query, round_doubles
 
 WS = text.WS
 WS_BODY = text.WS_BODY
@@ -90,45 +91,63 @@ def html_link_extract_q(spark, sf_dir):
 # every tenth page lost its table.
 PAGE_ORDERS = 64
 FIRST_PAGE = 1_000_000_000
-_TOPS, _HEADS = ["", "Amount", "Amount", "Other"], ["Order", "Qty", "Cents", "Qty"]
+_HEADS = ["Order", "Qty", "Cents", "Qty"]
 
 
-def rendered_pages(spark, sf_dir):
-    """(page_id, html) of statistics tables over lineitem."""
-    li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
-    page = F.floor(F.col("l_orderkey") / PAGE_ORDERS) + FIRST_PAGE
+def _render(df, first_page, url, key, order, cells, tops, heads):
+    """Statistics pages (page_id, url, html): ``PAGE_ORDERS`` keys a page, one
+    row per row of ``df`` in ``order``, a keyed link and ``cells``."""
+    page = F.floor(F.col(key) / PAGE_ORDERS) + first_page
     kind = F.col("page_id") % 3
 
     def td(text, attrs=""):
         return F.concat(F.lit(f"<td{attrs}>"), text, F.when(kind == 1, "").otherwise("</td>"))
-    key = F.col("l_orderkey").cast("string")
-    link = F.concat(F.lit('<a href="/players/o'), key, F.lit('/x">Order '), key, F.lit("</a>"))
-    qty = F.col("l_quantity").cast("long")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    row = F.concat(
-        F.lit("<tr>"), td(link, ' data-stat="player"'),
-        td(qty.cast("string")), td(cents.cast("string")),
-        td(F.col("l_linenumber").cast("string")), F.when(kind == 1, "\n").otherwise("</tr>\n"))
-    rows = li.select("l_orderkey", "l_linenumber", page.alias("page_id"), "l_quantity",
-                     "l_extendedprice").select("page_id", "l_orderkey", "l_linenumber",
-                                               qty.alias("qty"), cents.alias("cents"),
-                                               row.alias("row"))
+    k = F.col(key).cast("string")
+    link = F.concat(F.lit('<a href="/players/o'), k, F.lit('/x">Order '), k, F.lit("</a>"))
+    row = F.concat(F.lit("<tr>"), td(link, ' data-stat="player"'), *[td(F.col(c)) for c in cells],
+                   F.when(kind == 1, "\n").otherwise("</tr>\n"))
+    rows = df.withColumn("page_id", page).withColumn("row", row)
     body = rows.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-        F.struct("l_orderkey", "l_linenumber", "qty", "cents", "row"))), lambda r: r["row"]), "").alias("body"))
-    top = '<tr><th></th><th colspan="2">Amount</th><th>Other</th></tr>'
-    low = "<tr>" + "".join(f"<th>{h}</th>" for h in _HEADS) + "</tr>"
+        F.struct(*order, "row"))), lambda r: r["row"]), "").alias("body"))
+    top = "<tr>" + "".join(f'<th colspan="{n}">{t}</th>' for t, n in tops) + "</tr>"
+    low = "<tr>" + "".join(f"<th>{h}</th>" for h in heads) + "</tr>"
     html = F.when(F.col("page_id") % 10 == 0, F.lit("<html><p>gone</p></html>")).otherwise(F.concat(
         F.lit('<html><table id="t">'),
         F.when(kind == 2, F.lit(top + low)).otherwise(F.lit(f"<thead>{top}{low}</thead><tbody>")),
         F.col("body"), F.when(kind == 1, "").otherwise("</table></html>")))
-    return body.select("page_id", html.alias("html"))
+    return body.select("page_id", F.concat(F.lit(f"http://stats.test{url}"), F.col("page_id"))
+                       .alias("url"), html.alias("html"))
+
+
+def _cents(c):
+    return F.round(F.col(c) * 100).cast("long")
+
+
+def rendered_pages(spark, sf_dir):
+    """Pages of line items."""
+    li = read_table(spark, sf_dir, "lineitem",
+                    ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
+    li = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("qty"),
+                   _cents("l_extendedprice").alias("cents"))
+    li = li.select("*", *[F.col(c).cast("string").alias(t) for c, t in (
+        ("qty", "t_qty"), ("cents", "t_cents"), ("l_linenumber", "t_line"))])
+    return _render(li, FIRST_PAGE, "/lines/", "l_orderkey",
+                   ["l_orderkey", "l_linenumber", "qty", "cents"], ["t_qty", "t_cents", "t_line"],
+                   [("", 1), ("Amount", 2), ("Other", 1)], _HEADS)
+
+
+def order_pages(spark, sf_dir):
+    """Pages of order totals, a second source for the same keys."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"]).select(
+        "o_orderkey", _cents("o_totalprice").cast("string").alias("total"))
+    return _render(o, 2 * FIRST_PAGE, "/totals/", "o_orderkey", ["o_orderkey", "total"], ["total"],
+                   [("", 1), ("Money", 1)], ["Order", "Total"])
 
 
 def stored_pages(spark, sf_dir):
     """The given pages and the rendered ones."""
     return spread(read_table(spark, sf_dir, "pages", ["page_id", "html"])).unionByName(
-        rendered_pages(spark, sf_dir))
+        rendered_pages(spark, sf_dir).drop("url"))
 
 
 _RENDERED_SQL = f"""
@@ -169,3 +188,59 @@ FROM li GROUP BY page_id
 """)
 def page_extract_status_q(spark, sf_dir):
     return pg.page_status(stored_pages(spark, sf_dir))
+
+
+# The stage-1 pipeline over two sources of rendered pages.
+INGEST_SPECS = [
+    TableSpec("lines", "/lines/", ("Player", "Qty", "Cents", "Qty.1"), {"Qty.1": "Line"}, table_id="t"),
+    TableSpec("totals", "/totals/", ("Player", "Total"), {}, table_id="t"),
+    TableSpec("missing", "/missing/", ("Player", "Lost"), {}),
+]
+INGEST_MEASURES = [MeasureSpec("Qty"), MeasureSpec("Cents"), MeasureSpec("Line", agg="mean"),
+                   MeasureSpec("Total"), MeasureSpec("Lost")]
+INGEST_MIN = 50
+
+
+def _ingested(spark, sf_dir, mode):
+    pages = spread(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])).unionByName(
+        rendered_pages(spark, sf_dir)).unionByName(order_pages(spark, sf_dir))
+    return ingest(pages, INGEST_SPECS, INGEST_MEASURES, {"Player": "first"}, mode, "Qty", INGEST_MIN)
+
+
+def _ingest_sql(fanout: bool) -> str:
+    qty, cents = ("l.qty", "l.cents")
+    total = "coalesce(t.cents, 0)" + (" * l.n" if fanout else "")
+    return f"""
+WITH l AS (
+  SELECT l_orderkey AS k, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS qty,
+         sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents, avg(l_linenumber) AS line
+  FROM lineitem WHERE ({FIRST_PAGE} + l_orderkey // {PAGE_ORDERS}) % 10 <> 0 GROUP BY l_orderkey),
+t AS (SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+      WHERE ({2 * FIRST_PAGE} + o_orderkey // {PAGE_ORDERS}) % 10 <> 0)
+SELECT 'o' || l.k AS entity_key, 'Order ' || l.k AS "Player", CAST({qty} AS DOUBLE) AS "Qty",
+       CAST({cents} AS DOUBLE) AS "Cents", round(line, 6) AS "Line",
+       CAST({total} AS DOUBLE) AS "Total", CAST(NULL AS DOUBLE) AS "Lost"
+FROM l LEFT JOIN t ON l.k = t.k WHERE {qty} > {INGEST_MIN}
+"""
+
+
+@query("ingest_entities", "S1-S4 S11 P1-P8 J1 A1 A2 F1 F2 O1", sql=_ingest_sql(False))
+def ingest_entities_q(spark, sf_dir):
+    return round_doubles(_ingested(spark, sf_dir, "aggregate")[0])
+
+
+@query("ingest_entities_fanout", "S1-S4 S11 J1 T1", sql=_ingest_sql(True))
+def ingest_entities_fanout_q(spark, sf_dir):
+    return round_doubles(_ingested(spark, sf_dir, "fanout")[0])
+
+
+@query("ingest_failures", "S4 T27", sql=f"""
+SELECT DISTINCT {FIRST_PAGE} + l_orderkey // {PAGE_ORDERS} AS page_id, 'lines' AS "table",
+       'no_table' AS status FROM lineitem WHERE ({FIRST_PAGE} + l_orderkey // {PAGE_ORDERS}) % 10 = 0
+UNION ALL
+SELECT DISTINCT {2 * FIRST_PAGE} + o_orderkey // {PAGE_ORDERS}, 'totals', 'no_table'
+FROM orders WHERE ({2 * FIRST_PAGE} + o_orderkey // {PAGE_ORDERS}) % 10 = 0
+UNION ALL SELECT NULL, 'missing', 'no_rows'
+""")
+def ingest_failures_q(spark, sf_dir):
+    return _ingested(spark, sf_dir, "aggregate")[1].select("page_id", "table", "status")
