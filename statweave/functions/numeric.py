@@ -35,9 +35,10 @@ def leading_int(c: Column, sep: str = "-") -> Column:
 
 
 def format_2dp(c: Column) -> Column:
-    """Two-decimal text, the missing sentinel when NULL (X10). Text only in
-    sinks: Java rounds half-up where Python rounds the binary value (T31)."""
-    return F.coalesce(F.format_string("%.2f", c), F.lit(MISSING_SENTINEL))
+    """Two-decimal text, the missing sentinel when NULL (X10). The pattern
+    form rounds the binary value, ties to even, as C and Python do."""
+    text = F.call_function("format_number", c.cast("double"), F.lit("0.00"))
+    return F.coalesce(text, F.lit(MISSING_SENTINEL))
 
 
 def rnd(c: Column | str, digits: int = 6) -> Column:

@@ -8,7 +8,7 @@ from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import read_table
 from ..specs import MIN_VALUES_TOP_K
-from .q_reports import stat_list_df, team_long
+from .q_reports import TEAM_SQL, stat_list_df, team_long
 from .registry import query
 
 ORDERS_CSV_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, "
@@ -30,10 +30,21 @@ def csv_roundtrip_q(spark, sf_dir):
     return files.read_csv(spark, path, ORDERS_CSV_SCHEMA, sentinel="N/a")
 
 
-@query("report_text", "S8 X10 T31")
+@query("report_text", "S8 X10 T31", sql=f"""
+WITH {TEAM_SQL},
+cnt AS (SELECT sl.stat, count(tl.value) AS n FROM sl LEFT JOIN tl ON sl.stat = tl.stat GROUP BY sl.stat),
+r AS (SELECT tl.*, row_number() OVER (PARTITION BY stat ORDER BY value DESC, c_name, c_custkey) AS rh,
+             row_number() OVER (PARTITION BY stat ORDER BY value ASC, c_name, c_custkey) AS rl
+      FROM tl WHERE stat IN (SELECT stat FROM cnt WHERE n >= {MIN_VALUES_TOP_K}))
+SELECT 'Top 3 ' || d.direction || ' for ' || stat || CASE WHEN n < {MIN_VALUES_TOP_K}
+       THEN ': Insufficient data' ELSE ':' END AS line
+FROM cnt, (VALUES ('highest'), ('lowest')) d(direction)
+UNION ALL SELECT c_name || ': ' || printf('%.2f', value) FROM r WHERE rh <= 3
+UNION ALL SELECT c_name || ': ' || printf('%.2f', value) FROM r WHERE rl <= 3
+""")
 def report_text_q(spark, sf_dir):
     """Render the top/bottom-3 report to text lines, write one text file,
-    read it back (rows-only check: '%.2f' rounds half-up in Java, T31)."""
+    read it back. Numbers are formatted from their raw values."""
     rep = files.top_k_report(team_long(spark, sf_dir), stat_list_df(spark), 3, MIN_VALUES_TOP_K)
     lines = files.render_top_k_lines(rep, stat_list_df(spark))
     path = files.write_text_lines(lines, scratch_path(spark, "top3-txt"),
