@@ -62,14 +62,36 @@ def _edges(spark, sf_dir):
              .select("lid", "rid", "score", "lprio", "rorder"))
 
 
-@query("fuzzy_assign", "J8 T21")
+# The serial loop: lefts in priority order, each takes its best target that no
+# earlier left has taken.
+ASSIGN_SQL = f"""{T_SQL},
+e AS (SELECT * FROM (SELECT lid, rid, lprio, rorder, {ratio_sql("lid", "rtext")} AS score
+                     FROM l CROSS JOIN r) WHERE score >= {MATCH_THRESHOLD}),
+o AS (SELECT lid, row_number() OVER (ORDER BY min(lprio), lid) AS i,
+             list(rid ORDER BY score DESC, rorder) AS opts FROM e GROUP BY lid),
+step AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS lid,
+         CAST(NULL AS VARCHAR) AS rid
+  UNION ALL
+  SELECT o.i, list_append(s.taken, list_filter(o.opts, lambda x: NOT list_contains(s.taken, x))[1]),
+         o.lid, list_filter(o.opts, lambda x: NOT list_contains(s.taken, x))[1]
+  FROM step s JOIN o ON o.i = s.i + 1),
+assigned AS (SELECT step.lid, step.rid, e.score FROM step JOIN e ON step.lid = e.lid AND step.rid = e.rid)"""
+
+
+@query("fuzzy_assign", "J8 T21", sql=f"""
+WITH RECURSIVE {ASSIGN_SQL}
+SELECT lid AS left_name, rid AS target_name, score FROM assigned
+""")
 def fuzzy_assign_q(spark, sf_dir):
     a = match.assign_one_to_one(_edges(spark, sf_dir))
-    return a.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"),
-                    "score", "round")
+    return a.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"), "score")
 
 
-@query("unmatched_entities", "J9 S9 U3")
+@query("unmatched_entities", "J9 S9 U3", sql=f"""
+WITH RECURSIVE {ASSIGN_SQL}
+SELECT lid AS left_name, lprio FROM l WHERE lid NOT IN (SELECT lid FROM assigned)
+""")
 def unmatched_entities_q(spark, sf_dir):
     a = match.assign_one_to_one(_edges(spark, sf_dir))
     le = lefts(spark, sf_dir)
