@@ -32,6 +32,16 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+ROWS_PER_FILE = 20_000
+
+
+def cut_narrow(df: DataFrame, most_rows: int) -> DataFrame:
+    """Checkpoint of narrow rows, at most ``most_rows`` of them, in no more
+    files than they fill: where a shuffle has far more partitions than the
+    rows need, nearly empty checkpoint files would cost more than the rows."""
+    return cut(df.coalesce(max(1, -(-most_rows // ROWS_PER_FILE))))
+
+
 def rows_of(df: DataFrame, keep: str = "_row") -> DataFrame:
     """The whole row as one struct, so that working columns beside it cannot
     clash with whatever columns the input has."""

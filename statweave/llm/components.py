@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, cut_narrow
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -26,12 +26,14 @@ def _small_star(e: DataFrame) -> DataFrame:
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most_edges: int | None = None) -> DataFrame:
     """edges (a, b) of longs -> (node, root) for every node with an edge;
     root is the smallest node of its component.  An empty edge table gives an
-    empty result; loops and repeated edges are ignored."""
-    e = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"),
-                                          F.least("a", "b").alias("v")).distinct())
+    empty result; loops and repeated edges are ignored.  ``most_edges``, about
+    how many edges to expect, only sizes the first checkpoint's files."""
+    e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"),
+                                      F.least("a", "b").alias("v")).distinct()
+    e = cut(e) if most_edges is None else cut_narrow(e, most_edges)
     seen = None
     while True:
         state = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")),
@@ -40,4 +42,5 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = state
-        e = cut(_small_star(_large_star(e)))
+        # A round never has more edges than the one before.
+        e = cut_narrow(_small_star(_large_star(e)), state[0])

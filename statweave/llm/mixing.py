@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, cut, rows_of
+from .common import broadcast_checked, cut, cut_narrow, rows_of
 from .quality import words
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -200,9 +200,9 @@ def decide(units: DataFrame, ratio: DataFrame, block: int = BLOCK, seed: int = S
         done.append(flown.filter(whole_now))
         if land:
             break
-        left = cut(flown.filter(~whole_now))
+        left = cut_narrow(flown.filter(~whole_now), flown.filter(~whole_now).count())
         n = left.groupBy("source").agg(F.ceil(F.count("*") / block).alias("n_blocks"))
-        n = broadcast_checked(cut(n))
+        n = broadcast_checked(cut(n.coalesce(1)))
         u = left.join(n, left.source.eqNullSafe(n.source)).drop(n.source)
         u = u.withColumn("block", F.pmod(F.xxhash64("doc_id", "th", "c", "i", F.lit(level)),
                                          F.col("n_blocks")))
@@ -247,8 +247,9 @@ def apply(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken."""
     decisions, _ = mix(docs)
     # Identical rows are interchangeable: what counts is their copies in all.
-    taken = cut(decisions.groupBy("th").agg(F.sum("copies").alias("copies"),
-                                            F.count("*").alias("n")).filter("copies > 0"))
+    taken = cut_narrow(decisions.groupBy("th").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("n")).filter("copies > 0"),
+        decisions.count())
     rows = rows_of(docs).select("_row", F.xxhash64("_row").alias("th"))
 
     def copied(r: DataFrame) -> DataFrame:

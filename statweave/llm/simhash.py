@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, rows_of
+from .common import cut, cut_narrow, rows_of
 from .components import components
 
 BLOCKS = (13, 13, 13, 13, 12)
@@ -92,15 +92,18 @@ def row_hash(row: Column) -> Column:
     return F.xxhash64(row)
 
 
-def links(fps: DataFrame, max_bits: int = 2, hot: int = HOT) -> DataFrame:
-    """Distinct fingerprints (fp) -> edges (a, b) that connect exactly what
-    lies within ``max_bits`` (at most 2) of each other."""
+def links(fps: DataFrame, max_bits: int = 2, hot: int = HOT,
+          most_rows: int | None = None) -> DataFrame:
+    """Distinct fingerprints (fp; at most ``most_rows``, if known) -> edges
+    (a, b) that connect exactly what lies within ``max_bits`` (at most 2) of
+    each other."""
     if not 0 <= max_bits <= 2:
         raise ValueError("the blocks are laid out for at most two differing bits")
     keyed = fps.select("fp", F.posexplode(F.array(
         *[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])).alias("mask", "key"))
     sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cut(keyed.join(sizes, ["mask", "key"]))
+    met = keyed.join(sizes, ["mask", "key"])
+    met = cut(met) if most_rows is None else cut_narrow(met, 10 * most_rows)
     few = met.filter(F.col("n") <= hot)
     a = few.select("mask", "key", F.col("fp").alias("a"))
     b = few.select("mask", "key", F.col("fp").alias("b"))
@@ -131,8 +134,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     smallest fingerprint of the component."""
     d = cut(fingerprints(docs, shingle))
     fps = d.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    fps = cut(fps)
-    comp = components(links(fps.select("fp"), max_bits))
+    n = d.count()
+    fps = cut_narrow(fps, n)
+    comp = components(links(fps.select("fp"), max_bits, most_rows=n), 10 * n)
     group = fps.join(comp, fps.fp == comp.node, "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "low")
     low = group.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -154,8 +158,8 @@ def dedupe(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     # occurs says whether identical rows must be thinned out.
     same = d.groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
-    best = cut(same.groupBy("root").agg(
-        F.min_by(F.struct("th", "n"), first).alias("k")).select("k.th", "k.n"))
+    best = cut_narrow(same.groupBy("root").agg(
+        F.min_by(F.struct("th", "n"), first).alias("k")).select("k.th", "k.n"), d.count())
     rows = rows_of(docs).select("_row", row_hash(F.col("_row")).alias("th"))
     once = rows.join(best.filter("n = 1").select("th"), "th", "left_semi").select("_row.*")
     if best.filter("n > 1").isEmpty():
