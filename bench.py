@@ -27,7 +27,7 @@ HEADLINE = [
     "containment_join", "normalize_name", "sanitize_name", "html_link_extract",
     "html_table_extract", "csv_roundtrip", "fuzzy_candidates", "near_misses", "fuzzy_assign",
     "impute", "zscore", "kmeans_assign", "pca_project", "gbt_predict", "regression_metrics",
-    "page_extract_status", "unmatched_entities", "kmeans_sweep", "cv_mae", "embedding_pca",
+    "page_extract_status", "unmatched_entities", "kmeans_sweep", "embedding_pca",
     "embedding_kmeans",
 ]
 

@@ -1,6 +1,6 @@
 """Statistics tables extracted from stored HTML pages.
 
-The one Python operator of the engine: ``mapInPandas`` runs a small
+The one Python operator of the engine: ``mapInArrow`` runs a small
 ``html.parser`` state machine over each page inside the executors (Arrow
 batches, partitioned by page). It emits *long* cell rows; everything after it
 (header disambiguation, pivot to wide rows, typing, joins) is Spark.
@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,32 +228,36 @@ def parse_pages(pages: DataFrame, table_id: str | None = None,
     failing page is a row here, not an exception). ``pages`` may carry a
     ``table_id`` column, which then chooses the table page by page;
     ``carry`` names an integer column that is passed through."""
-    cols = [c.split()[0] for c in PAGE_SCHEMA.split(", ")[:7]] + ["cells"]
     own = "table_id" in pages.columns
+    cell = pa.struct([("row_no", pa.int32()), ("col_no", pa.int32()),
+                      *[(n, pa.string()) for n in ("header_top", "header", "name", "value",
+                                                   "entity_key", "entity_name")]])
+    fields = [("page_id", pa.int64()), ("n_tables", pa.int32()), ("table_no", pa.int32()),
+              ("n_rows", pa.int32()), ("n_keyed_rows", pa.int32()), ("status", pa.string()),
+              ("error", pa.string()), ("cells", pa.list_(cell))]
 
     def run(batches):
-        for pdf in batches:
-            ids = pdf["table_id"] if own else [table_id] * len(pdf)
-            out = []
-            for pid, html, tid in zip(pdf["page_id"], pdf["html"], ids):
-                try:
-                    out.append(extract_page(int(pid), html, tid, key_stat, key_pattern,
-                                            suffixes, unlisted))
-                except Exception as e:  # noqa: BLE001 - the status says so
-                    out.append((int(pid), None, None, 0, 0, "error", repr(e), []))
-            df = pd.DataFrame(out, columns=cols).astype({"n_tables": "Int32", "table_no": "Int32"})
-            df["cells"] = [[dict(zip(_CELL_NAMES, c)) for c in row] for row in df["cells"]]
-            if carry:
-                df[carry] = pdf[carry].to_numpy()
-            yield df
+        for b in batches:
+            for at in range(0, b.num_rows, 64):      # bounded by pages, not by cells
+                part = b.slice(at, 64)
+                ids = part.column(2).to_pylist() if own else [table_id] * part.num_rows
+                out = []
+                for pid, html, tid in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), ids):
+                    try:
+                        out.append(extract_page(pid, html, tid, key_stat, key_pattern,
+                                                suffixes, unlisted))
+                    except Exception as e:  # noqa: BLE001 - the status says so
+                        out.append((pid, None, None, 0, 0, "error", repr(e), []))
+                arrays = [pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(fields)]
+                names = [n for n, _ in fields]
+                if carry:
+                    arrays.append(part.column(part.num_columns - 1))
+                    names.append(carry)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     more = [*(["table_id"] if own else []), *([carry] if carry else [])]
     schema = PAGE_SCHEMA + (f", {carry} int" if carry else "")
-    return pages.select("page_id", "html", *more).mapInPandas(run, schema)
-
-
-_CELL_NAMES = ("row_no", "col_no", "header_top", "header", "name", "value", "entity_key",
-               "entity_name")
+    return pages.select("page_id", "html", *more).mapInArrow(run, schema)
 
 
 def cells_of(parsed: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 The reference is a one-shot batch; this is the same extraction run as a
 file stream, for page dumps that keep arriving: new parquet files of
 ``(page_id, url, html)`` in ``source_dir`` are parsed by the batch operator
-(``mapInPandas`` is stream-safe) and appended to a parquet table. The file
+(``mapInArrow`` is stream-safe) and appended to a parquet table. The file
 sink plus ``checkpointLocation`` (both in the shared folder) give
 exactly-once output across restarts and lost executors.
 """
