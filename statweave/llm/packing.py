@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -115,38 +116,74 @@ def attention_cost(n: int) -> float:
 def assign(lengths: list[int], capacities: list[int]) -> list[tuple[int, int, int, int, int]]:
     """Pack pieces into sequences whose capacities sum to at least the
     lengths: descending pieces, each to the cheapest sequence with room; where
-    none has room, cut at the roomiest.  -> (piece, start, length, sequence, offset)."""
+    none has room, cut at the roomiest.  -> (piece, start, length, sequence, offset).
+
+    Sequences lie in a heap by (cost, number) for each room left, and a tree
+    over the rooms holds the cheapest of each range, so both are found exactly."""
     room, used, cost = list(capacities), [0] * len(capacities), [0.0] * len(capacities)
-    cheap = [(0.0, s) for s in range(len(room))]
-    heapq.heapify(cheap)
+    size = 1 << max(room, default=0).bit_length()
+    none = (math.inf, -1)
+    heaps: dict[int, list[tuple[float, int]]] = {}
+    for s, r in enumerate(room):
+        heaps.setdefault(r, []).append((0.0, s))  # already in heap order
+    tree = [none] * (2 * size)
+    for r, h in heaps.items():
+        if r:
+            tree[size + r] = h[0]
+    for k in range(size - 1, 0, -1):
+        tree[k] = min(tree[2 * k], tree[2 * k + 1])
+
+    def update(r: int) -> None:
+        k = size + r
+        tree[k] = heaps[r][0] if heaps[r] else none
+        while k > 1:
+            k >>= 1
+            best = min(tree[2 * k], tree[2 * k + 1])
+            if tree[k] == best:
+                break
+            tree[k] = best
+
+    def cheapest(n: int) -> int:
+        """Of the sequences with room for ``n``, or -1."""
+        best, lo, hi = none, size + n, 2 * size
+        while lo < hi:
+            if lo & 1:
+                best = min(best, tree[lo])
+                lo += 1
+            lo >>= 1
+            hi >>= 1
+        return best[1]
+
+    def roomiest() -> int:
+        k = 1
+        while k < size:
+            k = 2 * k + (tree[2 * k + 1] != none)
+        return min(heaps[k - size], key=lambda x: x[1])[1]
+
     out = []
     todo = [(-n, i, 0) for i, n in enumerate(lengths) if n]
     heapq.heapify(todo)
     while todo:
         n, i, start = heapq.heappop(todo)
         n = -n
-        passed, got = [], None
-        while cheap:
-            c, s = heapq.heappop(cheap)
-            if room[s] == 0 or c != cost[s]:
-                continue
-            passed.append((c, s))
-            if room[s] >= n:
-                got = s
-                break
-            if len(passed) >= 64:
-                break
-        if got is None:
-            # No room among the cheapest: cut at the roomiest of them.
-            got = max((s for _, s in passed), key=lambda s: (room[s], -s))
-        take = min(n, room[got])
+        got = cheapest(n) if n < size else -1
+        if got < 0:
+            got = roomiest()
+        take, was = min(n, room[got]), room[got]
         out.append((i, start, take, got, used[got]))
+        heap = heaps[was]
+        if heap[0][1] == got:
+            heapq.heappop(heap)
+        else:
+            heap.remove((cost[got], got))
+            heapq.heapify(heap)
+        update(was)
         used[got] += take
         room[got] -= take
         cost[got] += attention_cost(take)
-        for c, s in passed:
-            if room[s]:
-                heapq.heappush(cheap, (cost[s], s))
+        if room[got]:
+            heapq.heappush(heaps.setdefault(room[got], []), (cost[got], got))
+            update(room[got])
         if take < n:
             heapq.heappush(todo, (-(n - take), i, start + take))
     return out
