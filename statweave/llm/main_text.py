@@ -3,21 +3,28 @@
 A page is cut into blocks of text; each lies in a content container (article,
 main), in page furniture (menus, headers, footers, sidebars, notices, adverts,
 forms, comments: by tag, role, class or id) or in the open.  Furniture never
-counts.  A page with a content container is that container's blocks, all of
-them: a passage that copies of an article share is still article.
-
-Pages without a container have only open blocks, and there boilerplate is
-what the host repeats.  The token streams of a host's pages are concatenated
-and their suffixes sorted to a depth of ``RUN`` tokens; equal neighbours from
-distinct pages are repeated substrings, every token that one covers is
-removed, and the unique runs stay.  Hosts are dealt out in shards of
-``SHARD_PAGES`` pages; a shard hands on one row per distinct run, and runs
-that meet only across shards are found when these are aggregated, so a
-host of any size is compared whole and none is gathered in one task.
+counts, and a page with a content container is that container's blocks; the
+parsed zones decide, not the raw html.
+
+Boilerplate is what the host repeats, inside a container and in the open.  The
+token streams of a host's pages, run on across block ends, are concatenated and
+their suffixes sorted to a depth of ``RUN`` tokens; equal neighbours from
+distinct pages are repeated substrings, and blocks of fewer tokens are compared
+whole.  A shard is the pages of a host among ``SHARD_PAGES`` pages that a task
+reads; it hands on one row per distinct run, and runs that meet only across
+shards are found when these are aggregated, so a host of any size is compared
+whole, none is gathered in one task and no text is shuffled for it.
+
+A repeat is removed where it stands on ``MIN_TEXTS`` distinct texts of the
+host.  A page is a text of its own if blocks that are not repeated hold
+``OWN_SHARE`` of it; all other pages of the host, near copies among them, count
+as one text together, so what only near copies share stays.  The container is
+the check that follows: inside it a repeat must also stand on ``WIDE_SHARE`` of
+the host's texts, and a container is never emptied.
 
 Defined cases: null html is the empty page, its text empty; pages of equal
-open text count as one page, so a copied page is not its own boilerplate;
-truncated pages end all open elements; an empty table gives no rows.
+text count as one page, so a copied page is not its own boilerplate; truncated
+pages end all open elements; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +45,11 @@ from .common import broadcast_checked, cut
 from .url_reputation import host_of
 
 RUN = 8  # tokens; a power of two
-SHARD_PAGES = 256
-MIN_UNIQUE = 3  # shorter leftovers of a partly covered block are dropped
+SHARD_PAGES, SHARD_CHARS = 2048, 4 << 20  # a shard ends at the first of these
+MIN_UNIQUE = 3  # shorter leftovers of a partly covered open block are dropped
+MIN_TEXTS = 3
+OWN_SHARE = 0.25
+WIDE_SHARE = 0.25
 
 # Fixed values of the HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -181,27 +192,25 @@ def _inline_top(stack: list[tuple[str, int]], tag: str) -> bool:
     return False
 
 
-def _texts(pages: DataFrame, has_container: bool) -> DataFrame:
-    """page_id, url, blocks of the pages' main or open text."""
-    schema = "page_id long, url string, blocks array<string>"
+def _texts(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, blocks, inside: the blocks outside furniture, and
+    whether each lies in a content container."""
+    schema = "page_id long, url string, host string, blocks array<string>, inside array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = []
-                for page in part.column(2).to_pylist():
-                    found = blocks(page)
-                    main = [t for z, t in found if z == CONTENT]
-                    texts.append(main or [t for _, t in found])
+                found = [blocks(page) for page in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.list_(pa.string()))],
-                    names=["page_id", "url", "blocks"])
+                    [*part.columns[:3],
+                     pa.array([[t for _, t in f] for f in found], pa.list_(pa.string())),
+                     pa.array([[z == CONTENT for z, _ in f] for f in found], pa.list_(pa.bool_()))],
+                    names=["page_id", "url", "host", "blocks", "inside"])
 
-    marked = F.coalesce(F.col("html").rlike(r"(?i)<(article|main)[\s>]"), F.lit(False))
-    return pages.filter(marked if has_container else ~marked).select(
-        F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html")
-    ).mapInArrow(run, schema)
+    return pages.select(
+        F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"),
+        F.coalesce("html", F.lit("")).alias("html")).mapInArrow(run, schema)
 
 
 def suffix_ranks(ids: np.ndarray, depth: int = RUN) -> np.ndarray:
@@ -222,37 +231,74 @@ def _page_words(texts: list[str]) -> list[list[str]]:
     return [t.split() for t in texts]
 
 
-def _run_hash(words: list[str]) -> int:
-    h = xxhash.xxh64_intdigest(" ".join(words))
-    return h - (1 << 64) if h >> 63 else h
+_WORD_HASH: dict[str, int] = {}
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    if len(_WORD_HASH) > 1_000_000:
+        _WORD_HASH.clear()
+    for w in words:
+        if w not in _WORD_HASH:
+            _WORD_HASH[w] = xxhash.xxh64_intdigest(w)
+    return np.array([_WORD_HASH[w] for w in words], np.uint64)
+
+
+def _run_hashes(words: np.ndarray, length: int = RUN) -> np.ndarray:
+    """Hash of every ``length`` words in a row, from the words' hashes."""
+    k = max(len(words) - length + 1, 0)
+    h = np.full(k, length, np.uint64)
+    for j in range(length):
+        h = (h ^ words[j:j + k]) * _PRIME
+        h ^= h >> np.uint64(29)
+    return h.view(np.int64)
+
+
+def _short(lengths: list[int]) -> list[tuple[int, int]]:
+    """(first token, length) of the blocks that are shorter than a run."""
+    starts = np.cumsum([0, *lengths])
+    return [(int(at), n) for at, n in zip(starts, lengths) if 0 < n < RUN]
 
 
 def _shard_runs(shard: pa.Table) -> pa.Table:
-    """Distinct ``RUN``-token substrings of a shard with the smallest and
-    largest page that holds each: (host, run, low, high)."""
+    """Distinct ``RUN``-token substrings and shorter whole blocks of a shard
+    with the smallest and largest page that holds each: (host, run, low, high)."""
     numbers: dict[str, int] = {}
-    ids, pages, words = [], [], []
+    ids, pages, hashes, short = [], [], [], []
     for uid, texts in zip(shard.column("uid").to_pylist(), shard.column("blocks").to_pylist()):
-        for ws in _page_words(texts):
-            ids += [numbers.setdefault(w, len(numbers)) for w in ws]
-            ids.append(-1 - len(ids))  # a separator of its own ends every block
-            words += [*ws, ""]
-            pages += [uid] * (len(ws) + 1)
-    ids_, pages_ = np.array(ids, np.int64), np.array(pages, np.int64)
+        by_block = _page_words(texts)
+        words = [w for ws in by_block for w in ws]
+        ids += [numbers.setdefault(w, len(numbers)) for w in words]
+        ids.append(-1 - len(ids))  # a separator of its own ends every page
+        pages.append(np.full(len(words) + 1, uid, np.int64))
+        h = _hashes(words)
+        hashes += [h, np.zeros(1, np.uint64)]
+        short += [(int(_run_hashes(h[at:at + n], n)[0]), uid) for at, n in _short([*map(len, by_block)])]
+    ids_ = np.array(ids, np.int64)
     n = len(ids_)
-    if n <= RUN:
-        return _runs([], [], [], None)
-    ends = np.flatnonzero(ids_ < 0)
-    room = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) >= RUN
-    array = np.argsort(rank := suffix_ranks(ids_), kind="stable")
-    array = array[room[array]]
-    if not len(array):
-        return _runs([], [], [], None)
-    first = np.flatnonzero(np.r_[True, np.diff(rank[array]) != 0])
-    low = np.minimum.reduceat(pages_[array], first)
-    high = np.maximum.reduceat(pages_[array], first)
-    runs = [_run_hash(words[i:i + RUN]) for i in array[first]]
-    return _runs(runs, low, high, shard.column("host")[0].as_py())
+    runs, low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if n > RUN:
+        pages_, keys = np.concatenate(pages), _run_hashes(np.concatenate(hashes))
+        ends = np.flatnonzero(ids_ < 0)
+        room = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) >= RUN
+        array = np.argsort(rank := suffix_ranks(ids_), kind="stable")
+        array = array[room[array]]
+        if len(array):
+            first = np.flatnonzero(np.r_[True, np.diff(rank[array]) != 0])
+            runs.append(keys[array[first]])
+            low.append(np.minimum.reduceat(pages_[array], first))
+            high.append(np.maximum.reduceat(pages_[array], first))
+    if short:
+        key, uids = np.array(short, np.int64).T
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        runs.append(key[order][first])
+        low.append(np.minimum.reduceat(uids[order], first))
+        high.append(np.maximum.reduceat(uids[order], first))
+    runs, low, high = map(np.concatenate, (runs, low, high))
+    order = np.argsort(low, kind="stable")  # equal pages in a row take little room
+    return _runs(runs[order], low[order], high[order],
+                 shard.column("host")[0].as_py() if shard.num_rows else None)
 
 
 def _runs(runs, low, high, host) -> pa.Table:
@@ -262,45 +308,73 @@ def _runs(runs, low, high, host) -> pa.Table:
 
 
 def repeated_runs(pages: DataFrame, shard_pages: int = SHARD_PAGES) -> DataFrame:
-    """(host, uid, blocks) -> (host, run): substrings of ``RUN`` tokens that
-    distinct pages of the host share."""
-    sizes = cut(pages.groupBy("host").agg(F.ceil(F.count("*") / shard_pages).alias("shards")))
-    dealt = pages.join(broadcast_checked(sizes), "host").withColumn(
-        "shard", F.pmod(F.xxhash64("uid"), F.col("shards")))
-    runs = dealt.select("host", "shard", "uid", "blocks").groupBy("host", "shard").applyInArrow(
-        _shard_runs, "host string, run long, low long, high long")
+    """(host, uid, blocks) -> (host, run): substrings of ``RUN`` tokens, and
+    shorter whole blocks, that distinct pages of the host share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = 0
+            while at < b.num_rows:
+                part = b.slice(at, shard_pages)
+                size = np.cumsum([sum(map(len, t)) for t in part.column(2).to_pylist()])
+                part = part.slice(0, max(1, int(np.searchsorted(size, SHARD_CHARS))))
+                at += part.num_rows
+                shard = pa.Table.from_batches([part])
+                for host in pc.unique(shard.column("host")).drop_null():
+                    found = _shard_runs(shard.filter(pc.equal(shard.column("host"), host)))
+                    yield from found.to_batches()
+
+    runs = pages.select("host", "uid", "blocks").mapInArrow(
+        run, "host string, run long, low long, high long")
     return runs.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high")
                                            ).filter("low < high").select("host", "run")
 
 
 def _positions(pages: DataFrame) -> DataFrame:
-    """(host, uid, blocks) -> (host, uid, at, run) of every run of a page."""
+    """(host, uid, blocks) -> (host, uid, at, n, run) of every run and shorter
+    block of a page, ``n`` its tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for host, uid, texts in zip(*(b.column(i).to_pylist() for i in range(3))):
-                at, runs, base = [], [], 0
-                for ws in _page_words(texts):
-                    k = max(len(ws) - RUN + 1, 0)
-                    at += range(base, base + k)
-                    runs += [_run_hash(ws[i:i + RUN]) for i in range(k)]
-                    base += len(ws)
+                by_block = _page_words(texts)
+                h = _hashes([w for ws in by_block for w in ws])
+                runs, short = _run_hashes(h), _short([*map(len, by_block)])
+                at = np.r_[np.arange(len(runs)), [a for a, _ in short]].astype(np.int32)
+                n = np.r_[np.full(len(runs), RUN), [k for _, k in short]].astype(np.int32)
+                runs = np.r_[runs, np.array([_run_hashes(h[a:a + k], k)[0] for a, k in short], np.int64)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([host] * len(at), pa.string()), pa.array([uid] * len(at), pa.int64()),
-                     pa.array(at, pa.int32()), pa.array(runs, pa.int64())],
-                    names=["host", "uid", "at", "run"])
+                     pa.array(at), pa.array(n), pa.array(runs)],
+                    names=["host", "uid", "at", "n", "run"])
     return pages.select("host", "uid", "blocks").mapInArrow(
-        run, "host string, uid long, at int, run long")
-
-
-def unique_blocks(texts: list[str], covered_at: list[int]) -> list[str]:
+        run, "host string, uid long, at int, n int, run long")
+
+
+def _covered(sizes: list[int], covered_at: list[int], lengths: list[int] | None = None) -> np.ndarray:
+    """Which tokens of blocks of these sizes go.  A run across a block end
+    counts only for blocks that are covered whole, so that two passages that
+    often follow each other do not take the first words of the next block."""
+    total = sum(sizes)
+    gone, any_run = np.zeros(total, bool), np.zeros(total, bool)
+    block = np.repeat(np.arange(len(sizes)), sizes)
+    for at, n in zip(covered_at, lengths or [RUN] * len(covered_at)):
+        any_run[at:at + n] = True
+        if block[at] == block[at + n - 1]:
+            gone[at:at + n] = True
+    base = 0
+    for n in sizes:
+        if any_run[base:base + n].all():
+            gone[base:base + n] = True
+        base += n
+    return gone
+
+
+def unique_blocks(texts: list[str], covered_at: list[int], lengths: list[int] | None = None) -> list[str]:
     """Blocks without the tokens that a run starting at ``covered_at`` covers;
     what is left of a partly covered block stays if it has ``MIN_UNIQUE``
     tokens."""
     out, base = [], 0
     words = _page_words(texts)
-    gone = np.zeros(sum(map(len, words)) + 1, bool)
-    for at in covered_at:
-        gone[at:at + RUN] = True
+    gone = _covered([*map(len, words)], covered_at, lengths)
     for text, ws in zip(texts, words):
         g = gone[base:base + len(ws)]
         base += len(ws)
@@ -311,30 +385,79 @@ def unique_blocks(texts: list[str], covered_at: list[int]) -> list[str]:
     return out
 
 
+def has_own_text(sizes: list[int], covered_at: list[int], lengths: list[int]) -> bool:
+    """Whether blocks with at most half their tokens repeated hold
+    ``OWN_SHARE`` of a page's tokens."""
+    own, base, total = 0, 0, sum(sizes)
+    gone = _covered(sizes, covered_at, lengths)
+    for n in sizes:
+        if 2 * gone[base:base + n].sum() <= n:
+            own += n
+        base += n
+    return own >= OWN_SHARE * total
+
+
+def main_blocks(texts: list[str], inside: list[bool], covered: list[tuple[int, int, bool]]) -> list[str]:
+    """The main text of a page; ``covered`` has (at, tokens, wide) of its
+    boilerplate, of which only the wide reaches into a container."""
+    if not any(inside):
+        return unique_blocks(texts, [c[0] for c in covered], [c[1] for c in covered])
+    words = _page_words(texts)
+    wide = [c for c in covered if c[2]]
+    gone = _covered([*map(len, words)], [c[0] for c in wide], [c[1] for c in wide])
+    out, base = [], 0
+    for text, ws, within in zip(texts, words, inside):
+        g = gone[base:base + len(ws)]
+        base += len(ws)
+        if within and not g.all():
+            out.append(" ".join(w for w, x in zip(ws, g) if not x) if g.any() else text)
+    return out or [t for t, within in zip(texts, inside) if within]
+
+
+def boilerplate(pages: DataFrame) -> DataFrame:
+    """(host, uid, blocks), equal texts under one uid -> (host, uid, covered):
+    at, n, wide of what the host repeats on a page."""
+    runs = cut(repeated_runs(pages))
+    hits = _positions(pages).join(broadcast_checked(runs), ["host", "run"]).groupBy("host", "uid").agg(
+        F.collect_set(F.struct("at", "n", "run")).alias("hits"))  # at most a page's length
+    sized = pages.select("host", "uid", F.transform(
+        "blocks", lambda t: F.size(F.split(t, " "))).alias("sizes")).dropDuplicates(["host", "uid"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [has_own_text(sizes, [x["at"] for x in h or []], [x["n"] for x in h or []])
+                   for sizes, h in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(own, pa.bool_()), b.column(3)],
+                names=["host", "uid", "own", "hits"])
+    judged = cut(sized.join(hits, ["host", "uid"], "left").select("host", "uid", "sizes", "hits").mapInArrow(
+        judge, "host string, uid long, own boolean, hits array<struct<at:int,n:int,run:long>>"))
+    # One text for each page with text of its own, one for all others.
+    text = F.when(F.col("own"), F.col("uid")).alias("text")
+    texts = judged.groupBy("host").agg(
+        (F.count_if("own") + F.max((~F.col("own")).cast("int"))).alias("texts"))
+    each = judged.select("host", "uid", text, F.explode("hits").alias("hit")).select(
+        "host", "uid", "text", "hit.*")
+    found = each.select("host", "run", "text").distinct().groupBy("host", "run").agg(
+        F.count("*").alias("on")).filter(F.col("on") >= MIN_TEXTS)
+    found = cut(found.join(broadcast_checked(cut(texts)), "host").select(
+        "host", "run", (F.col("on") >= WIDE_SHARE * F.col("texts")).alias("wide")))
+    return each.join(broadcast_checked(found), ["host", "run"]).groupBy("host", "uid").agg(
+        F.collect_list(F.struct("at", "n", "wide")).alias("covered"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    def joined(d: DataFrame) -> DataFrame:
-        return d.select("page_id", "url", F.array_join("blocks", "\n\n").alias("text"))
-
-    contained = joined(_texts(pages, True))
-    free = cut(_texts(pages, False).select(
-        "page_id", "url", host_of(F.col("url")).alias("host"),
-        F.xxhash64("blocks").alias("uid"), "blocks"))
-    # Copies of a page are one page here.
-    distinct = free.groupBy("host", "uid").agg(F.first("blocks").alias("blocks"))
-    runs = cut(repeated_runs(distinct))
-    hits = _positions(distinct).join(runs, ["host", "run"]).groupBy("host", "uid").agg(
-        F.collect_list("at").alias("covered"))  # at most a page's length
+    parsed = cut(_texts(pages).withColumn("uid", F.xxhash64("host", "blocks")))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept = [unique_blocks(t, c or []) for t, c in zip(
-                b.column(2).to_pylist(), b.column(3).to_pylist())]
+            kept = [main_blocks(t, i, [(x["at"], x["n"], x["wide"]) for x in c or []])
+                    for t, i, c in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(kept, pa.list_(pa.string()))],
-                names=["page_id", "url", "blocks"])
-    opened = free.join(hits, ["host", "uid"], "left").select(
-        "page_id", "url", "blocks", "covered").mapInArrow(
-        clean, "page_id long, url string, blocks array<string>")
-    return contained.unionByName(joined(opened)).select(
+                [b.column(0), b.column(1), pa.array(["\n\n".join(k) for k in kept], pa.string())],
+                names=["page_id", "url", "text"])
+    return parsed.join(boilerplate(parsed), ["host", "uid"], "left").select(
+        "page_id", "url", "blocks", "inside", "covered").mapInArrow(
+        clean, "page_id long, url string, text string").select(
         "*", F.length("text").cast("long").alias("n_chars"))
