@@ -243,6 +243,9 @@ def report(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+COPIES_PER_ROW = 1_000
+
+
 def apply(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken."""
     decisions, _ = mix(docs)
@@ -259,4 +262,9 @@ def apply(docs: DataFrame) -> DataFrame:
     if taken.filter("n > 1").isEmpty():
         return out
     again = rows.join(taken.filter("n > 1").select("th"), "th", "left_semi").distinct()
-    return out.unionByName(copied(again.join(taken, "th")))
+    # The copies of all such rows together are spread over the tasks in ranges.
+    ranges = again.join(taken, "th").select("_row", "th", "copies", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW))).alias("range"))
+    some = F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("copies") - F.col("range") * COPIES_PER_ROW)
+    return out.unionByName(ranges.repartition("th", "range").select(
+        "_row", F.explode(F.sequence(F.lit(1).cast("long"), some)).alias("i")).select("_row.*"))
