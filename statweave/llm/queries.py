@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (langid, licenses, main_text, mixing, packing, quality, search, simhash, toxicity,
-               url_reputation)
+from . import (bpe, langid, licenses, main_text, mixing, packing, quality, search, simhash,
+               toxicity, url_reputation, whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,15 @@ def op7_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     asked = docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
     return search.top_k(docs, asked)
+
+
+@query()
+def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op13_sturm_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
