@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, langid, licenses, main_text, mixing, packing, quality, search, simhash,
-               toxicity, url_reputation, whitening)
+from . import (bpe, langid, licenses, main_text, mixing, negatives, packing, quality, search,
+               simhash, toxicity, url_reputation, whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,9 @@ def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_sturm_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of every embedding."""
     return whitening.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query()
+def op11_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every embedding whose id is divisible by 50."""
+    return negatives.report(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
