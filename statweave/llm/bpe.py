@@ -6,6 +6,9 @@ their joined text would give the same two pieces.  All neighbours of all new
 words of a batch are tested at once with array operations; only words with an
 incompatible pair are merged step by step.
 
+Failing words of usual length are merged side by side, one merge of each word a
+step; long ones alone, with a heap.
+
 The compatibility test runs the merges backwards.  Of two neighbouring pieces
 the one made by the later merge is taken apart, down to the parts that touch
 each other; the pieces are incompatible if, at any of these stages, the two
@@ -26,9 +29,11 @@ any length is merged with a heap, in n log n steps.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Runs of non-space characters kept by a worker, and ids sent back at once.
-CACHE_RUNS = 300_000
+# Runs of non-space characters kept by a worker, and characters of text whose
+# ids are sent back at once.
+CACHE_RUNS = 600_000
 IDS_PER_BATCH = 2_000_000
+HEAD = 3
+# Places of a hash table of merges, as a power of two.
+TABLE_BITS = 18
+# Words up to this many characters are merged side by side in arrays.
+SHORT = 64
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 
 NEVER = np.iinfo(np.int64).max
@@ -96,11 +107,25 @@ class WordBpe:
                 self.left[k], self.right[k], self.rank[k] = i, j, r
         pairs = np.array([(i * size + j, r) for (i, j), (r, _) in self.merges.items()],
                          np.int64).reshape(-1, 2)
-        pairs = pairs[np.argsort(pairs[:, 0])]
-        self.keys, self.key_rank = pairs[:, 0], pairs[:, 1]
+        self.made_by = np.zeros(len(model["merges"]) + 1, np.int64)
+        self.made_by[pairs[:, 1]] = [k for _, k in self.merges.values()]
+        self.tables = []
+        multiplier = 0x9E3779B97F4A7C15
+        while len(pairs):
+            # Keys that find their place taken go into a table of their own.
+            at = self._slot(pairs[:, 0], multiplier)
+            table = np.full((1 << TABLE_BITS, 2), -1, np.int64)
+            table[at] = pairs
+            self.tables.append((multiplier, table[:, 0].copy(), table[:, 1].copy()))
+            pairs = pairs[table[at, 0] != pairs[:, 0]]
+            multiplier = (multiplier * 0xD1342543DE82EF95 + 2) % (1 << 64) | 1
         self._proposals(vocab)
         self.runs: dict[str, bytes] = {}
 
+    @staticmethod
+    def _slot(keys: np.ndarray, multiplier: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(multiplier)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
     def _proposals(self, vocab: dict[str, int]) -> None:
         """Pieces that may be proposed: those that merging their own text
         gives back, which needs compatible parts all the way down."""
@@ -125,13 +150,22 @@ class WordBpe:
                     if not cut:
                         self.final[piece] = i
         self.longest = max(map(len, [*self.inner, *self.final]), default=0)
+        # Lengths of the inner pieces by their first three characters, falling;
+        # shorter pieces may follow any head.
+        lengths: dict[str, set[int]] = {}
+        for piece in self.inner:
+            if len(piece) >= HEAD:
+                lengths.setdefault(piece[:HEAD], set(range(1, HEAD))).add(len(piece))
+        self.lengths = {h: sorted(ns, reverse=True) for h, ns in lengths.items()}
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        if not self.keys.size:
-            return np.full(a.size, NEVER)
         key = a.astype(np.int64) * self.size + b
-        at = np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)
-        return np.where(self.keys[at] == key, self.key_rank[at], NEVER)
+        out = np.full(key.size, NEVER)
+        for multiplier, keys, ranks in self.tables:
+            at = self._slot(key, multiplier)
+            hit = keys[at] == key
+            out[hit] = ranks[at[hit]]
+        return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray, apart: bool = False) -> np.ndarray:
         """Whether merging the text of ``a`` and ``b`` gives just these two
@@ -156,27 +190,29 @@ class WordBpe:
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest pieces of a word; empty if some character has none."""
+        inner, final, lengths, longest = self.inner, self.final, self.lengths, self.longest
+        few = range(HEAD - 1, 0, -1)
         out, p, n = [], 0, len(word)
         while p < n:
-            got = self.final.get(word[p:]) if n - p <= self.longest else None
-            if got is not None:
-                out.append(got)
-                return out
-            for q in range(min(n - 1, p + self.longest), p, -1):
-                got = self.inner.get(word[p:q])
+            if n - p <= longest:
+                got = final.get(word[p:])
                 if got is not None:
-                    break
+                    out.append(got)
+                    return out
+            for k in lengths.get(word[p:p + HEAD], few):
+                if p + k < n:
+                    got = inner.get(word[p:p + k])
+                    if got is not None:
+                        break
             else:
                 return []
             out.append(got)
-            p = q
+            p += k
         return out
 
     def merge(self, word: str) -> list[int]:
         """Exact merging of one word, lowest merge first, leftmost of equals."""
-        vocab_ids = [self.inner.get(c) for c in word[:-1]] + [
-            self.final.get(word[-1:], self.inner.get(word[-1:]))]
-        ids = [i for i in vocab_ids if i is not None]  # unknown characters fall out
+        ids = self._letters_of(word)
         n = len(ids)
         after, ahead = list(range(1, n + 1)), list(range(-1, n - 1))
         queue = []
@@ -203,19 +239,77 @@ class WordBpe:
                     offer(j)
         return [i for i in ids if i >= 0]
 
+    def _letters_of(self, word: str) -> list[int]:
+        """Ids of the single characters; unknown characters fall out."""
+        last = self.final.get(word[-1:], self.inner.get(word[-1:]))
+        return [i for i in [*map(self.inner.get, word[:-1]), last] if i is not None]
+
+    def merge_many(self, words: list[str]) -> list[list[int]]:
+        """Exact merging of many words: in each step every word makes its
+        lowest merge, the leftmost of equals."""
+        cuts = [self._letters_of(w) for w in words]
+        lengths = np.array([len(c) for c in cuts], np.int64)
+        flat = np.array([i for c in cuts for i in c], np.int64)
+        of = np.repeat(np.arange(len(words)), lengths)
+        ranks = np.full(flat.size, NEVER)  # of a piece with the next one
+        pair = np.flatnonzero(of[1:] == of[:-1])
+        ranks[pair] = self.pair_rank(flat[pair], flat[pair + 1])
+        done_ids, done_of = [], []
+        while flat.size:
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            sizes = np.diff(np.r_[first, flat.size])
+            low = np.minimum.reduceat(ranks, first)
+            goes_on = np.repeat(low < NEVER, sizes)
+            done_ids.append(flat[~goes_on])
+            done_of.append(of[~goes_on])
+            low = np.repeat(low, sizes)[goes_on]
+            flat, of, ranks = flat[goes_on], of[goes_on], ranks[goes_on]
+            if not flat.size:
+                break
+            at = np.flatnonzero(ranks == low)
+            at = at[np.r_[True, of[at[1:]] != of[at[:-1]]]]
+            flat[at] = self.made_by[ranks[at]]
+            keep = np.ones(flat.size, bool)
+            keep[at + 1] = False
+            place = np.cumsum(keep) - 1
+            flat, of, ranks = flat[keep], of[keep], ranks[keep]
+            # The new piece's ranks with its neighbours.
+            for k in (place[at], place[at] - 1):
+                k = k[k >= 0]
+                inside = (k + 1 < flat.size)
+                inside[inside] = of[k[inside]] == of[k[inside] + 1]
+                ranks[k[~inside]] = NEVER
+                k = k[inside]
+                ranks[k] = self.pair_rank(flat[k], flat[k + 1])
+        ids, of = np.concatenate(done_ids or [flat]), np.concatenate(done_of or [of])
+        ids = ids[np.argsort(of, kind="stable")]
+        ends = np.cumsum(np.bincount(of, minlength=len(words))).tolist()
+        ids = ids.tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Byte-level words -> ids: propose, test all neighbours, merge the
         words that fail."""
         cuts = [self.propose(w) for w in words]
         flat = np.array([i for c in cuts for i in c], np.int64)
-        of = np.repeat(np.arange(len(words)), [len(c) for c in cuts])
+        of = np.repeat(np.arange(len(words)), np.array([len(c) for c in cuts], np.int64))
         pair = np.flatnonzero(of[1:] == of[:-1])
         bad = pair[~self.compatible(flat[pair], flat[pair + 1])]
-        for w in {*of[bad].tolist(), *(k for k, c in enumerate(cuts) if not c)}:
-            cuts[w] = self.merge(words[w])
+        failed = sorted({*of[bad].tolist(), *(k for k, c in enumerate(cuts) if not c)})
+        short = [k for k in failed if len(words[k]) <= SHORT]
+        for k, c in zip(short, self.merge_many([words[k] for k in short])):
+            cuts[k] = c
+        for k in failed:
+            if len(words[k]) > SHORT:
+                cuts[k] = self.merge(words[k])
         return cuts
 
     def _words(self, run: str) -> list[str]:
+        if run.isascii() and run:
+            if run.isalpha():
+                return [run]
+            if run[-1] in ".," and run[:-1].isalpha():
+                return [run[:-1], run[-1]]
         if _OTHER.search(run):
             return [w for w, _ in self.split(run)]
         found = _WORD.findall(run)
@@ -229,9 +323,9 @@ class WordBpe:
         for ws in words:
             for w in ws:
                 known.setdefault(w, len(known))
-        ids = self.encode_words(list(known))
+        packed = [array("i", c).tobytes() for c in self.encode_words(list(known))]
         for r, ws in zip(runs, words):
-            self.runs[r] = np.array([i for w in ws for i in ids[known[w]]], np.int32).tobytes()
+            self.runs[r] = b"".join([packed[known[w]] for w in ws])
 
     def _segment(self, text: str) -> list[str]:
         if not _OTHER.search(text):
@@ -277,12 +371,18 @@ def public_word_bpe() -> str:
     return p.path("word_bpe_49k.json")
 
 
+@functools.lru_cache(maxsize=2)
+def worker_bpe(path: str) -> WordBpe:
+    """One encoder a Python worker, with the runs that earlier tasks learned."""
+    return WordBpe(path)
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids, decoded) of every row of ``docs`` (doc_id, text); ``path``
     names a vocabulary file present on the executors (default: the installed
     public one).  One pass over the texts without a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path or public_word_bpe())
+        bpe = worker_bpe(path or public_word_bpe())
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
             # A slice at a time, so that what is sent back stays bounded
