@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 
 # Runs of non-space characters kept by a worker, and characters of text whose
 # ids are sent back at once.
-CACHE_RUNS = 600_000
-IDS_PER_BATCH = 2_000_000
+CACHE_RUNS = 300_000
+IDS_PER_BATCH = 500_000
 HEAD = 3
 # Places of a hash table of merges, as a power of two.
 TABLE_BITS = 18
