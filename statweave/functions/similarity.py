@@ -2,10 +2,12 @@
 
 score = round-half-even(200 * LCS(a, b) / (len a + len b)): the indel-based
 ratio (insertions and deletions cost 1, a substitution costs 2), 100 for
-equal strings, 0 when one side is empty (T22). The LCS is the textbook
-dynamic programme written with nested ``aggregate`` higher-order functions,
-so it runs inside the JVM; it is applied only to candidate pairs that passed
-the lossless filters of ``operators.match``.
+equal strings, 0 when one side is empty (T22). The LCS is computed bit-parallel
+(``lcs_bits``): one string becomes position masks per character, kept in bigint
+words, and each character of the other costs one add, and, or per word. It all
+runs inside the JVM and is applied only to candidate pairs that passed the
+lossless filters of ``operators.match``. ``lcs_length`` is the textbook dynamic
+programme, kept for comparison.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 
 def chars(s: Column) -> Column:
     return F.split(s, "")
@@ -34,8 +38,70 @@ def lcs_length(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == 0) | (lb == 0), F.lit(0)).otherwise(F.element_at(dp, lb + 1))
 
 
+# Bits of a word; two more are left, so that no sum of words overflows (ANSI
+# arithmetic raises).
+WORD = 62
+_ONES = (1 << WORD) - 1
+
+
+def position_masks(a: Column) -> Column:
+    """Map from each character of ``a`` to its positions as bits of bigint
+    words. Masks belong to one string: compute them once, before a join."""
+    words = F.greatest(F.ceil(F.length(a) / F.lit(WORD)).cast("int"), F.lit(1))
+    zero, bit = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def word(part: Column, ch: Column) -> Column:
+        return F.aggregate(
+            F.transform(part, lambda x, i: F.when(x == ch, F.call_function("shiftleft", bit, i))
+                        .otherwise(zero)),
+            zero, lambda acc, x: acc.bitwiseOR(x))
+
+    def masks(ac: Column) -> Column:
+        return let(F.transform(F.sequence(F.lit(0), words - 1), lambda w: F.slice(ac, w * WORD + 1, WORD)),
+                   lambda parts: F.map_from_entries(F.transform(F.array_distinct(ac), lambda ch: F.struct(
+                       ch, F.transform(parts, lambda part: word(part, ch))))))
+    return let(chars(a), masks)
+
+
+def lcs_bits(masks: Column, la: Column, b: Column) -> Column:
+    """LCS length of the string behind ``masks`` (of length ``la``) and ``b``.
+
+    The state has a 0 bit for each position where the LCS grows. A character
+    with mask ``m`` turns word ``v`` into ``(v + (v & m)) | (v & ~m)``, the
+    carry going on into the next word."""
+    bc = chars(b)
+    ones = F.lit(_ONES)
+    words = F.greatest(F.ceil(la / F.lit(WORD)).cast("int"), F.lit(1))
+
+    def next_word(v: Column, m: Column, carry: Column) -> tuple[Column, Column]:
+        total = v + v.bitwiseAND(m) + carry
+        return total, total.bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(ones)
+
+    def one(v: Column, ch: Column) -> Column:
+        m = F.element_at(F.try_element_at(masks, ch), 1)
+        return F.when(m.isNull(), v).otherwise(next_word(v, m, F.lit(0).cast("long"))[1])
+
+    def many(v: Column, ch: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            total, word = next_word(F.element_at(v, k), F.element_at(F.try_element_at(masks, ch), k),
+                                    acc["carry"])
+            return F.struct(F.concat(acc["out"], F.array(word)).alias("out"),
+                            F.shiftright(total, WORD).alias("carry"))
+        start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("carry"))
+        return F.when(F.map_contains_key(masks, ch),
+                      F.aggregate(F.sequence(F.lit(1), words), start, step)["out"]).otherwise(v)
+
+    zeros_one = F.lit(WORD) - F.bit_count(F.aggregate(bc, ones, one))
+    zeros_many = F.lit(WORD) * words - F.aggregate(
+        F.aggregate(bc, F.array_repeat(ones, words), many), F.lit(0),
+        lambda acc, x: acc + F.bit_count(x))
+    return (F.when((la == 0) | (F.length(b) == 0), F.lit(0))
+             .when(words == 1, zeros_one).otherwise(zeros_many))
+
+
 def ratio(a: Column, b: Column, lcs: Column | None = None) -> Column:
-    l = lcs if lcs is not None else lcs_length(a, b)  # noqa: E741
+    l = lcs if lcs is not None else let(  # noqa: E741
+        position_masks(a), lambda m: lcs_bits(m, F.length(a), b))
     s = F.length(a) + F.length(b)
     raw = F.bround(F.lit(200.0) * l / s, 0).cast("int")
     return (F.when(a == b, F.lit(100))

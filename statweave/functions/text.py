@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS
 
+
 def _ranges(cps: list[int]) -> str:
     """Code points as a regex class body of hex-escape ranges, in the
     ``\\x{HHHH}`` form that both Java and RE2 accept."""
@@ -35,6 +36,13 @@ UPPER_EXTRA_BODY = _ranges([c for c in range(0x20000)
                             if chr(c).isupper() and unicodedata.category(chr(c)) != "Lu"])
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``: lambda
+    functions evaluate what they capture anew for every element, unless it is
+    bound to a lambda variable itself."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def trim_ws(c: Column) -> Column:
     """``str.strip()``: all leading/trailing whitespace, not only spaces.
     A character-set trim, not a regex."""

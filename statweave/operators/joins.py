@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
+from ..session import broadcast_if_small, cut_lineage
 from .aggregate import mixed_agg
 
 
@@ -140,19 +141,74 @@ def first_contained(text: Column, candidates: list[str]) -> Column:
     return F.coalesce(hit, t)
 
 
+GRAM = 4
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Distinct substrings of ``n`` characters: a look-ahead matches at every
+    place without using any of it up. (Where a place lies inside a character
+    of two code units, one more string comes out, alike in texts and names.)"""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+
+
+def contained_names(df: DataFrame, text: str, names: DataFrame, key: list[str]) -> DataFrame:
+    """All (key, priority, name) with ``name`` a substring of ``text``; ``key``
+    identifies the rows of ``df``.
+
+    A theta join has no key to join on, so every name gets one: of its
+    substrings of ``GRAM`` characters the one that fewest texts have. A text
+    that contains the name has that substring, so an equi-join on it meets
+    every such pair, and ``contains`` then checks the few that it brings.
+    Names shorter than ``GRAM`` are equal to a substring of their own length.
+    Empty names are in every text; a null name or text matches nothing."""
+    t = df.select(*key, F.col(text).alias("_t")).filter(F.col("_t").isNotNull())
+    names = names.select("priority", "name").filter(F.col("name").isNotNull())
+    sizes = [r[0] for r in names.select(F.least(F.length("name"), F.lit(GRAM)).alias("n"))
+             .distinct().collect()]
+    out = []
+    for n in sorted(sizes):
+        if n == 0:
+            empty = names.filter(F.col("name") == "").agg(F.min("priority")).first()[0]
+            out.append(t.select(*key, F.lit(empty).alias("priority"), F.lit("").alias("name")))
+            continue
+        grams = t.select(*key, "_t", F.explode(_grams(F.col("_t"), n)).alias("_g"))
+        if n < GRAM:
+            short = names.filter(F.length("name") == n)
+            out.append(grams.join(broadcast_if_small(short), F.col("_g") == F.col("name"))
+                       .select(*key, "priority", "name"))
+            continue
+        long = names.filter(F.length("name") >= n)
+        of = cut_lineage(long.withColumn("_g", F.explode(_grams(F.col("name"), n))))
+        # Number of texts that have each substring of a name.
+        wanted = broadcast_if_small(of.select("_g").distinct())
+        found = cut_lineage(t.select(F.explode(_grams(F.col("_t"), n)).alias("_g"))
+                            .join(wanted, "_g").groupBy("_g").agg(F.count(F.lit(1)).alias("_texts")))
+        # A name with a substring that no text has is in no text.
+        rare = cut_lineage(of.join(found, "_g", "left").groupBy("priority", "name")
+                .agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), "_g")).alias("_a"))
+                .filter("_a.n > 0").select("priority", "name", F.col("_a._g").alias("_g")))
+        anchors = broadcast_if_small(rare)
+        if anchors is rare:  # shuffled by substring: the texts stay where they are until then
+            met = grams.drop("_t").join(rare, "_g").select(*key, "priority", "name").join(t, key)
+        else:
+            met = grams.join(anchors, "_g")
+        out.append(met.filter(F.col("_t").contains(F.col("name"))).select(*key, "priority", "name"))
+    if not out:
+        return t.select(*key, F.lit(None).cast(names.schema["priority"].dataType).alias("priority"),
+                        F.lit(None).cast("string").alias("name")).filter(F.lit(False))
+    hits = out[0]
+    for o in out[1:]:
+        hits = hits.unionByName(o)
+    return hits
+
+
 def first_contained_join(df: DataFrame, text: str, candidates: DataFrame,
-                         key: list[str], out: str = "match",
-                         max_candidates: int = 100_000) -> DataFrame:
-    """J6 for a candidate table (priority, name): a broadcast nested-loop
-    join on ``contains`` then ``min_by(name, priority)`` per row. A theta
-    join has no key to shuffle on, so the candidate table must be small: its
-    row count is checked and a larger table is refused rather than turned
-    into a cartesian product."""
-    n = candidates.limit(max_candidates + 1).count()
-    if n > max_candidates:
-        raise ValueError(f"containment join: more than {max_candidates} candidates")
+                         key: list[str], out: str = "match") -> DataFrame:
+    """J6 for a candidate table (priority, name) of any size: the name of
+    lowest priority number that the trimmed text contains, else the trimmed
+    text itself. ``key`` identifies the rows of ``df``."""
     t = df.select(*key, trim_ws(F.col(text)).alias("_t"))
-    hits = t.join(F.broadcast(candidates), F.col("_t").contains(F.col("name")), "inner")
-    best = hits.groupBy(*key).agg(F.min_by("name", "priority").alias("_hit"))
+    best = contained_names(t, "_t", candidates, key).groupBy(*key).agg(
+        F.min_by("name", "priority").alias("_hit"))
     return (t.join(best, on=key, how="left")
              .select(*key, F.coalesce("_hit", "_t").alias(out)))

@@ -140,6 +140,28 @@ def containment_join_q(spark, sf_dir):
                     joins.first_contained(F.col("p_name"), PART_WORDS).alias("matched"))
 
 
+@query("contained_passages", "J6 X2", sql="""
+WITH n AS (
+  SELECT trim(line) AS name, min(item_id * 1000 + i) AS priority
+  FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM benchmark)
+  WHERE trim(line) <> '' GROUP BY 1)
+SELECT doc_id, arg_min(name, priority) AS passage, count(*) AS n_passages
+FROM documents JOIN n ON contains(text, name) GROUP BY doc_id
+""")
+def contained_passages_q(spark, sf_dir):
+    """Lines of the benchmark that a document contains: how many, and the
+    first in benchmark order (J6 with a table of names that grows)."""
+    lines = read_table(spark, sf_dir, "benchmark", ["item_id", "text"]).select(
+        "item_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    names = (lines.select(F.trim("line").alias("name"), (F.col("item_id") * 1000 + F.col("i") + 1).alias("p"))
+             .filter("name <> ''").groupBy("name").agg(F.min("p").alias("priority")))
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    hits = joins.contained_names(docs, "text", names, ["doc_id"])
+    return hits.groupBy("doc_id").agg(F.min_by("name", "priority").alias("passage"),
+                                      F.count(F.lit(1)).alias("n_passages"))
+
+
 @query("mixed_agg", "A1 A2 A3 A4", sql="""
 SELECT l_partkey,
        CAST(coalesce(sum(l_quantity), 0) AS DOUBLE) AS tot_qty,

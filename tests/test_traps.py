@@ -112,6 +112,25 @@ def test_containment_first_hit(spark):
     assert [r["match"] for r in got2] == got
 
 
+def test_containment_by_rare_substring(spark, monkeypatch):
+    """J6 for a table of names: every length class, both join forms."""
+    texts = ["the old gear box", "gear", "", None, "\u00e9t\u00e9 \u6f22\u5b57\U0001f600 ab", "xxabxx", "aaaa aaaa", "a"]
+    names = ["gear box", "old", "a", "ab", "\u6f22\u5b57\U0001f600 a", "aaaa", "zzzz", "gear", None, "the old gear box ", "b x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    table = spark.createDataFrame(list(enumerate(names)), "priority int, name string")
+    exp = {(i, p) for i, t in enumerate(texts) for p, n in enumerate(names)
+           if t is not None and n is not None and n in t}
+    for limit in (16 << 20, 0):
+        monkeypatch.setattr(joins, "broadcast_if_small", lambda d, n=limit: F.broadcast(d) if n else d)
+        got = {(r.id, r.priority) for r in joins.contained_names(df, "s", table, ["id"]).collect()}
+        assert got == exp
+    with_empty = table.union(spark.createDataFrame([(20, "")], table.schema))
+    got = {(r.id, r.priority) for r in joins.contained_names(df, "s", with_empty, ["id"]).collect()}
+    assert got == exp | {(i, 20) for i, t in enumerate(texts) if t is not None}
+    assert joins.contained_names(df, "s", table.limit(0), ["id"]).collect() == []
+    assert joins.contained_names(df.limit(0), "s", table, ["id"]).collect() == []
+
+
 @pytest.mark.parametrize("vals", [
     [0.0, 1.0, 2.0, 3.0, 10.0, 10.0, 4.5],
     [5.0] * 6,
