@@ -9,19 +9,25 @@ centres, components, trees); transforms are column expressions or
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .rank import numbered
 
+# Fits that run at the same time; each is a chain of small jobs.
+FITS_AT_ONCE = 8
+
 
 # -------------------------------------------------------------------- M1 --
 def impute(df: DataFrame, mean_cols: list[str], zero_cols: list[str]) -> DataFrame:
@@ -80,18 +86,22 @@ def kmeans_assign(df: DataFrame, k: int, seed: int = 42, features: str = "featur
 
 
 def kmeans_sweep(df: DataFrame, ks=range(2, 11), seed: int = 42,
-                 features: str = "features") -> DataFrame:
+                 features: str = "features", parallelism: int = FITS_AT_ONCE) -> DataFrame:
     """(k, inertia, silhouette_sq) per K on the cached vectors (M4, M5).
     Silhouette is Spark's linear squared-Euclidean form (T16). Only these
-    numbers reach the driver; ``best`` marks the arg-max silhouette."""
+    numbers reach the driver; ``best`` marks the arg-max silhouette. Fits are
+    chains of jobs that wait on the driver, so several run at once."""
     data = df.select(features).cache()
+    data.count()
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster",
                              distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in ks:
+
+    def fit(k: int) -> tuple[int, float, float]:
         model = kmeans_fit(data, k, seed, features)
-        sil = ev.evaluate(model.transform(data))
-        rows.append((int(k), float(model.summary.trainingCost), float(sil)))
+        return int(k), float(model.summary.trainingCost), float(ev.evaluate(model.transform(data)))
+
+    with ThreadPoolExecutor(parallelism) as pool:  # the largest K takes longest
+        rows = sorted(pool.map(fit, sorted(ks, reverse=True)))
     data.unpersist()
     best = max(rows, key=lambda r: r[2])[0] if rows else None
     spark = df.sparkSession
@@ -161,41 +171,151 @@ def fold_ids(df: DataFrame, id_col: str, folds: int = 5, seed: int = 42,
 
 
 # ---------------------------------------------------------- M9 - M17 --
-def gbt_pipeline(features: list[str], label: str, scale: bool = True, **gbt_params) -> Pipeline:
-    """Assembler (+ scaler) + boosted trees, so scaling is fitted inside each
-    training fold, never on test rows (T24)."""
-    stages = [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep")]
-    if scale:
-        stages.append(StandardScaler(inputCol="_raw", outputCol="features",
-                                     withMean=True, withStd=True))
-    else:
-        stages[0].setOutputCol("features")
-    stages.append(GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
-                               lossType="squared", seed=42, **gbt_params))
-    return Pipeline(stages=stages)
-
-
-def param_grid(gbt: GBTRegressor, full: bool = False):
-    """The reference's 3x3x3x2 grid (54 points) when ``full``; a 2-point
-    grid otherwise. n_estimators->maxIter, max_depth->maxDepth,
-    learning_rate->stepSize, subsample->subsamplingRate."""
-    b = ParamGridBuilder()
-    if full:
-        b = (b.addGrid(gbt.maxIter, [100, 200, 300]).addGrid(gbt.maxDepth, [3, 5, 7])
-              .addGrid(gbt.stepSize, [0.01, 0.05, 0.1]).addGrid(gbt.subsamplingRate, [0.8, 1.0]))
-    else:
-        b = b.addGrid(gbt.maxDepth, [3, 5]).addGrid(gbt.maxIter, [20])
-    return b.build()
-
-
-def gbt_grid_search(train: DataFrame, features: list[str], label: str, full: bool = False,
-                    folds: int = 5, parallelism: int = 4):
-    pipe = gbt_pipeline(features, label)
-    gbt = pipe.getStages()[-1]
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(gbt, full), evaluator=ev,
-                        numFolds=folds, parallelism=parallelism, seed=42)
-    return cv.fit(train)
+def scaler_pipeline(features: list[str]) -> Pipeline:
+    """Assembler and scaler, fitted on training rows only."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep"),
+        StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)])
+
+
+# ----------------------------------------------- M10, M11: boosting runs --
+# Rounds without gain after which boosting stops.
+PATIENCE = 10
+
+
+@dataclass(frozen=True)
+class GbtParams:
+    """One point of the boosted-tree grid (the reference's values are the
+    defaults of ``reference_grid``)."""
+    max_iter: int = 100
+    max_depth: int = 3
+    step_size: float = 0.1
+    subsampling: float = 0.8
+
+
+def reference_grid() -> list[GbtParams]:
+    """All 54 points of the reference's search."""
+    return [GbtParams(n, d, r, s) for n in (100, 200, 300) for d in (3, 5, 7)
+            for r in (0.01, 0.05, 0.1) for s in (0.8, 1.0)]
+
+
+def stop_at(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(trees of the best model, whether boosting stopped): the run ends when
+    ``patience`` rounds in a row bring no smaller loss than the best so far."""
+    best = 0
+    for i, x in enumerate(losses):
+        if x < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _gbt(p: GbtParams, trees: int, label: str) -> GBTRegressor:
+    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
+                        lossType="squared", seed=42, maxIter=trees, maxDepth=p.max_depth,
+                        stepSize=p.step_size, subsamplingRate=p.subsampling)
+
+
+def cut_model(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The boosted model of the first ``trees`` trees."""
+    sc = SparkContext._active_spark_context
+    jvm, own = sc._jvm, model._java_obj
+    cls = jvm.org.apache.spark.ml.regression
+    kept = sc._gateway.new_array(cls.DecisionTreeRegressionModel, trees)
+    weights = sc._gateway.new_array(jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(own.trees()[:trees], own.treeWeights()[:trees])):
+        kept[i], weights[i] = tree, weight
+    java = cls.GBTRegressionModel(f"{own.uid()}_{trees}", kept, weights)
+    java.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+    return GBTRegressionModel(java)
+
+
+def boosted_run(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
+                patience: int = PATIENCE) -> tuple[GBTRegressionModel, list[float]]:
+    """A boosted model of up to ``p.max_iter`` trees that covers its own early
+    stop, and its mean squared error on ``valid`` after every tree.
+
+    The trees are the same however many are asked for, so a run that does not
+    stop within a first guess of its length is fitted anew at twice that."""
+    trees = min(p.max_iter, patience + math.ceil(0.5 / p.step_size))
+    while True:
+        model = _gbt(p, trees, label).fit(train)
+        losses = model.evaluateEachIteration(valid, "squared")
+        if trees == p.max_iter or stop_at(losses, patience)[1]:
+            return model, losses
+        trees = min(p.max_iter, 2 * trees)
+
+
+def early_stopped(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
+                  patience: int = PATIENCE) -> tuple[GBTRegressionModel, list[float], int]:
+    """(model cut to its best iteration, losses up to the stop, best)."""
+    model, losses = boosted_run(train, valid, label, p, patience)
+    best, stopped = stop_at(losses, patience)
+    return cut_model(model, best), losses[:best + patience] if stopped else losses, best
+
+
+def scaled_folds(df: DataFrame, features: list[str], label: str, folds: int) -> list[dict]:
+    """Vectors of each fold's training rows (without a slice for validation),
+    validation rows and test rows; scaling is fitted on the training rows.
+    ``df`` has a column ``fold``; the fold after a test fold validates."""
+    out = []
+    for f in range(folds):
+        train = (F.col("fold") != f) & (F.col("fold") != (f + 1) % folds)
+        scaler = scaler_pipeline(features).fit(df.filter(train))
+        rows = scaler.transform(df).select("features", label, "fold").cache()
+        out.append({"train": rows.filter(train), "rows": rows,
+                    "valid": rows.filter(F.col("fold") == (f + 1) % folds),
+                    "test": rows.filter(F.col("fold") == f)})
+    return out
+
+
+def staged_grid(df: DataFrame, features: list[str], label: str, grid: list[GbtParams],
+                folds: int = 5, patience: int = PATIENCE, parallelism: int = FITS_AT_ONCE) -> DataFrame:
+    """Cross-validated search over ``grid`` by mean absolute error, with early
+    stopping in every fit (M10, M11). A boosted model contains those of fewer
+    trees, so points that differ in ``max_iter`` only share one fit a fold,
+    and each is scored at its own best iteration. ``df`` has a column ``fold``.
+
+    -> one row a point: parameters, cv_mae, cv_std (over the folds),
+    best_trees (mean), rank (ties: fewer trees, then smaller parameters)."""
+    longest: dict[GbtParams, int] = {}
+    for p in grid:
+        key = replace(p, max_iter=0)
+        longest[key] = max(longest.get(key, 0), p.max_iter)
+    data = scaled_folds(df, features, label, folds)
+
+    def run(job: tuple[GbtParams, int]) -> dict[GbtParams, tuple[float, int]]:
+        key, f = job
+        model, losses = boosted_run(data[f]["train"], data[f]["valid"], label,
+                                    replace(key, max_iter=longest[key]), patience)
+        maes = model.evaluateEachIteration(data[f]["test"], "absolute")
+        out = {}
+        for p in grid:
+            if replace(p, max_iter=0) == key:
+                best = stop_at(losses[:p.max_iter], patience)[0]
+                out[p] = maes[best - 1], best
+        return out
+
+    # Long fits first, so that none is left over at the end.
+    jobs = sorted(((key, f) for key in longest for f in range(folds)),
+                  key=lambda j: -longest[j[0]] * j[0].max_depth / j[0].step_size)
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(run, jobs))
+    for d in data:
+        d["rows"].unpersist()
+    rows = []
+    for p in grid:
+        got = [d[p] for d in done if p in d]
+        mean = sum(m for m, _ in got) / folds
+        rows.append((p.max_iter, p.max_depth, p.step_size, p.subsampling, mean,
+                     math.sqrt(sum((m - mean) ** 2 for m, _ in got) / folds),
+                     sum(b for _, b in got) / folds))
+    rows.sort(key=lambda r: (r[4], *r[:4]))
+    return df.sparkSession.createDataFrame(
+        [(*r, i + 1) for i, r in enumerate(rows)],
+        "max_iter int, max_depth int, step_size double, subsampling double, cv_mae double, "
+        "cv_std double, best_trees double, rank int")
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -209,9 +329,14 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     return a.select("n", "mae", r2.alias("r2"), "y_min", "y_max")
 
 
+def sized_for_fits(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """``df`` in no more partitions than its rows fill: a fit is a chain of
+    jobs over them, and empty tasks would cost more than the rows."""
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+
+
 def feature_importances(model, names: list[str]) -> DataFrame:
     """(feature, importance, rank) from a fitted tree model."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     imp = [float(x) for x in model.featureImportances.toArray()]
     rows = sorted(zip(names, imp), key=lambda r: (-r[1], r[0]))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import unpivot_stats
+from ..session import cut_lineage
 from ..sources.tables import read_table, table_path
 from ..specs import STATS
 
@@ -82,6 +83,7 @@ def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "avg_disc", "avg_tax")
 
 
+# Results of ``once``: checkpointed frames and fitted models.
 _MATERIALISED: dict = {}
 
 
@@ -91,7 +93,7 @@ def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
     from any folder of a table gives another key."""
     sc = spark.sparkContext
     files = []
-    for t in ("customer", "nation", "orders", "lineitem"):
+    for t in ("customer", "nation", "orders", "lineitem", "part"):
         path = sc._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
         found = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True)
         while found.hasNext():
@@ -100,23 +102,25 @@ def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
     return (sc.applicationId, sf_dir, tuple(sorted(files)))
 
 
+def once(spark: SparkSession, sf_dir: str, name: str, build):
+    """``build()`` once per session and state of the input files. The key
+    holds the application and every input file with its length and time;
+    results of the same folder whose files have changed are forgotten, and
+    Spark's context cleaner removes their checkpoints."""
+    key = (*_inputs_key(spark, sf_dir), name)
+    if key not in _MATERIALISED:
+        for old in [k for k in _MATERIALISED if k[:2] == key[:2] and k[2] != key[2]]:
+            del _MATERIALISED[old]
+        _MATERIALISED[key] = build()
+    return _MATERIALISED[key]
+
+
 def entity_stats_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity frame written once to the shared folder and reused by every
     report of the session (the stage-1 output the later stages read, as the
     reference hands over its results file). Rescanning the line items for
-    each report would cost far more than writing one row per entity. The
-    key holds the application and every input file with its length and time;
-    frames of the same folder whose files have changed are forgotten, and
-    Spark's context cleaner removes their checkpoint."""
-    from ..session import cut_lineage
-    key = _inputs_key(spark, sf_dir)
-    df = _MATERIALISED.get(key)
-    if df is None:
-        for old in [k for k in _MATERIALISED if k[:2] == key[:2]]:
-            del _MATERIALISED[old]
-        df = cut_lineage(entity_stats(spark, sf_dir))
-        _MATERIALISED[key] = df
-    return df
+    each report would cost far more than writing one row per entity."""
+    return once(spark, sf_dir, "entity", lambda: cut_lineage(entity_stats(spark, sf_dir)))
 
 
 def entity_long(cs: DataFrame, stats: list[str] | None = None) -> DataFrame:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.similarity import ratio_sql
 from ..functions.text import normalize_name
 from ..operators import filters, match
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from ..specs import MATCH_THRESHOLD
+from .entity import once
 from .q_text import normalize_sql
 from .registry import query
 
@@ -62,6 +64,12 @@ def _edges(spark, sf_dir):
              .select("lid", "rid", "score", "lprio", "rorder"))
 
 
+def assigned(spark, sf_dir):
+    """(lid, rid, score, round): the one-to-one match, once a session."""
+    return once(spark, sf_dir, "assigned", lambda: cut_lineage(
+        match.assign_one_to_one(_edges(spark, sf_dir))))
+
+
 # The serial loop: lefts in priority order, each takes its best target that no
 # earlier left has taken.
 ASSIGN_SQL = f"""{T_SQL},
@@ -84,7 +92,7 @@ WITH RECURSIVE {ASSIGN_SQL}
 SELECT lid AS left_name, rid AS target_name, score FROM assigned
 """)
 def fuzzy_assign_q(spark, sf_dir):
-    a = match.assign_one_to_one(_edges(spark, sf_dir))
+    a = assigned(spark, sf_dir)
     return a.select(F.col("lid").alias("left_name"), F.col("rid").alias("target_name"), "score")
 
 
@@ -93,7 +101,7 @@ WITH RECURSIVE {ASSIGN_SQL}
 SELECT lid AS left_name, lprio FROM l WHERE lid NOT IN (SELECT lid FROM assigned)
 """)
 def unmatched_entities_q(spark, sf_dir):
-    a = match.assign_one_to_one(_edges(spark, sf_dir))
+    a = assigned(spark, sf_dir)
     le = lefts(spark, sf_dir)
     return le.join(a.select("lid"), "lid", "left_anti").select(
         F.col("lid").alias("left_name"), "lprio")

@@ -97,3 +97,19 @@ def write_text_lines(lines: DataFrame, path: str, order: list[str]) -> str:
     """One-part text file, lines in ``order`` (a bounded report)."""
     lines.orderBy(*order).select("line").coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def write_markdown_report(row: DataFrame, path: str, title: str) -> str:
+    """A one-row frame as a Markdown table of (measure, value) under a
+    heading, one file in line order. Doubles have two decimals, missing
+    values the sentinel."""
+    measures = [F.struct(F.lit(i + 4).alias("no"), F.concat(
+        F.lit(f"| {f.name} | "),
+        format_2dp(F.col(f.name)) if f.dataType.typeName() == "double"
+        else F.coalesce(F.col(f.name).cast("string"), F.lit(MISSING_SENTINEL)),
+        F.lit(" |")).alias("value")) for i, f in enumerate(row.schema.fields)]
+    head = [F.struct(F.lit(i).alias("no"), F.lit(x).alias("value"))
+            for i, x in enumerate([f"# {title}", "", "| measure | value |", "| --- | --- |"])]
+    lines = row.select(F.explode(F.array(*head, *measures)).alias("l")).select("l.*")
+    lines.coalesce(1).sortWithinPartitions("no").select("value").write.mode("overwrite").text(path)
+    return path
