@@ -78,18 +78,21 @@ def lcs_bits(masks: Column, la: Column, b: Column) -> Column:
         return total, total.bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(ones)
 
     def one(v: Column, ch: Column) -> Column:
-        m = F.element_at(F.try_element_at(masks, ch), 1)
-        return F.when(m.isNull(), v).otherwise(next_word(v, m, F.lit(0).cast("long"))[1])
+        return let(F.element_at(F.try_element_at(masks, ch), 1), lambda m: F.when(
+            m.isNull(), v).otherwise(next_word(v, m, F.lit(0).cast("long"))[1]))
 
     def many(v: Column, ch: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            total, word = next_word(F.element_at(v, k), F.element_at(F.try_element_at(masks, ch), k),
-                                    acc["carry"])
-            return F.struct(F.concat(acc["out"], F.array(word)).alias("out"),
-                            F.shiftright(total, WORD).alias("carry"))
+        def step(m: Column):
+            def word(acc: Column, k: Column) -> Column:
+                return let(F.element_at(v, k), lambda x: let(F.element_at(m, k), lambda y: let(
+                    x + x.bitwiseAND(y) + acc["carry"], lambda total: F.struct(
+                        F.concat(acc["out"], F.array(
+                            total.bitwiseOR(x.bitwiseAND(F.bitwise_not(y))).bitwiseAND(ones))).alias("out"),
+                        F.shiftright(total, WORD).alias("carry")))))
+            return word
         start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("carry"))
-        return F.when(F.map_contains_key(masks, ch),
-                      F.aggregate(F.sequence(F.lit(1), words), start, step)["out"]).otherwise(v)
+        return let(F.try_element_at(masks, ch), lambda m: F.when(m.isNull(), v).otherwise(
+            F.aggregate(F.sequence(F.lit(1), words), start, step(m))["out"]))
 
     zeros_one = F.lit(WORD) - F.bit_count(F.aggregate(bc, ones, one))
     zeros_many = F.lit(WORD) * words - F.aggregate(
@@ -120,3 +123,36 @@ def lcs_sql(a: str, b: str) -> str:
 def ratio_sql(a: str, b: str) -> str:
     return (f"CASE WHEN {a} = {b} THEN 100 WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 "
             f"ELSE CAST(round_even(200.0 * ({lcs_sql(a, b)}) / (len({a}) + len({b})), 0) AS INTEGER) END")
+
+
+def masks_sql(a: str) -> str:
+    """DuckDB form of ``position_masks`` (oracle side): a map from character
+    to its positions in 62-bit words."""
+    words = f"greatest(CAST(ceil(len({a}) / {WORD}.0) AS INTEGER), 1)"
+    return (f"map_from_entries(list_transform(list_distinct(string_split({a}, '')), lambda c: "
+            f"{{'k': c, 'v': list_transform(range(0, {words}), lambda w: CAST(list_sum(list_transform("
+            f"range(0, {WORD}), lambda i: CASE WHEN {a}[w * {WORD} + i + 1] = c "
+            f"THEN CAST(1 AS BIGINT) << CAST(i AS BIGINT) ELSE 0 END)) AS BIGINT))}}))")
+
+
+def lcs_bits_sql(masks: str, la: str, b: str) -> str:
+    """DuckDB form of ``lcs_bits``; the state carries its overflow as a last
+    element."""
+    words = f"greatest(CAST(ceil({la} / {WORD}.0) AS INTEGER), 1)"
+    total = "(v[k] + (v[k] & m[k]) + acc[len(acc)])"
+    step = (f"list_reduce(range(1, {words} + 1), lambda acc, k: list_concat(acc[1:len(acc) - 1], "
+            f"[({total} | (v[k] & ~m[k])) & {_ONES}, {total} >> {WORD}]), [CAST(0 AS BIGINT)])")
+    step = step.replace("m[k]", f"{masks}[ch][k]")
+    state = (f"list_reduce(string_split({b}, ''), lambda v, ch: CASE WHEN {masks}[ch] IS NULL THEN v "
+             f"ELSE ({step})[1:{words}] END, list_transform(range(0, {words}), lambda x: {_ONES}))")
+    one = (f"list_reduce(string_split({b}, ''), lambda v, ch: CASE WHEN {masks}[ch] IS NULL THEN v "
+           f"ELSE ((v + (v & {masks}[ch][1])) | (v & ~{masks}[ch][1])) & {_ONES} END, CAST({_ONES} AS BIGINT))")
+    return (f"CASE WHEN {la} = 0 OR len({b}) = 0 THEN 0 WHEN {la} <= {WORD} THEN {WORD} - bit_count({one}) "
+            f"ELSE {WORD} * {words} - list_sum(list_transform({state}, lambda w: bit_count(w))) END")
+
+
+def ratio_bits_sql(a: str, masks: str, b: str) -> str:
+    """DuckDB form of ``ratio`` with the masks of ``a`` at hand."""
+    return (f"CASE WHEN {a} = {b} THEN 100 WHEN len({a}) = 0 OR len({b}) = 0 THEN 0 "
+            f"ELSE CAST(round_even(200.0 * ({lcs_bits_sql(masks, f'len({a})', b)}) / (len({a}) + len({b})), 0)"
+            f" AS INTEGER) END")

@@ -99,7 +99,7 @@ def _part_counts(grams: Column) -> Column:
     """How many grams fall into each hash class."""
     return let(F.transform(grams, lambda g: F.pmod(F.hash(g), F.lit(PARTS))), lambda h: F.transform(
         F.sequence(F.lit(0), F.lit(PARTS - 1)),
-        lambda b: F.size(F.filter(h, lambda x: x == b))))
+        lambda b: F.size(h) - F.size(F.array_remove(h, b))))
 
 
 def shared_at_most(a: Column, b: Column) -> Column:
@@ -107,16 +107,27 @@ def shared_at_most(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: the work on a string or pair is far larger than
+    its bytes, by which Spark would pack them into few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism,
+                              int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def tokens(df: DataFrame, id_col: str, text: str, kind: str, *more: str) -> DataFrame:
     """(id, len, n_tok, parts, token) with duplicate tokens numbered, so
     multiset overlap is set overlap; ``more`` columns are kept."""
-    numbered = let(F.col("_g"), lambda gs: F.transform(gs, lambda g, i: F.concat(
-        g, F.lit("\u0001"), F.size(F.filter(F.slice(gs, 1, i + 1), lambda x: x == g)).cast("string"))))
-    return (df.select(F.col(id_col).alias("id"), F.col(text).alias("_t"), *more)
-              .withColumn("_g", _grams(F.col("_t"), kind))
-              .select("id", F.length("_t").alias("len"), F.size("_g").alias("n_tok"),
-                      _part_counts(F.col("_g")).alias("parts"), *more,
-                      F.explode(numbered).alias("token")))
+    base = cut_lineage(
+        _spread(df).select(F.col(id_col).alias("id"), F.col(text).alias("_t"), *more)
+        .withColumn("_g", _grams(F.col("_t"), kind))
+        .select("id", F.length("_t").alias("len"), F.size("_g").alias("n_tok"),
+                _part_counts(F.col("_g")).alias("parts"), *more, "_g"))
+    # Counted by a shuffle, not in the string: a long one has many grams.
+    numbers = (base.select("id", F.explode("_g").alias("_x")).groupBy("id", "_x").agg(F.count(F.lit(1)).alias("n"))
+               .select("id", "_x", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_i"))
+               .select("id", F.concat("_x", F.lit("\u0001"), F.col("_i").cast("string")).alias("token")))
+    return base.drop("_g").join(numbers, "id").select("id", "len", "n_tok", "parts", *more, "token")
 
 
 def _index(toks: DataFrame, freq: DataFrame, theta, kind: str) -> DataFrame:
@@ -162,8 +173,8 @@ def similarity_candidates(left: DataFrame, right: DataFrame, theta: int,
     if not self_join:
         left, right = (_in_reach(left, ltext, right, rtext, theta),
                        _in_reach(right, rtext, left, ltext, theta))
-    lt = tokens(left, lid, ltext, kind)
-    rt = lt if self_join else tokens(right, rid, rtext, kind)
+    lt = cut_lineage(tokens(left, lid, ltext, kind))
+    rt = lt if self_join else cut_lineage(tokens(right, rid, rtext, kind))
     freq = ((lt if self_join else lt.select("token").unionByName(rt.select("token")))
             .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
     lp = _index(lt, freq, theta, kind)
@@ -177,11 +188,14 @@ def similarity_candidates(left: DataFrame, right: DataFrame, theta: int,
 def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, lid: str = "lid",
             ltext: str = "ltext", rid: str = "rid", rtext: str = "rtext") -> DataFrame:
     """``pairs`` with both texts and the exact score; position masks are made
-    once a left string."""
-    ltxt = left.select(F.col(lid), F.col(ltext), position_masks(F.col(ltext)).alias("_masks"))
-    score = ratio(F.col(ltext), F.col(rtext), lcs_bits(F.col("_masks"), F.length(ltext), F.col(rtext)))
-    return (pairs.join(ltxt, lid).join(right.select(F.col(rid), F.col(rtext)), rid)
-                 .withColumn("score", score).drop("_masks"))
+    once a string, and those of the shorter one are used."""
+    ltxt = left.select(F.col(lid), F.col(ltext), position_masks(F.col(ltext)).alias("_lm"))
+    rtxt = right.select(F.col(rid), F.col(rtext), position_masks(F.col(rtext)).alias("_rm"))
+    la, lb = F.length(ltext), F.length(rtext)
+    score = ratio(F.col(ltext), F.col(rtext),
+                  F.when(la <= lb, lcs_bits(F.col("_lm"), la, F.col(rtext)))
+                  .otherwise(lcs_bits(F.col("_rm"), lb, F.col(ltext))))
+    return (_spread(pairs.join(ltxt, lid).join(rtxt, rid)).withColumn("score", score).drop("_lm", "_rm"))
 
 
 def similarity_join(left: DataFrame, right: DataFrame, theta: int,
@@ -314,7 +328,7 @@ def near_misses(left: DataFrame, right: DataFrame, k: int = 3,
     order = right.select("rid", "rorder")
 
     def index(kind: str):
-        lt, rt = tokens(left, "lid", "ltext", kind), tokens(right, "rid", "rtext", kind)
+        lt, rt = (cut_lineage(tokens(*x, kind)) for x in ((left, "lid", "ltext"), (right, "rid", "rtext")))
         freq = lt.select("token").unionByName(rt.select("token")).groupBy("token").agg(
             F.count(F.lit(1)).alias("df"))
         w = Window.partitionBy("id").orderBy(F.col("df").asc(), F.col("token").asc())

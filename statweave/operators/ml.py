@@ -232,13 +232,14 @@ def cut_model(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
 
 
 def boosted_run(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
-                patience: int = PATIENCE) -> tuple[GBTRegressionModel, list[float]]:
+                patience: int = PATIENCE, first: int = 0) -> tuple[GBTRegressionModel, list[float]]:
     """A boosted model of up to ``p.max_iter`` trees that covers its own early
     stop, and its mean squared error on ``valid`` after every tree.
 
     The trees are the same however many are asked for, so a run that does not
-    stop within a first guess of its length is fitted anew at twice that."""
-    trees = min(p.max_iter, patience + math.ceil(0.5 / p.step_size))
+    stop within a first guess of its length (``first``, or from the rate) is
+    fitted anew at twice that."""
+    trees = min(p.max_iter, first or patience + math.ceil(0.5 / p.step_size))
     while True:
         model = _gbt(p, trees, label).fit(train)
         losses = model.evaluateEachIteration(valid, "squared")
@@ -248,9 +249,9 @@ def boosted_run(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
 
 
 def early_stopped(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
-                  patience: int = PATIENCE) -> tuple[GBTRegressionModel, list[float], int]:
+                  patience: int = PATIENCE, first: int = 0) -> tuple[GBTRegressionModel, list[float], int]:
     """(model cut to its best iteration, losses up to the stop, best)."""
-    model, losses = boosted_run(train, valid, label, p, patience)
+    model, losses = boosted_run(train, valid, label, p, patience, first)
     best, stopped = stop_at(losses, patience)
     return cut_model(model, best), losses[:best + patience] if stopped else losses, best
 
@@ -329,10 +330,11 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     return a.select("n", "mae", r2.alias("r2"), "y_min", "y_max")
 
 
-def sized_for_fits(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
-    """``df`` in no more partitions than its rows fill: a fit is a chain of
-    jobs over them, and empty tasks would cost more than the rows."""
-    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+def sized_for_fits(df: DataFrame, key: str, rows_per_task: int = 20_000) -> DataFrame:
+    """``df`` dealt by ``key`` into partitions of about ``rows_per_task`` rows:
+    a fit is a chain of jobs over them, so neither empty tasks nor one task for
+    everything will do."""
+    return df.repartition(max(1, -(-df.count() // rows_per_task)), key)
 
 
 def feature_importances(model, names: list[str]) -> DataFrame:

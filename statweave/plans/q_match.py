@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.similarity import ratio_sql
+from ..functions.similarity import masks_sql, ratio_bits_sql, ratio_sql
 from ..functions.text import normalize_name
 from ..operators import filters, match
 from ..session import cut_lineage
@@ -131,3 +131,69 @@ def distinct_names_q(spark, sf_dir):
     n = p.select(normalize_name(F.expr("substr(p_name, 2)")).alias("l"),
                  normalize_name(F.col("p_name")).alias("r"))
     return n.agg(F.count_distinct("l").alias("n_distinct"), F.count_distinct("r").alias("n_targets"))
+
+
+# ---- matching on texts that grow with the input -----------------------------
+# Names: the normalised leading line of a document or benchmark item, or its
+# first sentence; the first item that has a name gives it its order.
+LINE, SENTENCE = "split_part(text, '\n', 1)", "split_part(split_part(text, '\n', 1), '.', 1)"
+
+
+def _text_names(spark, sf_dir, table: str, key: str, part: str):
+    """(name, first): distinct names of a table with their smallest key."""
+    t = read_table(spark, sf_dir, table, [key, "text"]).filter("text IS NOT NULL")
+    return t.select(normalize_name(F.expr(part)).alias("name"), key).groupBy("name").agg(
+        F.min(key).alias("first"))
+
+
+def _names_sql(part: str) -> str:
+    part = part.replace("'\n'", "chr(10)")
+    return f"""
+l AS MATERIALIZED (SELECT {normalize_sql(part)} AS lid, min(doc_id) AS lprio FROM documents
+      WHERE text IS NOT NULL GROUP BY 1),
+r AS MATERIALIZED (SELECT *, {masks_sql("rid")} AS masks
+      FROM (SELECT {normalize_sql(part)} AS rid, min(item_id) AS rorder FROM benchmark
+            WHERE text IS NOT NULL GROUP BY 1)),
+p AS MATERIALIZED (SELECT lid, lprio, rid, rorder, {ratio_bits_sql("rid", "masks", "lid")} AS score
+      FROM l CROSS JOIN r)"""
+
+
+@query("line_matches", "J7 X12", sql=f"""
+WITH {_names_sql(LINE).replace("FROM l CROSS JOIN r", f"""FROM l JOIN r
+      ON 400 * least(len(lid), len(rid)) > {2 * MATCH_THRESHOLD - 1} * (len(lid) + len(rid))""")}
+SELECT lid AS line, rid AS item_line, score FROM p WHERE score >= {MATCH_THRESHOLD}
+""")
+def line_matches_q(spark, sf_dir):
+    """Whole leading lines of documents similar to those of the benchmark."""
+    lines = _text_names(spark, sf_dir, "documents", "doc_id", LINE).select(
+        F.col("name").alias("lid"), F.col("name").alias("ltext"))
+    items = _text_names(spark, sf_dir, "benchmark", "item_id", LINE).select(
+        F.col("name").alias("rid"), F.col("name").alias("rtext"))
+    return match.similarity_join(lines, items, MATCH_THRESHOLD).select(
+        F.col("lid").alias("line"), F.col("rid").alias("item_line"), "score")
+
+
+@query("unmatched_near_misses", "J8 J9 J10 X12", sql=f"""
+WITH RECURSIVE {_names_sql(SENTENCE)},
+{ASSIGN_SQL[ASSIGN_SQL.index("e AS ("):].replace(
+    f"lid, rid, lprio, rorder, {ratio_sql('lid', 'rtext')} AS score", "lid, rid, lprio, rorder, score").replace(
+    "FROM l CROSS JOIN r", "FROM p")}
+SELECT lid AS left_name, rid AS target_name, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lid ORDER BY score DESC, rorder, rid) AS rank FROM p
+  WHERE lid NOT IN (SELECT lid FROM assigned))
+WHERE rank <= 3
+""")
+def unmatched_near_misses_q(spark, sf_dir):
+    """Leading sentences of documents are matched one to one with those of the
+    benchmark; those left over get their three nearest (J10 as the reference
+    has it)."""
+    le = _text_names(spark, sf_dir, "documents", "doc_id", SENTENCE).select(
+        F.col("name").alias("lid"), F.col("name").alias("ltext"), F.col("first").alias("lprio"))
+    ta = _text_names(spark, sf_dir, "benchmark", "item_id", SENTENCE).select(
+        F.col("name").alias("rid"), F.col("name").alias("rtext"), F.col("first").alias("rorder"))
+    le, ta = cut_lineage(le), cut_lineage(ta)
+    edges = (match.similarity_join(le, ta, MATCH_THRESHOLD).select("lid", "rid", "score")
+             .join(le.select("lid", "lprio"), "lid").join(ta.select("rid", "rorder"), "rid"))
+    rest = le.join(match.assign_one_to_one(edges).select("lid"), "lid", "left_anti")
+    return match.near_misses(rest, ta, 3).select(
+        F.col("lid").alias("left_name"), F.col("rid").alias("target_name"), "score", "rank")
