@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -20,7 +22,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .rank import numbered
@@ -109,6 +111,63 @@ def kmeans_sweep(df: DataFrame, ks=range(2, 11), seed: int = 42,
     return out.withColumn("best", F.col("k") == F.lit(best))
 
 
+def sampled_silhouette(df: DataFrame, key: str, features: str = "features", cluster: str = "cluster",
+                       per_cluster: int = 200, seed: int = 42) -> DataFrame:
+    """Euclidean silhouette (the opt-in mode of T16): up to ``per_cluster``
+    points of every cluster, in seeded order of ``key``, against all points.
+    A task adds up the distances of the sample to each cluster's points in its
+    batches, so the work is sample times rows and one row a sampled point and
+    cluster comes back.
+
+    -> (silhouette, std_error, n_sampled): mean over clusters weighted by size,
+    and its standard error from the spread within clusters (0 where every
+    point was sampled). One row; null with fewer than two clusters."""
+    rows = df.select(F.col(key).alias("_k"), vector_to_array(features).alias("_x"),
+                     F.col(cluster).cast("int").alias("_c"))
+    w = Window.partitionBy("_c").orderBy(shuffle_key("_k", seed), "_k")
+    sample = (rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_cluster)
+              .select("_c", "_x").collect())  # at most per_cluster rows a cluster
+    spark = df.sparkSession
+    schema = "silhouette double, std_error double, n_sampled int"
+    sizes = {r["_c"]: r["n"] for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return spark.createDataFrame([(None, None, len(sample))], schema)
+    points = np.array([r["_x"] for r in sample])
+    own = np.array([r["_c"] for r in sample])
+
+    def distances(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            x = np.array(b.column(0).flatten()).reshape(b.num_rows, points.shape[1])
+            c = b.column(1).to_numpy()
+            for at in range(0, len(x), 1024):
+                part, of = x[at:at + 1024], c[at:at + 1024]
+                far = np.sqrt(((points[:, None, :] - part[None, :, :]) ** 2).sum(axis=2))
+                for k in np.unique(of):
+                    total[int(k)] = total.get(int(k), 0.0) + far[:, of == k].sum(axis=1)
+        for k, sums in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(points), dtype=np.int32)), pa.array(np.full(len(points), k, np.int32)),
+                 pa.array(sums)], names=["i", "c", "far"])
+
+    got = rows.select("_x", "_c").mapInArrow(distances, "i int, c int, far double") \
+        .groupBy("i", "c").agg(F.sum("far").alias("far")).collect()
+    sums = {(r["i"], r["c"]): r["far"] for r in got}
+    value = np.zeros(len(points))
+    for i, c in enumerate(own):
+        if sizes[c] > 1:
+            a = sums[i, c] / (sizes[c] - 1)
+            b = min(sums[i, k] / n for k, n in sizes.items() if k != c)
+            value[i] = (b - a) / max(a, b) if max(a, b) else 0.0
+    n, mean, var = sum(sizes.values()), 0.0, 0.0
+    for c, size in sizes.items():
+        of = value[own == c]
+        mean += size / n * of.mean()
+        if 1 < len(of) < size:
+            var += (size / n) ** 2 * of.var(ddof=1) / len(of) * (1 - len(of) / size)
+    return spark.createDataFrame([(float(mean), float(math.sqrt(var)), len(sample))], schema)
+
+
 # -------------------------------------------------------------------- M6 --
 def pca_project(df: DataFrame, k: int = 2, features: str = "features"):
     """PCA scores with a deterministic sign (largest-|loading| entry of each

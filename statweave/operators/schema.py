@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, cut_lineage
+from .rank import numbered
+
 
 # ------------------------------------------------------------- P1 / P3 --
 def dedup_header_names(headers: list[str], suffixes: dict[str, list[str]],
@@ -142,3 +146,26 @@ def one_hot(df: DataFrame, col: str, prefix: str | None = None, drop_first: bool
     kept = lv[1:] if drop_first else lv
     return df.withColumns({f"{prefix}_{v}": F.coalesce(F.col(col) == F.lit(v), F.lit(False))
                            for v in kept})
+
+
+def one_hot_sparse(df: DataFrame, col: str, out: str = "onehot") -> tuple[DataFrame, DataFrame]:
+    """P16 for any number of levels: ``df`` with one sparse vector column, and
+    the level table (level, position). The schema does not grow and no level
+    list reaches the driver: levels are numbered by a sort and joined back.
+    The alphabetically first level is the reference level (all zeros), as a
+    missing value is (T25); ``position`` is the place in the vector, null for
+    the reference level."""
+    levels = df.select(F.col(col).alias("level")).filter("level IS NOT NULL").distinct()
+    placed = cut_lineage(numbered(levels.orderBy("level"), "_n").select(
+        "level", (F.col("_n") - 2).cast("int").alias("_p")))
+    n = placed.count()
+    # The encoder drops its last category: the reference level and nulls.
+    last = float(max(n - 1, 1))
+    at = F.when(F.col("_p") >= 0, F.col("_p").cast("double")).otherwise(F.lit(last))
+    places = placed.withColumnRenamed("level", "_level")
+    joined = df.join(broadcast_if_small(places), F.col(col) == F.col("_level"), "left").drop("_level") \
+        .withColumn("_at", at).drop("_p")
+    one = df.sparkSession.createDataFrame([(last,)], "_at double")
+    encoder = OneHotEncoder(inputCol="_at", outputCol=out, dropLast=True).fit(one)
+    return encoder.transform(joined).drop("_at"), placed.select(
+        "level", F.when(F.col("_p") >= 0, F.col("_p")).alias("position"))

@@ -94,6 +94,14 @@ def kmeans_sweep_q(spark, sf_dir):
     return ml.kmeans_sweep(features(spark, sf_dir), range(2, 11), seed=42)
 
 
+@query("silhouette_sampled", "M5 T16")
+def silhouette_sampled_q(spark, sf_dir):
+    """Euclidean silhouette of the final clusters from a stratified sample
+    against all points, with its standard error."""
+    out, _ = clustered(spark, sf_dir)
+    return round_doubles(ml.sampled_silhouette(out, "c_custkey"))
+
+
 @query("kmeans_assign", "M3 M7")
 def kmeans_assign_q(spark, sf_dir):
     out, _ = clustered(spark, sf_dir)

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
-from ..operators import filters, rank
+from ..operators import filters, rank, sketch
 from ..operators.histogram import histogram, histogram_sql
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, cut_lineage
 from ..sources.files import top_k_report
+from ..sources.tables import read_table
 from ..specs import (ENTITY_MEASURES, EXTENSIVE_STATS, GROUP_ALLOW_LIST, HISTOGRAM_BINS,
                      MIN_GROUP_MEMBERS, MIN_VALUES_HISTOGRAM, MIN_VALUES_TOP_K, STATS,
                      STRENGTH_CATEGORIES)
@@ -129,6 +130,31 @@ def group_moments_q(spark, sf_dir):
                                            materialize=False))
 
 
+@query("quantile_sketches", "A8", sql="""
+WITH s AS (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, CAST(sum(n) AS BIGINT) AS n, p.prob, TRUE AS within_bound, count(*) AS merged
+FROM s, (SELECT unnest(CAST([0.05, 0.5, 0.95] AS DOUBLE[])) AS prob) p GROUP BY 1, 3
+""")
+def quantile_sketches_q(spark, sf_dir):
+    """Prices sketched by flag and status, rolled up to the flag; the exact
+    ranks of the sketch's quantiles lie within its bound (three times the 99 %
+    one)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_linestatus", "l_extendedprice"])
+    fine = cut_lineage(sketch.build(li, ["l_returnflag", "l_linestatus"], "l_extendedprice"))
+    flags = sketch.roll_up(fine, ["l_returnflag"])
+    q = cut_lineage(sketch.quantiles(flags, ["l_returnflag"], [0.05, 0.5, 0.95]))
+    # The quantiles are a few rows a flag.
+    at = li.join(broadcast_if_small(q), "l_returnflag").groupBy("l_returnflag", "n", "prob").agg(
+        F.avg((F.col("l_extendedprice") < F.col("quantile")).cast("double")).alias("below"),
+        F.avg((F.col("l_extendedprice") <= F.col("quantile")).cast("double")).alias("upto"))
+    e = 3 * sketch.rank_error()
+    parts = fine.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("merged"))
+    return at.join(parts, "l_returnflag").select(
+        "l_returnflag", "n", "prob",
+        ((F.col("below") <= F.col("prob") + e) & (F.col("upto") >= F.col("prob") - e)).alias("within_bound"),
+        "merged")
+
+
 @query("group_means", "A9", sql=f"""
 WITH {TEAM_SQL} SELECT grp, stat, round(mean, 6) AS mean FROM tm
 """)

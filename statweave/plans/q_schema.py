@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.numeric import coerce_numeric, coercion_lost, leading_int
@@ -156,6 +157,27 @@ def one_hot_q(spark, sf_dir):
     return schema.one_hot(c, "c_mktsegment", prefix="seg")
 
 
+@query("one_hot_sparse", "P16 T25", sql="""
+WITH k AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_nationkey || ' ' || c_mktsegment END AS level
+           FROM customer),
+l AS (SELECT level, row_number() OVER (ORDER BY level) - 2 AS p FROM (SELECT DISTINCT level FROM k
+      WHERE level IS NOT NULL))
+SELECT c_custkey, k.level, CAST(CASE WHEN p >= 0 THEN p END AS INTEGER) AS hot,
+       CAST((SELECT count(*) - 1 FROM l) AS INTEGER) AS width
+FROM k LEFT JOIN l ON k.level = l.level
+""")
+def one_hot_sparse_q(spark, sf_dir):
+    """One sparse vector column instead of one column a level; ``hot`` is the
+    place of its one, read back from the vector."""
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"])
+    k = c.select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.concat_ws(
+        " ", F.col("c_nationkey").cast("string"), "c_mktsegment")).alias("level"))
+    out, _ = schema.one_hot_sparse(k, "level")
+    v = vector_to_array("onehot")
+    hot = F.array_position(v, F.lit(1.0)).cast("int") - 1
+    return out.select("c_custkey", "level", F.when(hot >= 0, hot).alias("hot"), F.size(v).alias("width"))
+
+
 @query("threshold_filter", "F2", sql=f"""
 WITH {CS_SQL} SELECT c_custkey, c_name, round(spend, 6) AS spend FROM cs WHERE spend > 2500000.0
 """)

@@ -44,6 +44,52 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     return r.csv(path)
 
 
+# ---- S5: type inference -------------------------------------------------------
+# Text forms of each type, from narrow to wide; a column has the first type
+# whose form all its values have. A long is also a double.
+TYPE_PATTERNS = {
+    "long": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+}
+
+
+def infer_types(texts: DataFrame) -> DataFrame:
+    """(column, n_values, n_long, n_double, n_date, type) of a frame of string
+    columns: one aggregate over all rows, no sampling. ``type`` is null (no
+    value), long, double, date or string."""
+    def count(c: str, kind: str):
+        hit = F.col(f"`{c}`").rlike(TYPE_PATTERNS[kind])
+        if kind == "date":
+            hit = hit & F.expr(f"try_cast(`{c}` AS DATE)").isNotNull()
+        return F.count_if(hit).alias(f"n_{kind}")
+
+    counts = texts.agg(*[
+        F.struct(F.lit(c).alias("column"), F.count(f"`{c}`").alias("n_values"),
+                 *[count(c, kind) for kind in TYPE_PATTERNS]).alias(f"_{i}")
+        for i, c in enumerate(texts.columns)])
+    rows = counts.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(texts.columns))])).alias("r")) \
+        .select("r.*")
+    kind = F.when(F.col("n_values") == 0, F.lit("null"))
+    for t in TYPE_PATTERNS:
+        kind = kind.when(F.col(f"n_{t}") == F.col("n_values"), F.lit(t))
+    return rows.withColumn("type", kind.otherwise(F.lit("string")))
+
+
+def read_csv_inferred(spark: SparkSession, path: str,
+                      sentinel: str | None = MISSING_SENTINEL) -> DataFrame:
+    """S5 with inference: one pass over the file as text finds every column's
+    type over all rows, a second one reads it typed. A column without any
+    value is read as string."""
+    reader = spark.read.option("header", True)
+    if sentinel is not None:
+        reader = reader.option("nullValue", sentinel)
+    texts = reader.csv(path)
+    names = {"long": "bigint", "double": "double", "date": "date"}
+    types = {r.column: names.get(r.type, "string") for r in infer_types(texts).collect()}  # one row a column
+    return read_csv(spark, path, ", ".join(f"`{c}` {types[c]}" for c in texts.columns), sentinel)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
