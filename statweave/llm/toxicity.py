@@ -219,10 +219,12 @@ def score(docs: DataFrame, chain: list[Link]) -> DataFrame:
 
 def training_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
                     max_docs: int = TRAIN_DOCS) -> DataFrame:
-    """About ``max_docs`` labelled documents by a hash of the id."""
+    """About ``max_docs`` labelled documents by a hash of the id.  A document
+    with several label rows is of a category if any row says so; rows with a
+    null label do not count."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           *[c.cast("int").alias(n) for n, c in categories.items()]).dropna()
-    known = known.dropDuplicates(["doc_id"])
+    known = known.groupBy("doc_id").agg(*[F.max(n).alias(n) for n in categories])
     n = known.count()
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (1 << 20) * min(
         1.0, max_docs / max(n, 1)))

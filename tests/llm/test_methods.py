@@ -188,3 +188,16 @@ def test_chain_uses_earlier_categories():
                                     y[:, None], y)
     assert c[0] > 0
     assert 0.4 < toxicity.best_threshold(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0])) < 0.6
+
+
+def test_contradicting_label_rows(spark):
+    """A document with several label rows is toxic if any of them says so."""
+    from pyspark.sql import functions as F
+
+    from statweave.llm import toxicity
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, text string")
+    rows = [(0, 0), (0, 1), (1, 1), (1, 0), (2, 0), (2, 0), (3, None), (3, 1), (4, None)]
+    for order in (rows, rows[::-1]):
+        labels = spark.createDataFrame(order, "doc_id long, toxic int").repartition(3)
+        got = toxicity.training_sample(docs, labels, {"toxic": F.col("toxic") == 1}).collect()
+        assert sorted((r.doc_id, r.toxic) for r in got) == [(0, 1), (1, 1), (2, 0), (3, 1)]
