@@ -46,7 +46,6 @@ from .url_reputation import host_of
 
 RUN = 8  # tokens; a power of two
 SHARD_PAGES, SHARD_CHARS = 2048, 4 << 20  # a shard ends at the first of these
-MIN_UNIQUE = 3  # shorter leftovers of a partly covered open block are dropped
 MIN_TEXTS = 3
 OWN_SHARE = 0.25
 WIDE_SHARE = 0.25
@@ -55,8 +54,8 @@ WIDE_SHARE = 0.25
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noframes".split())
 FURNITURE_TAGS = frozenset(
-    "head nav footer aside form button select dialog menu object applet audio video canvas "
-    "datalist".split())
+    "head nav footer aside button select dialog menu object applet audio video canvas "
+    "datalist".split())  # a form is judged by what it holds
 CONTENT_TAGS = frozenset(["article", "main"])
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
@@ -71,6 +70,13 @@ FURNITURE_NAMES = frozenset(
     "modal nav navbar navigation newsletter notice notices overlay paywall pagination pager popup "
     "promo promoted promotion related recommended respond sidebar sidenav social share sharing "
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets login signup".split())
+# A name of several words is furniture if its last word is (site-footer), unless
+# the first one denies or only mentions it (no-comments, has-sidebar), or if a
+# furniture word stands before words that only say which part it is (ad-slot).
+MENTIONS = frozenset("no not non without has have with is can show hide enable disable free".split())
+PARTS = frozenset(
+    "area bar block box button container content form frame group inner item items left link links list "
+    "nav outer panel placeholder right row section slot top bottom unit wrap wrapper".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -79,10 +85,23 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _NAME = re.compile(r"[a-z]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 
+# A form's own zone is a number below these until the page is read.
 CONTENT, OPEN, FURNITURE = 2, 1, 0
 
 
-def _zone(tag: str, attrs: str, inside: int) -> int:
+def furniture_name(token: str) -> bool:
+    """Whether a class or id names furniture."""
+    words = _NAME.findall(token)
+    if not words or FURNITURE_NAMES.isdisjoint(words):
+        return False
+    if words[0] in MENTIONS:
+        return False
+    return words[-1] in FURNITURE_NAMES or (words[0] in FURNITURE_NAMES and PARTS.issuperset(words[1:]))
+
+
+def _zone(tag: str, attrs: str, inside: int, reopen: bool = False) -> int:
+    if reopen and inside == FURNITURE and tag in CONTENT_TAGS:
+        return CONTENT
     if inside == FURNITURE or tag in FURNITURE_TAGS:
         return FURNITURE
     if tag == "header" and inside != CONTENT:
@@ -93,8 +112,8 @@ def _zone(tag: str, attrs: str, inside: int) -> int:
     role = named.get("role", "").lower()
     if role in FURNITURE_ROLES:
         return FURNITURE
-    words = _NAME.findall(f"{named.get('class', '')} {named.get('id', '')}".lower())
-    if tag not in ("html", "body", *CONTENT_TAGS) and not FURNITURE_NAMES.isdisjoint(words):
+    names = f"{named.get('class', '')} {named.get('id', '')}".lower().split()
+    if tag not in ("html", "body", *CONTENT_TAGS) and any(map(furniture_name, names)):
         return FURNITURE
     if tag in CONTENT_TAGS or role == "main" or named.get("itemprop") == "articleBody":
         return CONTENT
@@ -102,8 +121,19 @@ def _zone(tag: str, attrs: str, inside: int) -> int:
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of every block with text, in page order."""
+    """(zone, text) of every block with text, in page order.
+
+    A form goes unless it wraps the page: it holds a container, or more than
+    half of the text.  A container inside furniture is furniture too (readers'
+    comments are articles as well), unless the page has no other text."""
+    found, lost = _blocks(page, False)
+    return found if found or not lost else _blocks(page, True)[0]
+
+
+def _blocks(page: str, reopen: bool) -> tuple[list[tuple[int, str]], bool]:
+    """Blocks, and whether a container lay in furniture."""
     out: list[tuple[int, str]] = []
+    forms, wrapping, lost = 0, set(), False
     parts: list[str] = []
     stack: list[tuple[str, int]] = []
     open_tags: Counter[str] = Counter()
@@ -164,14 +194,29 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 close("p")
         if tag in VOID or m[3].rstrip().endswith("/"):
             continue
-        inner = _zone(tag, m[3], zone)
+        inner = _zone(tag, m[3], zone, reopen)
+        if tag == "form" and inner == CONTENT:
+            inner = FURNITURE
+        elif tag == "form" and inner == OPEN:
+            forms += 1
+            inner = -forms
+        if tag in CONTENT_TAGS:
+            lost |= inner == FURNITURE
+            if inner == CONTENT:
+                wrapping.update(z for _, z in stack if z < 0)
         if inner != zone:
             end_block()
         stack.append((tag, inner))
         open_tags[tag] += 1
         zone = inner
     end_block()
-    return out
+    if forms:
+        size: Counter[int] = Counter()
+        for z, text in out:
+            size[z] += len(text)
+        wrapping.update(z for z in size if z < 0 and 2 * size[z] > size.total())
+        out = [(OPEN if z < 0 else z, text) for z, text in out if z >= 0 or z in wrapping]
+    return out, lost
 
 
 def _zone_below(stack: list[tuple[str, int]], tag: str) -> int:
@@ -369,9 +414,8 @@ def _covered(sizes: list[int], covered_at: list[int], lengths: list[int] | None
 
 
 def unique_blocks(texts: list[str], covered_at: list[int], lengths: list[int] | None = None) -> list[str]:
-    """Blocks without the tokens that a run starting at ``covered_at`` covers;
-    what is left of a partly covered block stays if it has ``MIN_UNIQUE``
-    tokens."""
+    """Blocks without the tokens that a run starting at ``covered_at``
+    covers."""
     out, base = [], 0
     words = _page_words(texts)
     gone = _covered([*map(len, words)], covered_at, lengths)
@@ -380,8 +424,8 @@ def unique_blocks(texts: list[str], covered_at: list[int], lengths: list[int] |
         base += len(ws)
         if not g.any():
             out.append(text)
-        elif (left := [w for w, x in zip(ws, g) if not x]) and len(left) >= MIN_UNIQUE:
-            out.append(" ".join(left))
+        elif not g.all():
+            out.append(" ".join(w for w, x in zip(ws, g) if not x))
     return out
 
 

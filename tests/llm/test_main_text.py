@@ -48,3 +48,40 @@ def test_zones_decide_the_route(spark):
     got = extracted(spark, pages)
     assert all(got[i] == own(i) for i in range(5))
     assert got[10] == own(10) + "\n\nshared by three articles of a host with many pages"
+
+
+def test_wrappers_keep_their_page():
+    """Names that only mention furniture, forms around the page, and containers
+    that nothing else is left of."""
+    page = "<article><h1>Title</h1><p>the story</p></article>"
+    story = [(main_text.CONTENT, "Title"), (main_text.CONTENT, "the story")]
+    for wrapped in (f"<div class='layout has-sidebar'>{page}</div>", f"<div class='entry no-comments'>{page}</div>",
+                    f"<div id='page-banner-layout'><main>{page}</main></div>", f"<div class='sidebar'>{page}</div>"):
+        assert main_text.blocks(wrapped) == story
+    form = main_text.blocks(f"<form id='aspnetForm'><p>top</p>{page}</form>")
+    assert form == [(main_text.OPEN, "top"), *story]
+    assert main_text.blocks("<form><p>a whole page without any container in it</p></form><p>x</p>")[0][0] == main_text.OPEN
+    assert main_text.blocks("<p>the page itself has the text</p><form><p>your mail</p></form>") == [
+        (main_text.OPEN, "the page itself has the text")]
+    assert main_text.blocks("<article><p>a</p><form><p>mail</p></form><div class='ad-free story'>b</div></article>") == [
+        (main_text.CONTENT, "a"), (main_text.CONTENT, "b")]
+
+
+def test_furniture_names():
+    yes = "sidebar site-footer main-nav left_sidebar ad-slot cookie-banner comments comment-list nav-bar menu2".split()
+    no = "has-sidebar no-comments page-banner-layout ad-free story adventure shares-outstanding".split()
+    assert [t for t in yes if not main_text.furniture_name(t)] == []
+    assert [t for t in no if main_text.furniture_name(t)] == []
+
+
+def test_comment_articles_stay_out():
+    page = ("<p>the text</p><div class='comments'><article><p>me too</p></article></div>"
+            "<section id=comment-list><article>first</article></section>")
+    assert main_text.blocks(page) == [(main_text.OPEN, "the text")]
+
+
+def test_short_leftovers_stay(spark):
+    banner = "This banner of the whole site stands before every number of it"
+    got = extracted(spark, [(i, f"<p>{own(i)}</p><p>{banner} Total {i:03}</p>") for i in range(5)])
+    # "Total" ends the repeated run
+    assert got == {i: own(i) + f"\n\n{i:03}" for i in range(5)}
