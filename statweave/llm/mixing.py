@@ -250,20 +250,22 @@ def apply(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken."""
     decisions, _ = mix(docs)
     # Identical rows are interchangeable: what counts is their copies in all.
-    taken = cut_narrow(decisions.groupBy("th").agg(
+    # Rows are told apart by id and hash: hashes alone collide at 10^10 rows.
+    taken = cut_narrow(decisions.groupBy(F.col("doc_id").alias("_taken"), F.col("th").alias("_hash")).agg(
         F.sum("copies").alias("copies"), F.count("*").alias("n")).filter("copies > 0"),
         decisions.count())
-    rows = rows_of(docs).select("_row", F.xxhash64("_row").alias("th"))
+    rows = rows_of(docs).select("_row", F.col("_row.doc_id").alias("_id"), F.xxhash64("_row").alias("th"))
+    same = (F.col("th") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("_taken"))
 
     def copied(r: DataFrame) -> DataFrame:
         return r.select(F.explode(F.array_repeat("_row", F.col("copies").cast("int"))).alias("_row")
                         ).select("_row.*")
-    out = copied(rows.join(taken.filter("n = 1"), "th"))
+    out = copied(rows.join(taken.filter("n = 1"), same))
     if taken.filter("n > 1").isEmpty():
         return out
-    again = rows.join(taken.filter("n > 1").select("th"), "th", "left_semi").distinct()
+    again = rows.join(taken.filter("n > 1"), same, "left_semi").distinct()
     # The copies of all such rows together are spread over the tasks in ranges.
-    ranges = again.join(taken, "th").select("_row", "th", "copies", F.explode(F.sequence(
+    ranges = again.join(taken, same).select("_row", "th", "copies", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW))).alias("range"))
     some = F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("copies") - F.col("range") * COPIES_PER_ROW)
     return out.unionByName(ranges.repartition("th", "range").select(

@@ -159,10 +159,16 @@ def dedupe(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     same = d.groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
     best = cut_narrow(same.groupBy("root").agg(
-        F.min_by(F.struct("th", "n"), first).alias("k")).select("k.th", "k.n"), d.count())
-    rows = rows_of(docs).select("_row", row_hash(F.col("_row")).alias("th"))
-    once = rows.join(best.filter("n = 1").select("th"), "th", "left_semi").select("_row.*")
+        F.min_by(F.struct("doc_id", "th", "n"), first).alias("k")).select(
+        F.col("k.doc_id").alias("_kept"), F.col("k.th").alias("_hash"), "k.n"), d.count())
+    rows = rows_of(docs).select("_row", F.col("_row.doc_id").cast("long").alias("_id"),
+                                row_hash(F.col("_row")).alias("th"))
+
+    def chosen(which: str) -> DataFrame:
+        k = best.filter(which)
+        return rows.join(k, (F.col("th") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("_kept")),
+                         "left_semi").select("_row.*")
+    once = chosen("n = 1")
     if best.filter("n > 1").isEmpty():
         return once
-    again = rows.join(best.filter("n > 1").select("th"), "th", "left_semi").select("_row.*")
-    return once.unionByName(again.distinct())
+    return once.unionByName(chosen("n > 1").distinct())
