@@ -93,10 +93,11 @@ def _inputs_key(spark: SparkSession, sf_dir: str) -> tuple:
     from any folder of a table gives another key."""
     sc = spark.sparkContext
     files = []
-    for t in ("customer", "nation", "orders", "lineitem", "part"):
+    for t in ("customer", "nation", "orders", "lineitem", "part", "pages"):
         path = sc._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
-        found = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True)
-        while found.hasNext():
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        found = fs.listFiles(path, True) if fs.exists(path) else None
+        while found and found.hasNext():
             f = found.next()
             files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
     return (sc.applicationId, sf_dir, tuple(sorted(files)))

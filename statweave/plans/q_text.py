@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import cut_lineage
 from ..sources import pages as pg
 from ..sources.tables import read_table, spread
 from ..specs import REFERENCE_NAME_ALIASES, REFERENCE_STOP_TOKENS, MeasureSpec, TableSpec
+from .entity import once
 from .ingest import ingest
 from .registry import query, round_doubles
 
@@ -150,6 +152,11 @@ def stored_pages(spark, sf_dir):
         rendered_pages(spark, sf_dir).drop("url"))
 
 
+def parsed_pages(spark, sf_dir):
+    """All stored pages parsed, once a session: cells and status read it."""
+    return once(spark, sf_dir, "parsed", lambda: cut_lineage(pg.parse_pages(stored_pages(spark, sf_dir))))
+
+
 _RENDERED_SQL = f"""
 li AS (SELECT {FIRST_PAGE} + l_orderkey // {PAGE_ORDERS} AS page_id, l_orderkey, l_linenumber,
               CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty,
@@ -171,7 +178,7 @@ FROM r, (VALUES (0, '', 'Order', 'Order'), (1, 'Amount', 'Qty', 'Qty'),
         AS h(col_no, header_top, header, name)
 """)
 def html_table_extract_q(spark, sf_dir):
-    return pg.extract_cells(stored_pages(spark, sf_dir))
+    return pg.cells_of(parsed_pages(spark, sf_dir))
 
 
 @query("page_extract_status", "S4", sql=f"""
@@ -187,7 +194,7 @@ SELECT CAST(page_id AS BIGINT), CASE WHEN page_id % 10 = 0 THEN 0 ELSE 1 END,
 FROM li GROUP BY page_id
 """)
 def page_extract_status_q(spark, sf_dir):
-    return pg.page_status(stored_pages(spark, sf_dir))
+    return pg.status_of(parsed_pages(spark, sf_dir))
 
 
 # The stage-1 pipeline over two sources of rendered pages.
@@ -202,6 +209,10 @@ INGEST_MIN = 50
 
 
 def _ingested(spark, sf_dir, mode):
+    return once(spark, sf_dir, f"ingested-{mode}", lambda: _ingest(spark, sf_dir, mode))
+
+
+def _ingest(spark, sf_dir, mode):
     pages = spread(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])).unionByName(
         rendered_pages(spark, sf_dir)).unionByName(order_pages(spark, sf_dir))
     return ingest(pages, INGEST_SPECS, INGEST_MEASURES, {"Player": "first"}, mode, "Qty", INGEST_MIN)
