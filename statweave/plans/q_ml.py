@@ -449,8 +449,9 @@ SELECT (SELECT count(*) - CAST(ceil(0.2 * count(*)) AS BIGINT) FROM customer) AS
 """)
 def valuation_counts_q(spark, sf_dir):
     """The counts of the report, from the split and the match."""
-    split = value_frame(spark, sf_dir)[0].agg(F.count_if(~F.col("is_test")).alias("n_train"),
-                                              F.count_if("is_test").alias("n_test"))
-    names = q_match.lefts(spark, sf_dir).join(q_match.assigned(spark, sf_dir), "lid", "left").agg(
-        F.count("score").alias("n_matched"), F.count_if(F.col("score").isNull()).alias("n_unmatched"))
-    return split.join(names, F.lit(True))  # one row each
+    split = value_frame(spark, sf_dir)[0].select(
+        (~F.col("is_test")).alias("n_train"), F.col("is_test").alias("n_test"))
+    names = q_match.lefts(spark, sf_dir).join(q_match.assigned(spark, sf_dir), "lid", "left").select(
+        F.col("score").isNotNull().alias("n_matched"), F.col("score").isNull().alias("n_unmatched"))
+    both = split.unionByName(names, allowMissingColumns=True)
+    return both.agg(*[F.count_if(c).alias(c) for c in both.columns])
