@@ -59,6 +59,10 @@ def edge_dir(spark, tmp_path_factory):
     spark.createDataFrame(doc_rows(), DOC_SCHEMA).coalesce(3).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(*r, "x", 1) for r in PAGE_ROWS], "page_id long, url string, html string, "
                           "host string, n long").coalesce(2).write.parquet(f"{d}/pages.parquet")
+    vectors = [(i, [0.1 * (i % 7), 0.2, -0.3 * (i % 3)], i % 10, 1) for i in range(60)]
+    vectors += [(None, None, None, 1), (50, [], 1, 1), (100, [0.1, None], 2, 1)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int, rid int").write.parquet(
+        f"{d}/embeddings.parquet")
     labels = [(i, int(i % 5 > 0), int(i % 4 == 0), "x") for i in range(40)] + [
         (0, None, 1, "x"), (None, 1, 1, "x"), (999, 1, None, "x")]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string").write.parquet(
@@ -69,7 +73,7 @@ def edge_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def empty_dir(spark, edge_dir, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         spark.read.parquet(f"{edge_dir}/{name}.parquet").filter(F.lit(False)).coalesce(1).write.parquet(
             f"{d}/{name}.parquet")
     return d
