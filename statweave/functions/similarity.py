@@ -12,6 +12,9 @@ programme, kept for comparison.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -112,6 +115,46 @@ def ratio(a: Column, b: Column, lcs: Column | None = None) -> Column:
              .otherwise(raw))
 
 
+class PackedTexts:
+    """Strings side by side in one long integer, a guard bit behind each: the
+    recurrence of ``lcs_bits`` then runs on all of them at once, as the guard
+    bits take up the carries."""
+
+    def __init__(self, texts: Sequence[str]):
+        self.lengths = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths + 1)[:-1]]).astype(np.int64)
+        self._size = int((self.lengths + 1).sum())
+        places: dict[str, list[int]] = {}
+        for t, at in zip(texts, self.starts.tolist()):
+            for i, ch in enumerate(t, at):
+                places.setdefault(ch, []).append(i)
+        self._masks = {ch: self._bits(at) for ch, at in places.items()}
+        self._ones = self._bits([i for at in places.values() for i in at])
+
+    def _bits(self, at: list[int]) -> int:
+        flags = np.zeros(self._size, np.uint8)
+        flags[at] = 1
+        return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+    def lcs(self, text: str) -> np.ndarray:
+        """LCS length of ``text`` with every string."""
+        v, ones, masks = self._ones, self._ones, self._masks
+        for ch in text:
+            m = masks.get(ch)
+            if m is not None:
+                u = v & m
+                v = ((v + u) | (v - u)) & ones
+        found = np.frombuffer((ones ^ v).to_bytes(-(-self._size // 8), "little"), np.uint8)
+        return np.add.reduceat(np.unpackbits(found, bitorder="little"), self.starts, dtype=np.int64)
+
+    def ratio(self, text: str) -> np.ndarray:
+        """``ratio`` of ``text`` with every string."""
+        total = self.lengths + len(text)
+        score = np.rint(200.0 * self.lcs(text) / np.maximum(total, 1)).astype(np.int32)
+        score[total == 0] = 100                      # equal strings, both empty
+        return score
+
+
 def lcs_sql(a: str, b: str) -> str:
     """The same dynamic programme as DuckDB SQL (oracle side)."""
     return (f"list_reduce(string_split({a}, ''), lambda prev, ch: list_reduce(range(1, len({b}) + 1), "

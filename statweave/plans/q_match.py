@@ -169,7 +169,7 @@ def line_matches_q(spark, sf_dir):
         F.col("name").alias("lid"), F.col("name").alias("ltext"))
     items = _text_names(spark, sf_dir, "benchmark", "item_id", LINE).select(
         F.col("name").alias("rid"), F.col("name").alias("rtext"))
-    return match.similarity_join(lines, items, MATCH_THRESHOLD).select(
+    return match.block_join(lines, items, MATCH_THRESHOLD).select(
         F.col("lid").alias("line"), F.col("rid").alias("item_line"), "score")
 
 
@@ -192,8 +192,8 @@ def unmatched_near_misses_q(spark, sf_dir):
     ta = _text_names(spark, sf_dir, "benchmark", "item_id", SENTENCE).select(
         F.col("name").alias("rid"), F.col("name").alias("rtext"), F.col("first").alias("rorder"))
     le, ta = cut_lineage(le), cut_lineage(ta)
-    edges = (match.similarity_join(le, ta, MATCH_THRESHOLD).select("lid", "rid", "score")
+    edges = (match.block_join(le, ta, MATCH_THRESHOLD).select("lid", "rid", "score")
              .join(le.select("lid", "lprio"), "lid").join(ta.select("rid", "rorder"), "rid"))
     rest = le.join(match.assign_one_to_one(edges).select("lid"), "lid", "left_anti")
-    return match.near_misses(rest, ta, 3).select(
+    return match.block_nearest(rest, ta, 3).select(
         F.col("lid").alias("left_name"), F.col("rid").alias("target_name"), "score", "rank")
