@@ -50,9 +50,10 @@ def _table(cells: DataFrame, spec: TableSpec, measures: dict, descriptors: dict,
 def ingest(pages: DataFrame, specs: list[TableSpec], measures: list[MeasureSpec],
            descriptors: dict[str, str], mode: str = "aggregate",
            min_col: str | None = None, min_above: float | None = None):
-    """-> (entity rows, failures). ``pages(page_id, url, html)``. All specs
-    are served by one pass over the pages: a page belongs to the first spec
-    whose ``source`` its URL holds, and is parsed once."""
+    """-> (entity rows, failures). ``pages(page_id, url, html)``. A page belongs
+    to the first spec whose ``source`` its URL holds. One pass finds the status
+    of every page; the cells, many times larger, are taken in a second one and
+    go straight into their aggregates, so none is stored."""
     mdict = {m.name: m for m in measures}
     tables = []
     spark = pages.sparkSession
@@ -62,18 +63,19 @@ def ingest(pages: DataFrame, specs: list[TableSpec], measures: list[MeasureSpec]
     ids = F.element_at(F.array(*[F.lit(s.table_id).cast("string") for s in specs]), number + 1)
     tagged = pages.select("page_id", "html", number.alias("spec"), ids.alias("table_id")).filter(
         "spec is not null")
-    parsed = cut_lineage(pg.parse_pages(tagged, unlisted="mangle", carry="spec"))
+    how = {"unlisted": "mangle", "carry": "spec"}
+    states = cut_lineage(pg.page_status(tagged, with_cells=False, **how))
     names = F.array(*[F.lit(s.name) for s in specs])
-    statuses = [pg.status_of(parsed).withColumn("table", F.element_at(names, F.col("spec") + 1))
+    statuses = [states.withColumn("table", F.element_at(names, F.col("spec") + 1))
                 .drop("spec")]
-    keyed = {r["spec"] for r in parsed.filter("n_keyed_rows > 0").select("spec").distinct().collect()}
+    keyed = {r["spec"] for r in states.filter("n_keyed_rows > 0").select("spec").distinct().collect()}
     for k, spec in enumerate(specs):
         if k not in keyed:              # a failed source: its columns are back-filled (T27)
             statuses.append(spark.createDataFrame(
                 [(None, None, None, 0, 0, "no_rows", f"no keyed rows for {spec.name}", spec.name)],
                 pg.STATUS_SCHEMA + ", table string"))
             continue
-        cells = pg.cells_of(parsed.filter(F.col("spec") == k))
+        cells = pg.extract_cells(tagged.filter(F.col("spec") == k), **how)
         tables.append((spec.name, *_table(cells, spec, mdict, descriptors, not tables)))
     if not tables:
         raise ValueError("no source table delivered rows")

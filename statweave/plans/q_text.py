@@ -93,6 +93,8 @@ def html_link_extract_q(spark, sf_dir):
 # every tenth page lost its table.
 PAGE_ORDERS = 64
 FIRST_PAGE = 1_000_000_000
+# Table rows that one task renders and parses.
+TASK_ROWS = 50_000
 _HEADS = ["Order", "Qty", "Cents", "Qty"]
 
 
@@ -108,7 +110,9 @@ def _render(df, first_page, url, key, order, cells, tops, heads):
     link = F.concat(F.lit('<a href="/players/o'), k, F.lit('/x">Order '), k, F.lit("</a>"))
     row = F.concat(F.lit("<tr>"), td(link, ' data-stat="player"'), *[td(F.col(c)) for c in cells],
                    F.when(kind == 1, "\n").otherwise("</tr>\n"))
-    rows = df.withColumn("page_id", page).withColumn("row", row)
+    # Parsing is heavy for its bytes, by which Spark would merge these partitions.
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    rows = df.withColumn("page_id", page).withColumn("row", row).repartition(tasks, "page_id")
     body = rows.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct(*order, "row"))), lambda r: r["row"]), "").alias("body"))
     top = "<tr>" + "".join(f'<th colspan="{n}">{t}</th>' for t, n in tops) + "</tr>"
@@ -152,9 +156,11 @@ def stored_pages(spark, sf_dir):
         rendered_pages(spark, sf_dir).drop("url"))
 
 
-def parsed_pages(spark, sf_dir):
-    """All stored pages parsed, once a session: cells and status read it."""
-    return once(spark, sf_dir, "parsed", lambda: cut_lineage(pg.parse_pages(stored_pages(spark, sf_dir))))
+def page_states(spark, sf_dir):
+    """The status of all stored pages, once a session. Cells are many times
+    larger than their pages, so they are never stored on the way."""
+    return once(spark, sf_dir, "page states", lambda: cut_lineage(
+        pg.page_status(stored_pages(spark, sf_dir), with_cells=False)))
 
 
 _RENDERED_SQL = f"""
@@ -178,7 +184,7 @@ FROM r, (VALUES (0, '', 'Order', 'Order'), (1, 'Amount', 'Qty', 'Qty'),
         AS h(col_no, header_top, header, name)
 """)
 def html_table_extract_q(spark, sf_dir):
-    return pg.cells_of(parsed_pages(spark, sf_dir))
+    return pg.extract_cells(stored_pages(spark, sf_dir))
 
 
 @query("page_extract_status", "S4", sql=f"""
@@ -194,7 +200,7 @@ SELECT CAST(page_id AS BIGINT), CASE WHEN page_id % 10 = 0 THEN 0 ELSE 1 END,
 FROM li GROUP BY page_id
 """)
 def page_extract_status_q(spark, sf_dir):
-    return pg.status_of(parsed_pages(spark, sf_dir))
+    return page_states(spark, sf_dir)
 
 
 # The stage-1 pipeline over two sources of rendered pages.
