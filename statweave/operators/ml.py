@@ -89,12 +89,13 @@ def kmeans_assign(df: DataFrame, k: int, seed: int = 42, features: str = "featur
 
 def kmeans_sweep(df: DataFrame, ks=range(2, 11), seed: int = 42,
                  features: str = "features", parallelism: int = FITS_AT_ONCE) -> DataFrame:
-    """(k, inertia, silhouette_sq) per K on the cached vectors (M4, M5).
-    Silhouette is Spark's linear squared-Euclidean form (T16). Only these
-    numbers reach the driver; ``best`` marks the arg-max silhouette. Fits are
-    chains of jobs that wait on the driver, so several run at once."""
-    data = df.select(features).cache()
-    data.count()
+    """(k, inertia, silhouette_sq) per K (M4, M5). Silhouette is Spark's linear
+    squared-Euclidean form (T16). Only these numbers reach the driver;
+    ``best`` marks the arg-max silhouette. Fits are chains of jobs that wait on
+    the driver, so several run at once. The frame is not cached here: each fit
+    then keeps its own vectors ready, where from a cached frame it would decode
+    every row again in every iteration."""
+    data = df.select(features)
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster",
                              distanceMeasure="squaredEuclidean")
 
@@ -104,7 +105,6 @@ def kmeans_sweep(df: DataFrame, ks=range(2, 11), seed: int = 42,
 
     with ThreadPoolExecutor(parallelism) as pool:  # the largest K takes longest
         rows = sorted(pool.map(fit, sorted(ks, reverse=True)))
-    data.unpersist()
     best = max(rows, key=lambda r: r[2])[0] if rows else None
     spark = df.sparkSession
     out = spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double")
