@@ -235,12 +235,15 @@ def cv_folds_q(spark, sf_dir):
 
 
 def grid_once(spark, sf_dir):
-    """The whole parameter search on the training rows, once a session."""
+    """The whole parameter search on the training rows, once a session and
+    list of points."""
+    grid = ml.reference_grid()
+
     def build():
         df, feats = value_frame(spark, sf_dir)
         train = _training(df)
-        return cut_lineage(ml.staged_grid(train, feats, "spend", ml.reference_grid(), FOLDS))
-    return once(spark, sf_dir, "grid", build)
+        return cut_lineage(ml.staged_grid(train, feats, "spend", grid, FOLDS))
+    return once(spark, sf_dir, f"grid {grid}", build)
 
 
 def best_params(spark, sf_dir) -> ml.GbtParams:
@@ -269,7 +272,7 @@ def fitted(spark, sf_dir):
         out = cut_lineage(model.transform(rows).drop("_raw", "features"))
         rows.unpersist()
         return out, feats, model, losses, replace(p, max_iter=best)
-    return once(spark, sf_dir, "fitted", build)
+    return once(spark, sf_dir, f"fitted {ml.reference_grid()}", build)
 
 
 def gbt_fit(spark, sf_dir):
@@ -374,7 +377,7 @@ def cv_once(spark, sf_dir):
         for d in folds:
             d["rows"].unpersist()
         return every
-    return once(spark, sf_dir, "cv", build)
+    return once(spark, sf_dir, f"cv {ml.reference_grid()}", build)
 
 
 def _fold_mae(pred):
