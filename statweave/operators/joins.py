@@ -155,6 +155,51 @@ def contained_names(df: DataFrame, text: str, names: DataFrame, key: list[str])
     """All (key, priority, name) with ``name`` a substring of ``text``; ``key``
     identifies the rows of ``df``.
 
+    Texts and names are cut at spaces. Where a name of three words or more
+    stands, each word but its first and last is a whole word of the text: an
+    equi-join on the one that is rarest in all texts meets every such pair. Of
+    a shorter name the longest word lies inside a word of the text; those
+    words are looked up among the distinct words of all texts
+    (``_names_by_grams``), far fewer characters than the texts have.
+    ``contains`` then checks the pairs that were met. Empty names are in every
+    text; a null name or text matches nothing."""
+    t = df.select(*key, F.col(text).alias("_t")).filter(F.col("_t").isNotNull())
+    names = names.select("priority", "name").filter(F.col("name").isNotNull())
+    words = names.filter("name <> ''").withColumn("_w", F.split("name", " "))
+    short = words.filter(F.size("_w") < 3).select("priority", "name", F.array_max(F.transform(
+        "_w", lambda w: F.struct(F.length(w), w.alias("w")))).getField("w").alias("_part"))
+    inner = words.filter(F.size("_w") >= 3).select("priority", "name", F.explode(F.array_distinct(
+        F.slice("_w", 2, F.size("_w") - 2))).alias("_g"))
+    found = cut_lineage(t.select(F.explode(F.split("_t", " ")).alias("_g"))
+                        .groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
+    # A name with a word that no text has is in no text.
+    rare = (inner.join(found, "_g", "left").groupBy("priority", "name")
+            .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_a"))
+            .filter("_a.n > 0").select("priority", "name", F.col("_a._g").alias("_g")))
+    parts = short.select("_part").distinct().select(F.lit(0).alias("priority"), F.col("_part").alias("name"))
+    inside = _names_by_grams(found.select(F.col("_g").alias("_word")), "_word", parts, ["_word"]).select(
+        F.col("_word").alias("_g"), F.col("name").alias("_part"))
+    rare = cut_lineage(rare.unionByName(short.distinct().join(inside, "_part").drop("_part")))
+    anchors = broadcast_if_small(rare)
+    in_text = t.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", *key, "_t", F.explode(F.array_distinct(F.split("_t", " "))).alias("_g"))
+    once = ["_row", "priority", "name"]  # several words of a text may hold a short name
+    if anchors is rare:  # shuffled by word: the texts stay where they are until then
+        met = in_text.drop("_t").join(rare, "_g").dropDuplicates(once).select(
+            *key, "priority", "name").join(t, key).filter(F.col("_t").contains(F.col("name")))
+    else:
+        met = in_text.join(anchors, "_g").filter(F.col("_t").contains(F.col("name"))).select(
+            "_row", *key, "priority", "name").dropDuplicates(once)
+    met = met.select(*key, "priority", "name")
+    empty = names.filter("name = ''").agg(F.min("priority")).first()[0]
+    if empty is None:
+        return met
+    return met.unionByName(t.select(*key, F.lit(empty).alias("priority"), F.lit("").alias("name")))
+
+
+def _names_by_grams(df: DataFrame, text: str, names: DataFrame, key: list[str]) -> DataFrame:
+    """``contained_names`` without regard to words.
+
     A theta join has no key to join on, so every name gets one: of its
     substrings of ``GRAM`` characters the one that fewest texts have. A text
     that contains the name has that substring, so an equi-join on it meets
