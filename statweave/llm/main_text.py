@@ -11,9 +11,13 @@ token streams of a host's pages, run on across block ends, are concatenated and
 their suffixes sorted to a depth of ``RUN`` tokens; equal neighbours from
 distinct pages are repeated substrings, and blocks of fewer tokens are compared
 whole.  A shard is the pages of a host among ``SHARD_PAGES`` pages that a task
-reads; it hands on one row per distinct run, and runs that meet only across
-shards are found when these are aggregated, so a host of any size is compared
-whole, none is gathered in one task and no text is shuffled for it.
+reads.  Most runs stand on one page only, so a task first hands on the leading
+bits of its runs' hashes, sorted and as differences (one to three bytes a run):
+bits that two pages may share make a bit map.  Only runs it lets pass become
+rows, and these are aggregated, so a host of any size is compared whole, none is
+gathered in one task, no text is shuffled for it and no repeat is lost.  What is
+repeated is then looked up on the pages again, broadcast or, where it is large,
+by joins.
 
 A repeat is removed where it stands on ``MIN_TEXTS`` distinct texts of the
 host.  A page is a text of its own if blocks that are not repeated hold
@@ -41,11 +45,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, cut
+from ..session import scratch_path
+from .common import broadcast_checked
 from .url_reputation import host_of
 
 RUN = 8  # tokens; a power of two
 SHARD_PAGES, SHARD_CHARS = 2048, 4 << 20  # a shard ends at the first of these
+SLICE_RUNS = 4 << 20  # hashes that are compared in one task, about
+MAP_BITS = 27         # of the bit map that is broadcast, at most
+BROADCAST_RUNS = 2 << 20
+LOOK_PAGES = 1024  # pages whose tokens are in memory at once
 MIN_TEXTS = 3
 OWN_SHARE = 0.25
 WIDE_SHARE = 0.25
@@ -276,141 +285,310 @@ def _page_words(texts: list[str]) -> list[list[str]]:
     return [t.split() for t in texts]
 
 
-_WORD_HASH: dict[str, int] = {}
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    if len(_WORD_HASH) > 1_000_000:
-        _WORD_HASH.clear()
-    for w in words:
-        if w not in _WORD_HASH:
-            _WORD_HASH[w] = xxhash.xxh64_intdigest(w)
-    return np.array([_WORD_HASH[w] for w in words], np.uint64)
-
-
-def _run_hashes(words: np.ndarray, length: int = RUN) -> np.ndarray:
-    """Hash of every ``length`` words in a row, from the words' hashes."""
-    k = max(len(words) - length + 1, 0)
-    h = np.full(k, length, np.uint64)
-    for j in range(length):
-        h = (h ^ words[j:j + k]) * _PRIME
-        h ^= h >> np.uint64(29)
-    return h.view(np.int64)
-
-
-def _short(lengths: list[int]) -> list[tuple[int, int]]:
-    """(first token, length) of the blocks that are shorter than a run."""
-    starts = np.cumsum([0, *lengths])
-    return [(int(at), n) for at, n in zip(starts, lengths) if 0 < n < RUN]
-
-
-def _shard_runs(shard: pa.Table) -> pa.Table:
-    """Distinct ``RUN``-token substrings and shorter whole blocks of a shard
-    with the smallest and largest page that holds each: (host, run, low, high)."""
-    numbers: dict[str, int] = {}
-    ids, pages, hashes, short = [], [], [], []
-    for uid, texts in zip(shard.column("uid").to_pylist(), shard.column("blocks").to_pylist()):
-        by_block = _page_words(texts)
-        words = [w for ws in by_block for w in ws]
-        ids += [numbers.setdefault(w, len(numbers)) for w in words]
-        ids.append(-1 - len(ids))  # a separator of its own ends every page
-        pages.append(np.full(len(words) + 1, uid, np.int64))
-        h = _hashes(words)
-        hashes += [h, np.zeros(1, np.uint64)]
-        short += [(int(_run_hashes(h[at:at + n], n)[0]), uid) for at, n in _short([*map(len, by_block)])]
-    ids_ = np.array(ids, np.int64)
-    n = len(ids_)
+def _mixed(h: np.ndarray, x: np.ndarray) -> np.ndarray:
+    h = (h ^ x) * _PRIME
+    return h ^ (h >> np.uint64(29))
+
+
+class Stream:
+    """Tokens of a batch of pages, run on across block ends: their numbers and
+    hashes, the tokens of every block and where each block and page begins."""
+
+    def __init__(self, blocks: pa.ListArray):
+        words = pc.split_pattern(blocks.flatten(), " ")
+        named = words.flatten().dictionary_encode()
+        self.ids = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in named.dictionary.to_pylist()], np.uint64)
+        self.hashes = hashes[self.ids]
+        self.sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.block_start = np.r_[0, np.cumsum(self.sizes)]
+        self.page_blocks = np.r_[0, np.cumsum(pc.list_value_length(blocks).to_numpy(zero_copy_only=False))]
+        self.page_start = self.block_start[self.page_blocks]
+        self.page = np.repeat(np.arange(len(blocks)), np.diff(self.page_start))
+
+    def hash_at(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """Hash of the ``length`` words from each start."""
+        h = np.full(len(starts), length, np.uint64)
+        for j in range(length):
+            h = _mixed(h, self.hashes[starts + j])
+        return h.view(np.int64)
+
+    def run_hashes(self, starts: np.ndarray) -> np.ndarray:
+        """``hash_at`` of runs, reckoned for all tokens side by side."""
+        k = max(len(self.hashes) - RUN + 1, 0)
+        h = np.full(k, RUN, np.uint64)
+        for j in range(RUN):
+            h = _mixed(h, self.hashes[j:j + k])
+        return h.view(np.int64)[starts]
+
+    def run_starts(self) -> np.ndarray:
+        """Where ``RUN`` tokens of one page begin."""
+        at = np.arange(len(self.ids))
+        return at[self.page_start[self.page + 1] - at >= RUN]
+
+    def short(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, tokens, hash) of the blocks that are shorter than a run."""
+        found = [(np.zeros(0, np.int64),) * 3]
+        for n in range(1, RUN):
+            at = self.block_start[:-1][self.sizes == n]
+            found.append((at, np.full(len(at), n), self.hash_at(at, n)))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(page, at, tokens, hash) of every run and shorter block."""
+        starts, (short, n, hashes) = self.run_starts(), self.short()
+        at = np.r_[starts, short]
+        page = self.page[at]
+        return (page, at - self.page_start[page], np.r_[np.full(len(starts), RUN), n],
+                np.r_[self.run_hashes(starts), hashes])
+
+
+def _sites(hosts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every host, and whether there is one."""
+    named = hosts.dictionary_encode()
+    of = np.array([xxhash.xxh64_intdigest(h) for h in named.dictionary.to_pylist()] + [0], np.uint64)
+    known = named.is_valid().to_numpy(zero_copy_only=False)
+    return of[named.indices.fill_null(len(of) - 1).to_numpy(zero_copy_only=False)], known
+
+
+def _shard_runs(shard: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``RUN``-token substrings and shorter whole blocks of a host's
+    pages (host, uid, blocks) with the smallest and largest page that holds
+    each: run, low, high."""
+    stream = Stream(shard.column(2))
+    uids = shard.column(1).to_numpy()
+    n = len(stream.ids) + len(uids)
+    ids_ = -1 - np.arange(n)  # a separator of its own ends every page
+    ids_[np.arange(len(stream.ids)) + stream.page] = stream.ids
+    starts, keys, pages = stream.run_starts(), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    at = starts + stream.page[starts]
+    room = np.zeros(n, bool)
+    keys[at], pages[at], room[at] = stream.run_hashes(starts), uids[stream.page[starts]], True
     runs, low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if n > RUN:
-        pages_, keys = np.concatenate(pages), _run_hashes(np.concatenate(hashes))
-        ends = np.flatnonzero(ids_ < 0)
-        room = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) >= RUN
+    if len(at):
         array = np.argsort(rank := suffix_ranks(ids_), kind="stable")
         array = array[room[array]]
-        if len(array):
-            first = np.flatnonzero(np.r_[True, np.diff(rank[array]) != 0])
-            runs.append(keys[array[first]])
-            low.append(np.minimum.reduceat(pages_[array], first))
-            high.append(np.maximum.reduceat(pages_[array], first))
-    if short:
-        key, uids = np.array(short, np.int64).T
+        first = np.flatnonzero(np.r_[True, np.diff(rank[array]) != 0])
+        runs.append(keys[array[first]])
+        low.append(np.minimum.reduceat(pages[array], first))
+        high.append(np.maximum.reduceat(pages[array], first))
+    short, _, key = stream.short()
+    if len(short):
         order = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        held = uids[stream.page[short[order]]]
         runs.append(key[order][first])
-        low.append(np.minimum.reduceat(uids[order], first))
-        high.append(np.maximum.reduceat(uids[order], first))
-    runs, low, high = map(np.concatenate, (runs, low, high))
-    order = np.argsort(low, kind="stable")  # equal pages in a row take little room
-    return _runs(runs[order], low[order], high[order],
-                 shard.column("host")[0].as_py() if shard.num_rows else None)
+        low.append(np.minimum.reduceat(held, first))
+        high.append(np.maximum.reduceat(held, first))
+    return tuple(map(np.concatenate, (runs, low, high)))
 
 
-def _runs(runs, low, high, host) -> pa.Table:
-    return pa.table({"host": pa.array([host] * len(runs), pa.string()),
-                     "run": pa.array(runs, pa.int64()), "low": pa.array(low, pa.int64()),
-                     "high": pa.array(high, pa.int64())})
+def _shards(b: pa.RecordBatch, shard_pages: int) -> Iterator[pa.RecordBatch]:
+    """The pages of each host among ``shard_pages`` pages of a batch (host,
+    uid, blocks), fewer where these have over ``SHARD_CHARS`` characters."""
+    at = 0
+    while at < b.num_rows:
+        part = b.slice(at, shard_pages)
+        texts = part.column(2)
+        ends = np.r_[0, np.cumsum(pc.utf8_length(texts.flatten()).to_numpy(zero_copy_only=False))][
+            np.cumsum(pc.list_value_length(texts).to_numpy(zero_copy_only=False))]
+        part = part.slice(0, max(1, int(np.searchsorted(ends, SHARD_CHARS))))
+        at += part.num_rows
+        for host in pc.unique(part.column(0)).drop_null():
+            yield part.filter(pc.equal(part.column(0), host))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted numbers below 2**32 as compressed differences."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u4")
+    return pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel(), dtype=np.uint64)
+
+
+def _passes(bit_map: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - (8 * len(bit_map)).bit_length() + 1)
+    return (bit_map[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def shared_bits(pages: DataFrame, shard_pages: int = SHARD_PAGES) -> np.ndarray:
+    """A bit map by the leading bits of (host, run) hashes, packed: set where
+    two pages may share a run, never clear where they do."""
+    chars = pages.select(F.sum(F.aggregate("blocks", F.lit(0).cast("long"), lambda a, t: a + F.octet_length(t)))
+                         ).first()[0] or 0
+    # Runs are at most chars / 2; prose has about chars / 6.
+    slices = max(4, (chars // 6 // SLICE_RUNS).bit_length())
+    bits = min(max(20, (chars * 6).bit_length()), slices + 32)
+    map_bits = min(bits, MAP_BITS)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [np.zeros(0, np.uint64)]
+            for shard in _shards(b, shard_pages):
+                run, low, high = _shard_runs(shard)
+                key = _mixed(run.view(np.uint64), _sites(shard.column(0))[0][0])
+                keys += [key, key[low < high]]  # twice: on two pages already
+            found = np.sort(np.concatenate(keys) >> np.uint64(64 - bits))
+            ends = np.searchsorted(found, np.arange(1, (1 << slices) + 1).astype(np.uint64) << np.uint64(bits - slices))
+            low_bits = np.uint64((1 << (bits - slices)) - 1)
+            rows = [(i, z - a, _packed(found[a:z] & low_bits))
+                    for i, (a, z) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())) if z > a]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+                 pa.array([r[2] for r in rows], pa.binary())], names=["part", "n", "steps"])
+
+    def compare(t: pa.Table) -> pa.Table:
+        values = np.sort(np.concatenate([_unpacked(d, n) for d, n in zip(
+            t.column("steps").to_pylist(), t.column("n").to_pylist())]))
+        mark = np.zeros(1 << (map_bits - slices), bool)
+        mark[values[1:][values[1:] == values[:-1]] >> np.uint64(bits - map_bits)] = True
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()),
+                         "bits": pa.array([np.packbits(mark).tobytes()], pa.binary())})
+
+    got = pages.select("host", "uid", "blocks").mapInArrow(pack, "part int, n int, steps binary").groupBy(
+        "part").applyInArrow(compare, "part int, bits binary").toArrow()
+    out = np.zeros((1 << slices, 1 << (map_bits - slices - 3)), np.uint8)
+    for part, data in zip(got.column("part").to_pylist(), got.column("bits").to_pylist()):
+        out[part] = np.frombuffer(data, np.uint8)
+    return out.ravel()
+
+
+def _closed(bit_map: np.ndarray) -> tuple[int, bytes]:
+    """The map as it is broadcast: mostly zeros, which take no room."""
+    return len(bit_map), pa.compress(bit_map.tobytes(), "zstd", asbytes=True)
+
+
+_OPEN: list = [None, None]  # the bytes and the map last opened in this worker
+
+
+def _opened(bit_map) -> np.ndarray:
+    size, data = bit_map.value
+    if _OPEN[0] is not data:
+        _OPEN[:] = data, np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), np.uint8)
+    return _OPEN[1]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, LOOK_PAGES):
+            yield b.slice(at, LOOK_PAGES)
+
+
+def _passing(pages: DataFrame, bit_map, schema: str, rows) -> DataFrame:
+    """Rows of the runs of (host, uid, blocks) that the broadcast map lets
+    pass: ``rows`` makes arrays from (batch, page, at, tokens, run)."""
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _opened(bit_map)
+        for b in _parts(batches):
+            page, at, n, runs = Stream(b.column(2)).runs()
+            site, known = _sites(b.column(0))
+            keep = _passes(bits, _mixed(runs.view(np.uint64), site[page])) & known[page]
+            yield pa.RecordBatch.from_arrays(rows(b, page[keep], at[keep], n[keep], runs[keep]), names=names)
+    return pages.select("host", "uid", "blocks").mapInArrow(run, schema)
+
+
+def _exact_runs(pages: DataFrame, bit_map) -> DataFrame:
+    def rows(b, page, at, n, runs):
+        uid = b.column(1).to_numpy()[page]
+        host = b.column(0).dictionary_encode()
+        hosts = host.indices.fill_null(0).to_numpy(zero_copy_only=False)[page]
+        order = np.lexsort((runs, hosts))
+        hosts, runs, uid = hosts[order], runs[order], uid[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(hosts) != 0) | (np.diff(runs) != 0)][:len(runs)])
+        return [host.dictionary.take(pa.array(hosts[first])), pa.array(runs[first]),
+                pa.array(np.minimum.reduceat(uid, first) if len(first) else uid),
+                pa.array(np.maximum.reduceat(uid, first) if len(first) else uid)]
+    return _passing(pages, bit_map, "host string, run long, low long, high long", rows).groupBy("host", "run").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("host", "run")
 
 
 def repeated_runs(pages: DataFrame, shard_pages: int = SHARD_PAGES) -> DataFrame:
     """(host, uid, blocks) -> (host, run): substrings of ``RUN`` tokens, and
     shorter whole blocks, that distinct pages of the host share."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = 0
-            while at < b.num_rows:
-                part = b.slice(at, shard_pages)
-                size = np.cumsum([sum(map(len, t)) for t in part.column(2).to_pylist()])
-                part = part.slice(0, max(1, int(np.searchsorted(size, SHARD_CHARS))))
-                at += part.num_rows
-                shard = pa.Table.from_batches([part])
-                for host in pc.unique(shard.column("host")).drop_null():
-                    found = _shard_runs(shard.filter(pc.equal(shard.column("host"), host)))
-                    yield from found.to_batches()
-
-    runs = pages.select("host", "uid", "blocks").mapInArrow(
-        run, "host string, run long, low long, high long")
-    return runs.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high")
-                                           ).filter("low < high").select("host", "run")
-
-
-def _positions(pages: DataFrame) -> DataFrame:
-    """(host, uid, blocks) -> (host, uid, at, n, run) of every run and shorter
-    block of a page, ``n`` its tokens."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for host, uid, texts in zip(*(b.column(i).to_pylist() for i in range(3))):
-                by_block = _page_words(texts)
-                h = _hashes([w for ws in by_block for w in ws])
-                runs, short = _run_hashes(h), _short([*map(len, by_block)])
-                at = np.r_[np.arange(len(runs)), [a for a, _ in short]].astype(np.int32)
-                n = np.r_[np.full(len(runs), RUN), [k for _, k in short]].astype(np.int32)
-                runs = np.r_[runs, np.array([_run_hashes(h[a:a + k], k)[0] for a, k in short], np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([host] * len(at), pa.string()), pa.array([uid] * len(at), pa.int64()),
-                     pa.array(at), pa.array(n), pa.array(runs)],
-                    names=["host", "uid", "at", "n", "run"])
-    return pages.select("host", "uid", "blocks").mapInArrow(
-        run, "host string, uid long, at int, n int, run long")
+    return _exact_runs(pages, pages.sparkSession.sparkContext.broadcast(_closed(shared_bits(pages, shard_pages))))
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder, compressed, and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").option("parquet.page.size", str(8 << 20)).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+HITS = "array<struct<at:int,n:int,run:long,wide:boolean>>"
+
+
+def with_hits(pages: DataFrame, bit_map, runs: DataFrame):
+    """(pages, hits): rows with host, uid, blocks as their first columns, and a
+    function from a batch of them to the places of the written ``runs`` (host,
+    run, wide): where those of each page begin, at, n, run, wide.  Up to
+    ``BROADCAST_RUNS`` runs are broadcast, more, which the map thins out first,
+    are joined."""
+    if runs.count() > BROADCAST_RUNS:
+        def rows(b, page, at, n, run):
+            return [b.column(0).take(pa.array(page)), b.column(1).take(pa.array(page)),
+                    pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(run)]
+        hits = _passing(pages, bit_map, "host string, uid long, at int, n int, run long", rows).join(
+            runs, ["host", "run"]).groupBy("host", "uid").agg(
+            F.collect_set(F.struct("at", "n", "run", "wide")).cast(HITS).alias("hits"))
+        joined = pages.join(hits, ["host", "uid"], "left").select(*pages.columns, "hits")
+
+        def given(b: pa.RecordBatch) -> tuple:
+            hits = b.column(b.num_columns - 1)
+            size = pc.fill_null(pc.list_value_length(hits), 0).to_numpy(zero_copy_only=False)
+            return (np.r_[0, np.cumsum(size)], *(hits.flatten().field(i).to_numpy(zero_copy_only=False)
+                                                 for i in range(4)))
+        return joined, given
+    t = runs.select("host", "run", "wide").toArrow().combine_chunks()
+    keys = np.zeros(0, np.uint64)
+    if t.num_rows:
+        keys = _mixed(t.column(1).to_numpy().view(np.uint64), _sites(t.column(0).chunk(0))[0])
+    order = np.argsort(keys)
+    shared = pages.sparkSession.sparkContext.broadcast(
+        (keys[order], t.column(2).to_numpy()[order].astype(bool)))
+
+    def look(b: pa.RecordBatch) -> tuple:
+        keys, wide = shared.value
+        page, at, n, runs = Stream(b.column(2)).runs()
+        site, known = _sites(b.column(0))
+        key = _mixed(runs.view(np.uint64), site[page])
+        # The map first: most runs are not repeated, and a look there is short.
+        keep = np.flatnonzero(_passes(_opened(bit_map), key) & known[page])
+        if len(keys):
+            place = np.minimum(np.searchsorted(keys, key[keep]), len(keys) - 1)
+            found = np.flatnonzero(keys[place] == key[keep])
+        else:
+            found = place = np.zeros(0, np.int64)
+        found = found[np.argsort(page[keep[found]], kind="stable")]
+        keep, place = keep[found], place[found]
+        return (np.searchsorted(page[keep], np.arange(b.num_rows + 1)), at[keep], n[keep], runs[keep], wide[place])
+    return pages, look
 
 
 def _covered(sizes: list[int], covered_at: list[int], lengths: list[int] | None = None) -> np.ndarray:
     """Which tokens of blocks of these sizes go.  A run across a block end
     counts only for blocks that are covered whole, so that two passages that
     often follow each other do not take the first words of the next block."""
-    total = sum(sizes)
-    gone, any_run = np.zeros(total, bool), np.zeros(total, bool)
-    block = np.repeat(np.arange(len(sizes)), sizes)
-    for at, n in zip(covered_at, lengths or [RUN] * len(covered_at)):
-        any_run[at:at + n] = True
-        if block[at] == block[at + n - 1]:
-            gone[at:at + n] = True
-    base = 0
-    for n in sizes:
-        if any_run[base:base + n].all():
-            gone[base:base + n] = True
-        base += n
-    return gone
+    tokens, at = np.asarray(sizes, np.int64), np.asarray(covered_at, np.int64)
+    n = np.asarray(lengths, np.int64) if lengths else np.full(len(at), RUN)
+    total, block = int(tokens.sum()), np.repeat(np.arange(len(tokens)), tokens)
+
+    def marked(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        ends = np.bincount(np.minimum(at + n, total), minlength=total + 1)
+        return np.cumsum(np.bincount(at, minlength=total + 1) - ends)[:total] > 0
+    if not len(at):
+        return np.zeros(total, bool)
+    within = block[at] == block[at + n - 1]
+    whole = np.bincount(block, marked(at, n), len(tokens)) == tokens
+    return marked(at[within], n[within]) | whole[block]
 
 
 def unique_blocks(texts: list[str], covered_at: list[int], lengths: list[int] | None = None) -> list[str]:
@@ -432,18 +610,16 @@ def unique_blocks(texts: list[str], covered_at: list[int], lengths: list[int] |
 def has_own_text(sizes: list[int], covered_at: list[int], lengths: list[int]) -> bool:
     """Whether blocks with at most half their tokens repeated hold
     ``OWN_SHARE`` of a page's tokens."""
-    own, base, total = 0, 0, sum(sizes)
-    gone = _covered(sizes, covered_at, lengths)
-    for n in sizes:
-        if 2 * gone[base:base + n].sum() <= n:
-            own += n
-        base += n
-    return own >= OWN_SHARE * total
+    tokens = np.asarray(sizes, np.int64)
+    gone = np.bincount(np.repeat(np.arange(len(tokens)), tokens), _covered(sizes, covered_at, lengths), len(tokens))
+    return bool(tokens[2 * gone <= tokens].sum() >= OWN_SHARE * tokens.sum())
 
 
 def main_blocks(texts: list[str], inside: list[bool], covered: list[tuple[int, int, bool]]) -> list[str]:
     """The main text of a page; ``covered`` has (at, tokens, wide) of its
     boilerplate, of which only the wide reaches into a container."""
+    if not covered:
+        return [t for t, within in zip(texts, inside) if within] if any(inside) else texts
     if not any(inside):
         return unique_blocks(texts, [c[0] for c in covered], [c[1] for c in covered])
     words = _page_words(texts)
@@ -458,50 +634,46 @@ def main_blocks(texts: list[str], inside: list[bool], covered: list[tuple[int, i
     return out or [t for t, within in zip(texts, inside) if within]
 
 
-def boilerplate(pages: DataFrame) -> DataFrame:
-    """(host, uid, blocks), equal texts under one uid -> (host, uid, covered):
-    at, n, wide of what the host repeats on a page."""
-    runs = cut(repeated_runs(pages))
-    hits = _positions(pages).join(broadcast_checked(runs), ["host", "run"]).groupBy("host", "uid").agg(
-        F.collect_set(F.struct("at", "n", "run")).alias("hits"))  # at most a page's length
-    sized = pages.select("host", "uid", F.transform(
-        "blocks", lambda t: F.size(F.split(t, " "))).alias("sizes")).dropDuplicates(["host", "uid"])
+def boilerplate(pages: DataFrame, bit_map) -> DataFrame:
+    """(host, uid, blocks), equal texts under one uid -> (host, run, wide) of
+    what the host repeats."""
+    runs = _staged(_exact_runs(pages, bit_map).withColumn("wide", F.lit(False)), "repeated-runs")
+    marked, look = with_hits(pages.select("host", "uid", "blocks"), bit_map, runs)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [has_own_text(sizes, [x["at"] for x in h or []], [x["n"] for x in h or []])
-                   for sizes, h in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        for b in _parts(batches):
+            first, places, n, runs, _ = look(b)
+            own = [a == z or has_own_text([t.count(" ") + 1 for t in texts], places[a:z], n[a:z].tolist())
+                   for texts, a, z in zip(b.column(2).to_pylist(), first, first[1:])]
+            # One text for each page with text of its own, one for all others.
+            text = pc.if_else(pa.array(own, pa.bool_()), b.column(1), pa.scalar(None, pa.int64()))
+            at = pa.array(np.r_[np.arange(b.num_rows), np.repeat(np.arange(b.num_rows), np.diff(first))])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(own, pa.bool_()), b.column(3)],
-                names=["host", "uid", "own", "hits"])
-    judged = cut(sized.join(hits, ["host", "uid"], "left").select("host", "uid", "sizes", "hits").mapInArrow(
-        judge, "host string, uid long, own boolean, hits array<struct<at:int,n:int,run:long>>"))
-    # One text for each page with text of its own, one for all others.
-    text = F.when(F.col("own"), F.col("uid")).alias("text")
-    texts = judged.groupBy("host").agg(
-        (F.count_if("own") + F.max((~F.col("own")).cast("int"))).alias("texts"))
-    each = judged.select("host", "uid", text, F.explode("hits").alias("hit")).select(
-        "host", "uid", "text", "hit.*")
-    found = each.select("host", "run", "text").distinct().groupBy("host", "run").agg(
-        F.count("*").alias("on")).filter(F.col("on") >= MIN_TEXTS)
-    found = cut(found.join(broadcast_checked(cut(texts)), "host").select(
-        "host", "run", (F.col("on") >= WIDE_SHARE * F.col("texts")).alias("wide")))
-    return each.join(broadcast_checked(found), ["host", "run"]).groupBy("host", "uid").agg(
-        F.collect_list(F.struct("at", "n", "wide")).alias("covered"))
+                [b.column(0).take(at), pa.concat_arrays([pa.nulls(b.num_rows, pa.int64()), pa.array(runs, pa.int64())]),
+                 text.take(at)], names=["host", "run", "text"])
+    # Texts of the host (run null), and those that a run stands on.
+    counts = _staged(marked.mapInArrow(judge, "host string, run long, text long").distinct().groupBy(
+        "host", "run").agg(F.count("*").alias("on")).filter(f"run is null or `on` >= {MIN_TEXTS}"), "run-texts")
+    texts = counts.filter("run is null").select("host", F.col("on").alias("texts"))
+    return _staged(counts.filter("run is not null").join(broadcast_checked(texts), "host").select(
+        "host", "run", (F.col("on") >= WIDE_SHARE * F.col("texts")).alias("wide")), "boilerplate")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    parsed = cut(_texts(pages).withColumn("uid", F.xxhash64("host", "blocks")))
+    parsed = _staged(_texts(pages).select("host", F.xxhash64("host", "blocks").alias("uid"), "blocks", "inside",
+                                          "page_id", "url"), "page-blocks")
+    bit_map = pages.sparkSession.sparkContext.broadcast(_closed(shared_bits(parsed)))
+    marked, look = with_hits(parsed, bit_map, boilerplate(parsed, bit_map))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = [main_blocks(t, i, [(x["at"], x["n"], x["wide"]) for x in c or []])
-                    for t, i, c in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)))]
+        for b in _parts(batches):
+            first, *places = look(b)
+            places = list(zip(*(places[i].tolist() for i in (0, 1, 3))))
+            kept = [main_blocks(t, i, places[a:z]) for t, i, a, z in zip(
+                b.column(2).to_pylist(), b.column(3).to_pylist(), first, first[1:])]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(["\n\n".join(k) for k in kept], pa.string())],
+                [b.column(4), b.column(5), pa.array(["\n\n".join(k) for k in kept], pa.string())],
                 names=["page_id", "url", "text"])
-    return parsed.join(boilerplate(parsed), ["host", "uid"], "left").select(
-        "page_id", "url", "blocks", "inside", "covered").mapInArrow(
-        clean, "page_id long, url string, text string").select(
+    return marked.mapInArrow(clean, "page_id long, url string, text string").select(
         "*", F.length("text").cast("long").alias("n_chars"))

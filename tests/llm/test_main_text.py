@@ -85,3 +85,21 @@ def test_short_leftovers_stay(spark):
     got = extracted(spark, [(i, f"<p>{own(i)}</p><p>{banner} Total {i:03}</p>") for i in range(5)])
     # "Total" ends the repeated run
     assert got == {i: own(i) + f"\n\n{i:03}" for i in range(5)}
+
+
+def test_runs_are_handed_on_packed(spark, monkeypatch):
+    """Only runs that two pages may share become rows; whether the repeated
+    ones are broadcast or joined, the texts are the same."""
+    import numpy as np
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 32, 500, np.uint64))
+    assert (main_text._unpacked(main_text._packed(values), 500) == values).all()
+    rows = [("h", i, [own(i), SIGN]) for i in range(6)] + [(None, 8, [SIGN]), ("g", 9, [SIGN]), ("g", 9, [SIGN])]
+    pages = spark.createDataFrame(rows, "host string, uid long, blocks array<string>").repartition(3)
+    bits = main_text.shared_bits(pages)
+    assert 0 < np.unpackbits(bits).sum() < 40       # 6 shared runs, copies of one page, chance hits
+    assert main_text.repeated_runs(pages).count() == 6
+    html = [(i, f"<article><p>{own(i)}</p><p>{SIGN}</p><p>Read more</p></article>") for i in range(6)]
+    want = {i: own(i) for i in range(6)}
+    assert extracted(spark, html) == want
+    monkeypatch.setattr(main_text, "BROADCAST_RUNS", 0)
+    assert extracted(spark, html) == want
