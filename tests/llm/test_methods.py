@@ -201,3 +201,41 @@ def test_contradicting_label_rows(spark):
         labels = spark.createDataFrame(order, "doc_id long, toxic int").repartition(3)
         got = toxicity.training_sample(docs, labels, {"toxic": F.col("toxic") == 1}).collect()
         assert sorted((r.doc_id, r.toxic) for r in got) == [(0, 1), (1, 1), (2, 0), (3, 1)]
+
+
+def test_search_floors(spark):
+    """A query starts every shard from the k-th best score of one shard, and
+    the shards' results are those of a search over all documents in one."""
+    from statweave.llm import search
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, int(rng.integers(1, 60))) if x < 400))
+            for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    asked = docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    batch = search.Batch([i for i, _ in rows], [t.encode() for _, t in rows])
+    found = np.array([(batch.terms[:, None] == np.fromiter(search._terms(t.encode()), np.int64)).any(1)
+                      for _, t in rows]).sum(0)
+    batch.idf = np.log1p((600 - found + 0.5) / (found + 0.5))
+    batch.mean_length = float(np.mean([len(t.split()) for _, t in rows]))
+    whole = search.ShardIndex(search._shard([i for i, _ in rows], [search._bag(t.encode()) for _, t in rows]), batch)
+    # Only the first documents: no posting of another one is left.
+    part = search.ShardIndex(search._shard([i for i, _ in rows], [search._bag(t.encode()) for _, t in rows]), batch, 100)
+    assert len(part.ids) == 100 and part.post_doc.max() < 100 and (np.diff(part.post_start) > 0).all()
+    want = {}
+    for q in range(0, 600, 20):
+        terms = batch.at[batch.starts[q]:batch.starts[q + 1]]
+        best, again = [], []
+        every = whole.search(terms, 10, best)
+        few = whole.search(terms, 10, again, best[0][0] if len(best) == 10 else 0.0)
+        assert sorted(best) == sorted(again) and few <= every
+        want[q] = [(r + 1, int(-d), s) for r, (s, d) in enumerate(sorted(best, reverse=True))]
+    for shard_docs in (70, 1000):
+        index = search.build_index(docs, shard_docs)
+        least = search.floors(index, spark.sparkContext.broadcast(batch), 600, 10)
+        assert all(least[q] <= want[q][-1][2] + 1e-9 for q in want if len(want[q]) == 10)
+        assert (least > 0).any()
+    got = {}
+    for r in search.top_k(docs, asked).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    assert {q: [x[:2] for x in v] for q, v in got.items()} == {q: [x[:2] for x in v] for q, v in want.items() if v}
+    assert all(np.allclose([x[2] for x in got[q]], [x[2] for x in want[q]], atol=2e-6) for q in got)
