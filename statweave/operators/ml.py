@@ -25,6 +25,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import boosting
 from .rank import numbered
 
 # Fits that run at the same time; each is a chain of small jobs.
@@ -261,13 +262,7 @@ def reference_grid() -> list[GbtParams]:
 def stop_at(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
     """(trees of the best model, whether boosting stopped): the run ends when
     ``patience`` rounds in a row bring no smaller loss than the best so far."""
-    best = 0
-    for i, x in enumerate(losses):
-        if x < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+    return boosting.stop_at(losses, patience)
 
 
 def _gbt(p: GbtParams, trees: int, label: str) -> GBTRegressor:
@@ -309,7 +304,15 @@ def boosted_run(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
 
 def early_stopped(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
                   patience: int = PATIENCE, first: int = 0) -> tuple[GBTRegressionModel, list[float], int]:
-    """(model cut to its best iteration, losses up to the stop, best)."""
+    """(model cut to its best iteration, losses up to the stop, best).
+
+    Rows that fit one task are fitted there (the same trees without the jobs);
+    more are fitted by Spark."""
+    if boosting.fit_a_task(train, valid):
+        job = boosting.Job(0, p.max_depth, p.step_size, p.subsampling, p.max_iter, patience)
+        fit = boosting.fit_many([boosting.Fold(train, valid)], label, [job])[0]
+        best = stop_at(fit.losses, patience)[0]
+        return boosting.to_model(fit.nodes, _gbt(p, best, label)), fit.losses, best
     model, losses = boosted_run(train, valid, label, p, patience, first)
     best, stopped = stop_at(losses, patience)
     return cut_model(model, best), losses[:best + patience] if stopped else losses, best
@@ -336,6 +339,8 @@ def staged_grid(df: DataFrame, features: list[str], label: str, grid: list[GbtPa
     stopping in every fit (M10, M11). A boosted model contains those of fewer
     trees, so points that differ in ``max_iter`` only share one fit a fold,
     and each is scored at its own best iteration. ``df`` has a column ``fold``.
+    Folds that fit one task are fitted side by side, a fit a task; larger ones
+    by Spark's jobs.
 
     -> one row a point: parameters, cv_mae, cv_std (over the folds),
     best_trees (mean), rank (ties: fewer trees, then smaller parameters)."""
@@ -345,11 +350,11 @@ def staged_grid(df: DataFrame, features: list[str], label: str, grid: list[GbtPa
         longest[key] = max(longest.get(key, 0), p.max_iter)
     data = scaled_folds(df, features, label, folds)
 
-    def run(job: tuple[GbtParams, int]) -> dict[GbtParams, tuple[float, int]]:
-        key, f = job
-        model, losses = boosted_run(data[f]["train"], data[f]["valid"], label,
-                                    replace(key, max_iter=longest[key]), patience)
-        maes = model.evaluateEachIteration(data[f]["test"], "absolute")
+    # Long fits first, so that none is left over at the end.
+    jobs = sorted(((key, f) for key in longest for f in range(folds)),
+                  key=lambda j: -longest[j[0]] * j[0].max_depth / j[0].step_size)
+
+    def scored(key: GbtParams, losses: list[float], maes: list[float]) -> dict[GbtParams, tuple[float, int]]:
         out = {}
         for p in grid:
             if replace(p, max_iter=0) == key:
@@ -357,11 +362,20 @@ def staged_grid(df: DataFrame, features: list[str], label: str, grid: list[GbtPa
                 out[p] = maes[best - 1], best
         return out
 
-    # Long fits first, so that none is left over at the end.
-    jobs = sorted(((key, f) for key in longest for f in range(folds)),
-                  key=lambda j: -longest[j[0]] * j[0].max_depth / j[0].step_size)
-    with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(run, jobs))
+    def run(job: tuple[GbtParams, int]) -> dict[GbtParams, tuple[float, int]]:
+        key, f = job
+        model, losses = boosted_run(data[f]["train"], data[f]["valid"], label,
+                                    replace(key, max_iter=longest[key]), patience)
+        return scored(key, losses, model.evaluateEachIteration(data[f]["test"], "absolute"))
+
+    if jobs and boosting.fit_a_task(data[0]["rows"]):
+        fits = boosting.fit_many([boosting.Fold(d["train"], d["valid"], d["test"]) for d in data], label, [
+            boosting.Job(f, key.max_depth, key.step_size, key.subsampling, longest[key], patience)
+            for key, f in jobs])
+        done = [scored(key, fit.losses, fit.maes) for (key, _), fit in zip(jobs, fits)]
+    else:
+        with ThreadPoolExecutor(parallelism) as pool:
+            done = list(pool.map(run, jobs))
     for d in data:
         d["rows"].unpersist()
     rows = []
