@@ -221,29 +221,32 @@ def similarity_join(left: DataFrame, right: DataFrame, theta: int,
 BLOCK, TASK_BLOCKS = 128, 64
 
 
-def _blocks(df: DataFrame, side: str, by_length: bool, *more: str) -> DataFrame:
+def _blocks(df: DataFrame, side: str, by_length: bool, *more: str) -> tuple[DataFrame, int]:
     """The strings of one side in blocks of about ``BLOCK``, each of like
-    length if ``by_length`` -> (rows, shortest, longest)."""
+    length if ``by_length`` -> (piece, rows, shortest, longest), pieces."""
     n = F.length(f"{side}text")
     size = F.floor(F.log2(n + 1) * 2) if by_length else F.lit(0)
     pieces = max(1, -(-df.count() // BLOCK))
     return cut_lineage(
         df.select(F.struct(f"{side}id", f"{side}text", *more).alias("_row"), n.alias("_n"),
-                  size.alias("_size"), F.pmod(F.xxhash64(f"{side}id"), F.lit(pieces)).alias("_piece"))
-        .groupBy("_size", "_piece").agg(F.collect_list("_row").alias(f"{side}rows"),
-                                        F.min("_n").alias(f"{side}lo"), F.max("_n").alias(f"{side}hi"))
-        .drop("_size", "_piece"))
+                  size.alias("_size"), F.pmod(F.xxhash64(f"{side}id"), F.lit(pieces)).alias(f"{side}piece"))
+        .groupBy("_size", f"{side}piece").agg(F.collect_list("_row").alias(f"{side}rows"),
+                                              F.min("_n").alias(f"{side}lo"), F.max("_n").alias(f"{side}hi"))
+        .drop("_size")), pieces
 
 
 def _block_pairs(left: DataFrame, right: DataFrame, theta: int | None, *more: str) -> DataFrame:
     """(lrows, rrows): blocks of both sides, with ``theta`` only those whose
-    lengths come near enough somewhere."""
-    lb, rb = _blocks(left, "l", theta is not None), _blocks(right, "r", theta is not None, *more)
+    lengths come near enough somewhere. A left block looks up every piece of
+    the right side by its number."""
+    (lb, _), (rb, pieces) = _blocks(left, "l", theta is not None), _blocks(right, "r", theta is not None, *more)
     pairs = lb.count() * rb.count()
     tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-pairs // TASK_BLOCKS))
     la = F.least("lhi", F.greatest("llo", "rlo"))
     near = F.lit(True) if theta is None else length_ok(la, F.least("rhi", F.greatest("rlo", la)), theta)
-    return lb.repartition(tasks).join(broadcast_if_small(rb), near).select("lrows", "rrows")
+    lb = lb.repartition(tasks).withColumn("_at", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
+    return lb.join(broadcast_if_small(rb), (F.col("_at") == F.col("rpiece")) & near).select("lrows", "rrows")
 
 
 def _packed(batches: Iterator[pa.RecordBatch]):
