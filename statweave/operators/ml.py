@@ -309,15 +309,29 @@ def early_stopped(train: DataFrame, valid: DataFrame, label: str, p: GbtParams,
     Rows that fit one task are fitted there (the same trees without the jobs);
     more are fitted by Spark."""
     if boosting.fit_a_task(train, valid):
-        job = boosting.Job(0, p.max_depth, p.step_size, p.subsampling, p.max_iter, patience)
-        fit = boosting.fit_many([boosting.Fold(train, valid)], label, [job])[0]
-        best = stop_at(fit.losses, patience)[0]
-        return boosting.to_model(fit.nodes, _gbt(p, best, label)), fit.losses, best
+        return _in_tasks([boosting.Fold(train, valid)], label, p, patience)[0]
     model, losses = boosted_run(train, valid, label, p, patience, first)
     best, stopped = stop_at(losses, patience)
     return cut_model(model, best), losses[:best + patience] if stopped else losses, best
 
 
+def _in_tasks(folds: list[boosting.Fold], label: str, p: GbtParams, patience: int) -> list[tuple]:
+    job = boosting.Job(0, p.max_depth, p.step_size, p.subsampling, p.max_iter, patience)
+    fits = boosting.fit_many(folds, label, [job._replace(fold=i) for i in range(len(folds))])
+    best = [stop_at(fit.losses, patience)[0] for fit in fits]
+    return [(boosting.to_model(fit.nodes, _gbt(p, n, label)), fit.losses, n) for fit, n in zip(fits, best)]
+
+
+def early_stopped_folds(data: list[dict], label: str, p: GbtParams,
+                        patience: int = PATIENCE) -> list[GBTRegressionModel]:
+    """The early-stopped model of every fold of ``scaled_folds``."""
+    if data and boosting.fit_a_task(data[0]["rows"]):
+        folds = [boosting.Fold(d["train"], d["valid"]) for d in data]
+        return [model for model, _, _ in _in_tasks(folds, label, p, patience)]
+    with ThreadPoolExecutor(len(data)) as pool:
+        return list(pool.map(lambda d: early_stopped(d["train"], d["valid"], label, p, patience)[0], data))
+
+
 def scaled_folds(df: DataFrame, features: list[str], label: str, folds: int) -> list[dict]:
     """Vectors of each fold's training rows (without a slice for validation),
     validation rows and test rows; scaling is fitted on the training rows.

@@ -8,7 +8,6 @@ boosted trees (grid search and CV inside Spark ML)."""
 from __future__ import annotations
 
 import functools
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
@@ -369,8 +368,7 @@ def cv_once(spark, sf_dir):
         df, feats = value_frame(spark, sf_dir)
         p = best_params(spark, sf_dir)
         folds = ml.scaled_folds(df, feats, "spend", FOLDS)
-        with ThreadPoolExecutor(FOLDS) as pool:
-            models = list(pool.map(lambda d: ml.early_stopped(d["train"], d["valid"], "spend", p)[0], folds))
+        models = ml.early_stopped_folds(folds, "spend", p)
         out = [model.transform(d["test"]).select("fold", "spend", "prediction")
                for model, d in zip(models, folds)]
         every = cut_lineage(functools.reduce(DataFrame.unionByName, out))
